@@ -148,19 +148,23 @@ def _python_tools():
     )
 
 
+def plain_form(text: str) -> str:
+    """Text composed, stripped, folded and without accents."""
+    invisible, fold = _python_tools()
+    visible = invisible.sub("", unicodedata.normalize("NFKC", text))
+    return strip_accents_of(visible.translate(fold))
+
+
 @F.pandas_udf(_FORMS)
 def unicode_forms(texts: pd.Series) -> pd.DataFrame:
-    """NFKC form, and that form stripped, folded and without accents."""
-    invisible, fold = _python_tools()
-    out = []
-    for text in texts:
-        if text is None:
-            out.append((None, None))
-            continue
-        nfkc = unicodedata.normalize("NFKC", text)
-        visible = invisible.sub("", nfkc)
-        out.append((nfkc, strip_accents_of(visible.translate(fold))))
-    return pd.DataFrame(out, columns=["nfkc", "plain"])
+    """NFKC form, and the plain form."""
+    rows = [
+        (None, None)
+        if text is None
+        else (unicodedata.normalize("NFKC", text), plain_form(text))
+        for text in texts
+    ]
+    return pd.DataFrame(rows, columns=["nfkc", "plain"])
 
 
 @F.pandas_udf(StringType())
