@@ -54,6 +54,17 @@ def stem_groups(
     return groups
 
 
+def word_groups(
+    entries: Iterable[tuple[str, str]],
+) -> list[tuple[str, list[tuple[str, str]]]]:
+    """Group phrases by their longest word: quick for lexicons of any size."""
+    groups: dict[str, list[tuple[str, str]]] = {}
+    for entry in sorted(set(entries)):
+        stem = max(entry[1].split() or [entry[1]], key=len)
+        groups.setdefault(stem, []).append(entry)
+    return list(groups.items())
+
+
 @functools.lru_cache(maxsize=1)
 def _compiled() -> tuple[tuple[str, tuple[tuple[str, str], ...]], ...]:
     entries = [(cat, phrase) for cat, _, phrase in L.phrases()]

@@ -6,6 +6,8 @@ that receives nulls for all text the JVM can normalize itself.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from paperward.functions import cues as C
 from paperward.functions import lexicon as L
 from paperward.functions import text as T
 from paperward.functions import unicode as U
-from paperward.plans.shape import compute_once
+from paperward.plans.shape import compute_once, materialize, shared_folder
 
 
 def with_matchable(
@@ -88,3 +90,62 @@ def field_findings(fields: DataFrame) -> DataFrame:
         T.utf16_length(F.col("value")).alias("full_length"),
         F.lit(L.LEXICON_VERSION).alias("lexicon_version"),
     )
+
+
+# Phrases compiled into one pass over the text.
+LEXICON_CHUNK = 1000
+
+
+def match_lexicon(
+    df: DataFrame,
+    key: str,
+    text: str,
+    lexicon: DataFrame,
+    chunk: int = LEXICON_CHUNK,
+) -> DataFrame:
+    """Categories per row by a run-time lexicon ``(category, phrase)``.
+
+    Phrases are normalized first, then found as substrings.  Neither a cross
+    join nor a theta join: the lexicon is counted, and one that fits a chunk is
+    compiled into the projection.  A larger one is worked off chunk by chunk,
+    each pass writing ``(key, category)`` rows to the shared folder, so the
+    driver never holds more than one chunk.
+    """
+    norm = with_matchable(lexicon.select("category", "phrase"), "phrase", "_p")
+    terms = norm.where("_p != ''").select("category", F.col("_p").alias("phrase")).distinct()
+    spark = df.sparkSession
+    count = terms.count()
+    chunks = max(1, -(-count // chunk) * 2) if count > chunk else 1
+
+    def hits(part: DataFrame) -> DataFrame:
+        entries = [(r["category"], r["phrase"]) for r in part.limit(2 * chunk + 1).collect()]
+        if len(entries) > 2 * chunk:
+            raise ValueError("uneven lexicon chunk; use more chunks")
+        found = (
+            C.cue_hits(F.col("_m"), C.word_groups(entries))
+            if entries
+            else F.array().cast("array<string>")
+        )
+        matched = with_matchable(df.select(key, text), text, "_m").select(key, "_m")
+        return compute_once(matched, "categories", found).select(key, "categories")
+
+    if chunks == 1:
+        return hits(terms)
+
+    terms = materialize(
+        terms.withColumn("_chunk", F.pmod(F.xxhash64("phrase"), F.lit(chunks)))
+    )
+    folder = f"{shared_folder(spark)}/lexicon-{uuid.uuid4().hex}"
+    for i in range(chunks):
+        part = hits(terms.where(F.col("_chunk") == i).drop("_chunk"))
+        part.select(key, F.explode("categories").alias("category")).write.mode(
+            "append"
+        ).parquet(folder)
+    # a row has few distinct categories however many phrases it holds
+    found = spark.read.parquet(folder).groupBy(key).agg(
+        F.array_sort(F.collect_set("category")).alias("_found")
+    )
+    return df.select(key).join(found, key, "left").select(
+        key,
+        F.coalesce("_found", F.array().cast("array<string>")).alias("categories"),
+    )
