@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import json
 import re
 from collections.abc import Iterable
 
@@ -71,17 +72,16 @@ def _compiled() -> tuple[tuple[str, tuple[tuple[str, str], ...]], ...]:
     return tuple((stem, tuple(group)) for stem, group in stem_groups(entries))
 
 
+_STEM_TABLE = "array<struct<stem string, cues array<struct<category string, phrase string>>>>"
+
+
 def _stem_table(groups) -> Column:
-    return F.array(*[
-        F.struct(
-            F.lit(stem).alias("stem"),
-            F.array(*[
-                F.struct(F.lit(cat).alias("category"), F.lit(phrase).alias("phrase"))
-                for cat, phrase in group
-            ]).alias("cues"),
-        )
+    """The lexicon as one constant; the optimizer folds it into a literal."""
+    rows = [
+        {"stem": stem, "cues": [{"category": c, "phrase": p} for c, p in group]}
         for stem, group in groups
-    ])
+    ]
+    return F.from_json(F.lit(json.dumps(rows)), _STEM_TABLE)
 
 
 def cue_hits(normalized: Column, groups=None) -> Column:

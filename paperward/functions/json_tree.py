@@ -7,14 +7,18 @@ shape, and write them back.  Which slots to replace is decided in Spark.
 from __future__ import annotations
 
 import json
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
 from paperward.functions import unicode as U
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Keys whose strings come from the document's author, keys of
 # recovered text, the mark left behind, and how deep a walk goes.
 PAYLOAD_KEYS = ("payload", "name", "recovered", "authors", "before", "after")

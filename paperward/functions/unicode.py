@@ -15,13 +15,19 @@ from __future__ import annotations
 
 import functools
 import re
+import sys
 import unicodedata
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
+# The few functions that run in Python workers travel with the job, so the
+# package need not be installed on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _FORMS = StructType().add("nfkc", StringType()).add("plain", StringType())
 
 # Look-alike code point -> Latin letter.
@@ -140,19 +146,14 @@ def translate(text: Column, table: dict[str, str]) -> Column:
     return F.translate(text, "".join(table), "".join(table.values()))
 
 
-@functools.lru_cache(maxsize=1)
-def _python_tools():
-    return (
-        re.compile("[" + _python_class(INVISIBLE) + "]"),
-        str.maketrans(CONFUSABLES),
-    )
+_INVISIBLE = re.compile("[" + _python_class(INVISIBLE) + "]")
+_FOLD = str.maketrans(CONFUSABLES)
 
 
 def plain_form(text: str) -> str:
     """Text composed, stripped, folded and without accents."""
-    invisible, fold = _python_tools()
-    visible = invisible.sub("", unicodedata.normalize("NFKC", text))
-    return strip_accents_of(visible.translate(fold))
+    visible = _INVISIBLE.sub("", unicodedata.normalize("NFKC", text))
+    return strip_accents_of(visible.translate(_FOLD))
 
 
 @F.pandas_udf(_FORMS)
