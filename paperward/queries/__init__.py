@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("text", "network")
+AREAS = ("text", "network", "cases")
 
 
 def _collect(what: str) -> dict:

@@ -8,19 +8,10 @@ from paperward.functions import net as N
 from paperward.operators import network as K
 from paperward.queries import planted as P
 from paperward.queries import sqltext as S
+from paperward.queries.registry import registry
 from paperward.sources.tables import read_table
 
-QUERIES, ORACLES = {}, {}
-
-
-def query(oracle: str | None = None):
-    def register(fn):
-        QUERIES[fn.__name__] = fn
-        if oracle:
-            ORACLES[fn.__name__] = oracle
-        return fn
-
-    return register
+QUERIES, ORACLES, query = registry()
 
 
 # URL, verdict, host, display name - the last three are the expected answers.
