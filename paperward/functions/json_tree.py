@@ -15,7 +15,7 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
 
-from paperward.functions import unicode as U
+from paperward.functions.unicode import plain_form
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -134,7 +134,7 @@ def _candidates(text: str | None, find) -> list[dict] | None:
         return None
     values = [node[key] for node, key in find(body)]
     return [
-        {"value": v, "plain": None if v.isascii() else U.plain_form(v)} for v in values
+        {"value": v, "plain": None if v.isascii() else plain_form(v)} for v in values
     ]
 
 

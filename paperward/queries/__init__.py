@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("text", "network", "cases")
+AREAS = ("text", "network", "cases", "reports", "intake")
 
 
 def _collect(what: str) -> dict:
