@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("text", "network", "cases", "reports", "intake")
+AREAS = ("text", "network", "cases", "reports", "intake", "streams")
 
 
 def _collect(what: str) -> dict:

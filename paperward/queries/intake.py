@@ -135,7 +135,7 @@ def intake_source_choice(spark, folder):
     )
 
 
-def calls(spark, folder):
+def calls_of(events):
     """Every event as a call; a fifth of them without a key."""
     tools = {
         "view": "inspect_document",
@@ -147,9 +147,9 @@ def calls(spark, folder):
     tool = F.when(F.lit(False), "")
     for event, name in tools.items():
         tool = tool.when(F.col("event_type") == event, name)
-    return read_table(spark, folder, "events").select(
+    return events.select(
         F.col("event_id").alias("call_id"),
-        "ts",
+        F.col("ts").cast("timestamp").alias("ts"),
         F.when(F.col("user_id") % 5 != 0, F.concat(F.lit("key-"), "user_id")).alias("key"),
         F.concat(F.lit("caller-"), F.col("event_id") % 50).alias("caller"),
         tool.alias("tool"),
@@ -166,16 +166,17 @@ CALLS_SQL = """calls AS (SELECT event_id AS call_id, ts, event_id,
 
 @query(f"""WITH {CALLS_SQL},
     used AS (SELECT coalesce(key, caller) AS account, key IS NULL AS anonymous,
-        CAST(CASE WHEN key IS NULL THEN date_trunc('hour', ts) ELSE date_trunc('month', ts) END AS TIMESTAMP) AS period,
+        strftime(CASE WHEN key IS NULL THEN date_trunc('hour', ts) ELSE date_trunc('month', ts) END, '%Y-%m-%d %H:%M:%S') AS period,
         CAST(sum(cost) AS BIGINT) AS documents, count(*) AS calls FROM calls GROUP BY ALL)
     SELECT *, documents > CASE WHEN anonymous THEN 10 ELSE 50 END AS over FROM used
 """)
 def usage_metering(spark, folder):
-    return M.usage(calls(spark, folder))
+    used = M.usage(calls_of(read_table(spark, folder, "events")))
+    return used.withColumn("period", F.date_format("period", "yyyy-MM-dd HH:mm:ss"))
 
 
 @query("""
-    SELECT doc_id AS call_id, source AS tenant, CAST(to_timestamp(1704067200 + doc_id * 60) AS TIMESTAMP) AS ts,
+    SELECT doc_id AS call_id, source AS tenant, strftime(make_timestamp((1704067200 + doc_id * 60) * 1000000), '%Y-%m-%d %H:%M:%S') AS ts,
            sha256(text) AS sha256,
            CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'macros' ELSE 'macros,links' END AS signal_ids,
            CAST(doc_id % 101 AS DOUBLE) AS score
@@ -198,7 +199,10 @@ def call_ledger(spark, folder):
         signals.alias("signals"),
         (F.col("doc_id") % 101).alias("score"),
     )
-    return M.ledger(done).withColumn("signal_ids", F.array_join("signal_ids", ","))
+    return M.ledger(done).withColumns({
+        "signal_ids": F.array_join("signal_ids", ","),
+        "ts": F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
+    })
 
 
 @query("""

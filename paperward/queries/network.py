@@ -123,14 +123,18 @@ def _expected(table: str, rows, names: str) -> str:
     return f"{table}(i, {names}) AS (VALUES {values})"
 
 
-def _urls(spark, folder):
+def urls_of(pages):
     """Every page; in turn its own URL and one of the planted ones."""
     turn = F.col("page_id") % (2 * _N)
     url = F.when(turn < _N, P.pick(turn, _URLS)).otherwise(F.col("url"))
-    return read_table(spark, folder, "pages").select("page_id", url.alias("url"))
+    return pages.select("page_id", url.alias("url"))
+
+
+def _urls(spark, folder):
+    return urls_of(read_table(spark, folder, "pages"))
 
 
-_URLS_SQL = f"""
+URLS_SQL = f"""
     {_expected('plant', URL_PLANTS, 'url, verdict, host, name')},
     urls AS (
         SELECT page_id, plant.i, coalesce(plant.url, pages.url) AS url,
@@ -146,7 +150,7 @@ _URLS_SQL = f"""
 
 
 @query(f"""
-    WITH {_URLS_SQL}
+    WITH {URLS_SQL}
     SELECT page_id, CASE WHEN verdict = 'blocked' THEN 'ok' ELSE verdict END AS verdict,
            CASE WHEN verdict = 'invalid-url' AND url NOT LIKE 'http%' THEN NULL
                 ELSE lower(regexp_extract(trim(url), '^([A-Za-z]+):', 1)) END AS scheme
@@ -160,13 +164,13 @@ def url_scheme(spark, folder):
     )
 
 
-@query(f"WITH {_URLS_SQL} SELECT page_id, host, verdict FROM urls")
+@query(f"WITH {URLS_SQL} SELECT page_id, host, verdict FROM urls")
 def url_screen(spark, folder):
     return K.screen_urls(_urls(spark, folder)).select("page_id", "host", "verdict")
 
 
 @query(f"""
-    WITH {_URLS_SQL}
+    WITH {URLS_SQL}
     SELECT page_id, CASE WHEN verdict = 'invalid-url' THEN NULL ELSE name END AS name
     FROM urls
 """)
