@@ -65,7 +65,7 @@ WIDE_SPACE = (
 SPACE = r"\x{20}" + WIDE_SPACE
 
 
-def _python_class(spec: str) -> str:
+def python_class(spec: str) -> str:
     return re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: re.escape(chr(int(m[1], 16))), spec)
 
 
@@ -146,7 +146,7 @@ def translate(text: Column, table: dict[str, str]) -> Column:
     return F.translate(text, "".join(table), "".join(table.values()))
 
 
-_INVISIBLE = re.compile("[" + _python_class(INVISIBLE) + "]")
+_INVISIBLE = re.compile("[" + python_class(INVISIBLE) + "]")
 _FOLD = str.maketrans(CONFUSABLES)
 
 
