@@ -294,8 +294,9 @@ def url_host(url: Column) -> Column:
         )
 
     def parse(text: Column) -> Column:
-        port = F.regexp_extract(text, ":([0-9]*)$", 1)
-        port_ok = ~port.rlike("^0*[0-9]{6,}$|^0*(?:6553[6-9]|655[4-9].|65[6-9]..|6[6-9]...|[7-9]....)$")
+        port = F.regexp_extract(text, ":0*([0-9]*)$", 1)
+        size = F.length(port)
+        port_ok = (size < 5) | ((size == 5) & (port <= "65535"))
         return F.when(
             port_ok,
             F.when(F.startswith(text, F.lit("[")), bracketed(text)).otherwise(named(text)),
