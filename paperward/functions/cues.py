@@ -116,9 +116,10 @@ def imperative_address(normalized: Column) -> Column:
 
 def all_categories(cues: Column, imperative: Column) -> Column:
     """Cue categories plus the imperative one, sorted."""
-    return F.when(
-        imperative, F.array_sort(F.array_append(cues, F.lit(L.IMPERATIVE)))
-    ).otherwise(cues)
+    more = F.when(imperative, F.array(F.lit(L.IMPERATIVE))).otherwise(
+        F.array().cast("array<string>")
+    )
+    return F.array_sort(F.concat(cues, more))
 
 
 def confidence(categories: Column) -> Column:
