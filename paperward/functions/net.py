@@ -47,11 +47,18 @@ def bare_address(ip: Column) -> Column:
     return F.substring_index(ip, "%", 1)
 
 
-def _v4_hex(ip: Column) -> Column:
-    octets = F.transform(
-        F.split(ip, r"\."), lambda o: F.lpad(F.lower(F.hex(o.cast("bigint"))), 2, "0")
+def v4_number(ip: Column) -> Column:
+    """A dotted address as a number, null where it is none."""
+    number = F.aggregate(
+        F.split(ip, r"\."),
+        F.lit(0).cast("bigint"),
+        lambda n, octet: n * 256 + octet.cast("bigint"),
     )
-    return F.when(ip.rlike(_V4), F.array_join(octets, ""))
+    return F.when(ip.rlike(_V4), number)
+
+
+def _v4_hex(ip: Column) -> Column:
+    return F.lpad(F.lower(F.hex(v4_number(ip))), 8, "0")
 
 
 def _v6_hex(ip: Column) -> Column:
@@ -90,50 +97,43 @@ def _v6_hex(ip: Column) -> Column:
 
 def ip_hex(ip: Column) -> Column:
     """Bytes of an address as hex, null where it does not parse."""
-    return let(bare_address(ip), lambda b: F.coalesce(_v4_hex(b), _v6_hex(b)))
+    return let(
+        bare_address(ip),
+        lambda b: F.when(F.contains(b, F.lit(":")), _v6_hex(b)).otherwise(_v4_hex(b)),
+    )
 
 
 def ip_bytes(ip: Column) -> Column:
     return F.unhex(ip_hex(ip))
 
 
-def _hex_ranges(networks: Sequence[str]) -> Column:
-    rows = []
-    for text in networks:
-        net = ipaddress.ip_network(text)
-        digits = net.max_prefixlen // 4
-        rows.append(F.struct(
-            F.lit(f"{int(net[0]):0{digits}x}").alias("lo"),
-            F.lit(f"{int(net[-1]):0{digits}x}").alias("hi"),
-        ))
-    return F.array(*rows)
+def _any_range(networks: Sequence[str], test: Callable) -> Column:
+    """The ranges are a fixed handful: constants in the expression, no join."""
+    nets = [ipaddress.ip_network(n) for n in networks]
+    return functools.reduce(
+        lambda a, b: a | b, [test(int(n[0]), int(n[-1])) for n in nets]
+    )
 
 
-def blocked_hex(address: Column) -> Column:
-    """Blocked test over :func:`ip_hex`; what did not parse is blocked.
+def _blocked_v4(number: Column) -> Column:
+    return _any_range(BLOCKED_V4, lambda lo, hi: number.between(lo, hi))
 
-    The ranges are a fixed handful, so they are a constant in the expression
-    and the screen needs no join.
-    """
 
-    def inside(value: Column, networks: Sequence[str]) -> Column:
-        return F.exists(
-            _hex_ranges(networks), lambda r: value.between(r["lo"], r["hi"])
-        )
-
-    mapped = F.startswith(address, F.lit(MAPPED_V4))
-    judged = F.when(
-        mapped & (F.length(address) == 32), F.substring(address, 25, 8)
-    ).otherwise(address)
-    return F.coalesce(
-        let(
-            judged,
-            lambda a: F.when(F.length(a) == 8, inside(a, BLOCKED_V4)).otherwise(
-                inside(a, BLOCKED_V6)
-            ),
-        ),
-        F.lit(True),
+def _blocked_v6(address: Column) -> Column:
+    tail = F.conv(F.substring(address, 25, 8), 16, 10).cast("bigint")
+    other = _any_range(
+        BLOCKED_V6, lambda lo, hi: address.between(f"{lo:032x}", f"{hi:032x}")
     )
+    return F.when(
+        F.startswith(address, F.lit(MAPPED_V4)), _blocked_v4(tail)
+    ).otherwise(other)
+
+
+def _blocked_bare(bare: Column) -> Column:
+    """Blocked test; what did not parse comes out null."""
+    return F.when(
+        F.contains(bare, F.lit(":")), let(_v6_hex(bare), _blocked_v6)
+    ).otherwise(let(v4_number(bare), _blocked_v4))
 
 
 def parse_allowed(setting: str | None) -> list[str]:
@@ -146,7 +146,7 @@ def is_blocked(ip: Column, allowed: Sequence[str] = ()) -> Column:
 
     Allow-listed addresses are compared as text, zone left off, before parsing.
     """
-    blocked = blocked_hex(ip_hex(ip))
+    blocked = F.coalesce(let(bare_address(ip), _blocked_bare), F.lit(True))
     if allowed:
         blocked = ~bare_address(ip).isin(*allowed) & blocked
     return F.coalesce(blocked, F.lit(True))
@@ -191,7 +191,9 @@ def _ascii_forms() -> dict[str, str]:
 def trim_url(url: Column) -> Column:
     """As URL parsers do: outer blanks go, tabs and line breaks go anywhere."""
     outer = F.regexp_replace(url, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
-    return F.regexp_replace(outer, "[\t\r\n]", "")
+    cleaned = F.regexp_replace(outer, "[\t\r\n]", "")
+    unclean = url.rlike(r"^[\x00-\x20]|[\x00-\x20]$|[\t\r\n]")
+    return F.when(unclean, cleaned).otherwise(url)
 
 
 def url_scheme(url: Column) -> Column:
@@ -268,8 +270,9 @@ def url_host(url: Column) -> Column:
     (``127.1``, ``0x7f000001``, ``2130706433``) become dotted decimal, since
     that is where a client would connect.
     """
-    authority = F.regexp_extract(trim_url(url), _SCHEME + r"[/\\]*([^/\\?#]*)", 2)
-    hostport = F.regexp_replace(authority, "^.*@", "")
+    hostport = F.regexp_extract(
+        trim_url(url), r"(?i)^https?:[/\\]*(?:[^/\\?#]*@)?([^/\\?#]*)", 1
+    )
 
     def named(text: Column) -> Column:
         host = F.regexp_extract(text, "^([^:]*)(?::[0-9]*)?$", 1)
@@ -302,11 +305,17 @@ def url_host(url: Column) -> Column:
             F.when(F.startswith(text, F.lit("[")), bracketed(text)).otherwise(named(text)),
         )
 
-    return F.when(url_scheme(url).isin(*ALLOWED_SCHEMES), let(hostport, parse))
+    # most URLs name a plain host, which needs no more than lower case
+    plain = r"^(?:[A-Za-z0-9\-]+\.)*[A-Za-z][A-Za-z0-9\-]*$"
+    return let(
+        hostport,
+        lambda h: F.when(h.rlike(plain), F.lower(h)).when(h != "", parse(h)),
+    )
 
 
 def is_literal_ip(host: Column) -> Column:
-    return ip_hex(host).isNotNull()
+    """Is a canonical host an address?"""
+    return F.contains(host, F.lit(":")) | host.rlike(_V4)
 
 
 def url_verdict(url: Column) -> Column:

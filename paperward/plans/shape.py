@@ -36,7 +36,7 @@ def spread(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").rstrip("b"))
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     return df.repartition(cores) if int(str(size)) < cores * split else df
 
@@ -91,3 +91,20 @@ def join_per_key(
     return joined.withColumn("_v", F.coalesce("_hot", "_cold")).select(
         *rows.columns, *[F.col(f"_v.{v}").alias(v) for v in values]
     )
+
+
+# Rows of a dimension that may be broadcast: one policy or the like each.
+LOOKUP_ROWS = 100_000
+
+
+def lookup(rows: DataFrame, dimension: DataFrame, keys: list[str], most: int = LOOKUP_ROWS) -> DataFrame:
+    """Left join to a dimension of one row per key.
+
+    The dimension is counted, up to the limit, and broadcast if it fits.  A
+    larger one is joined by shuffle with hot keys set apart.
+    """
+    if dimension.limit(most + 1).count() <= most:
+        return rows.join(F.broadcast(dimension), keys, "left")
+    counted = dimension.join(rows.groupBy(*keys).agg(F.count("*").alias("_n")), keys)
+    spread_by = F.monotonically_increasing_id()
+    return join_per_key(rows, counted, keys, "_n", spread_by)

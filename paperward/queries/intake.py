@@ -176,7 +176,7 @@ def usage_metering(spark, folder):
 
 
 @query("""
-    SELECT doc_id AS call_id, source AS tenant, strftime(make_timestamp((1704067200 + doc_id * 60) * 1000000), '%Y-%m-%d %H:%M:%S') AS ts,
+    SELECT doc_id AS call_id, source AS tenant, CAST(1704067200 + doc_id * 60 AS BIGINT) AS ts,
            sha256(text) AS sha256,
            CASE doc_id % 3 WHEN 0 THEN '' WHEN 1 THEN 'macros' ELSE 'macros,links' END AS signal_ids,
            CAST(doc_id % 101 AS DOUBLE) AS score
@@ -201,7 +201,7 @@ def call_ledger(spark, folder):
     )
     return M.ledger(done).withColumns({
         "signal_ids": F.array_join("signal_ids", ","),
-        "ts": F.date_format("ts", "yyyy-MM-dd HH:mm:ss"),
+        "ts": F.unix_seconds("ts"),
     })
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from paperward.functions import reports as R
 from paperward.operators import redact as X
-from paperward.plans.shape import compute_once
+from paperward.operators import reports as O
+from paperward.plans.shape import materialize
 from paperward.queries import planted as P
 from paperward.queries.registry import registry
 
@@ -109,9 +110,7 @@ def report_bodies(spark, folder):
 
 def _views(spark, folder):
     """Bodies parsed once."""
-    return compute_once(
-        report_bodies(spark, folder).drop("text"), "r", R.read_report(F.col("body"))
-    ).drop("body")
+    return O.with_view(report_bodies(spark, folder).drop("text"), out="r").drop("body")
 
 
 _BASE = """base AS (SELECT *, doc_id % 101 AS score, doc_id % 6 AS kind,
@@ -194,30 +193,30 @@ def injection_signals(spark, folder):
 
 
 @query("""
-    SELECT source, string_agg(DISTINCT category, ', ' ORDER BY category) AS categories,
-           sum(fields) AS fields, count(DISTINCT doc_id) AS reports
-    FROM (SELECT source, doc_id, unnest(['override', 'role-address']) AS category,
-                 (doc_id % 3 + 1) / 2.0 AS fields
-          FROM documents WHERE doc_id % 6 = 2) GROUP BY source
+    SELECT doc_id, CASE WHEN doc_id % 6 = 2 THEN 'override, role-address' ELSE '' END AS categories,
+           CAST(CASE WHEN doc_id % 6 = 2 THEN doc_id % 3 + 1 ELSE 0 END AS DOUBLE) AS fields
+    FROM documents
 """)
 def injection_rollup(spark, folder):
-    """Categories and field counts over all reports of a source."""
+    """Categories and field count of each report."""
     signals = F.col("r.signals")
-    per_report = _views(spark, folder).select(
-        "source",
-        R.injection_categories(signals).alias("categories"),
+    return _views(spark, folder).select(
+        "doc_id",
+        F.array_join(R.injection_categories(signals), ", ").alias("categories"),
         R.injection_fields_matched(signals).alias("fields"),
-    ).where(F.size("categories") > 0)
-    # the set holds a closed list of seven names at most
-    return per_report.groupBy("source").agg(
-        F.array_join(
-            F.array_sort(F.array_distinct(F.flatten(F.collect_set("categories")))), ", "
-        ).alias("categories"),
-        F.sum("fields").alias("fields"),
-        F.count("*").alias("reports"),
     )
 
 
+@query("""
+    SELECT source, category, count(*) AS reports, CAST(sum(doc_id % 3 + 1) AS DOUBLE) AS fields
+    FROM (SELECT source, doc_id, unnest(['override', 'role-address']) AS category
+          FROM documents WHERE doc_id % 6 = 2) GROUP BY source, category
+""")
+def injection_rollup_by_source(spark, folder):
+    """The same over all reports of a source."""
+    return O.category_totals(_views(spark, folder), "source", report="r")
+
+
 @query("""
     SELECT doc_id, doc_id % 6 IN (4, 5) AS exposed,
            CAST(CASE WHEN doc_id % 6 IN (4, 5) THEN 1 ELSE 0 END AS BIGINT) AS findings,
@@ -245,22 +244,16 @@ def redaction_check(spark, folder):
 """)
 def policy_verdict(spark, folder):
     """Each source is a tenant with thresholds and signal rules of its own."""
-    views = _views(spark, folder)
-    rules = "array<string>"
     policies = P.documents(spark, folder).select("source").distinct().select(
         "source",
         F.when(F.col("source") != "src1", 40).alias("review"),
         F.when(F.col("source") != "src2", 80).alias("reject"),
         F.when(F.col("source") == "src3", F.array(F.lit("redaction-exposure")))
-        .cast(rules).alias("reject_on"),
+        .cast("array<string>").alias("reject_on"),
         F.array(F.lit("office-hidden-content")).alias("review_on"),
     )
-    ids = F.transform("r.signals", lambda s: s["id"])
-    verdict = R.policy_verdict(
-        F.col("r.risk_score").cast("double"), ids, F.col("review"), F.col("reject"),
-        F.col("reject_on"), F.col("review_on"),
-    )
-    return views.join(policies, "source").select("doc_id", verdict.alias("policy_verdict"))
+    judged = O.apply_policies(_views(spark, folder), materialize(policies), "source", "r")
+    return judged.select("doc_id", "policy_verdict")
 
 
 @query(f"""WITH {_BASE}
@@ -283,19 +276,7 @@ def triage_route(spark, folder):
     FROM base GROUP BY source
 """)
 def triage_cost(spark, folder):
-    r = F.col("r")
-    cost = r["cost"]
-    return _views(spark, folder).groupBy("source").agg(
-        F.count("*").alias("reports"),
-        F.sum(cost["physical_bytes"]).alias("physical_bytes"),
-        F.sum(cost["expanded_bytes"]).alias("expanded_bytes"),
-        F.max(cost["expansion_ratio"].cast("double")).alias("max_ratio"),
-        F.try_divide(
-            F.sum(cost["expanded_bytes"]).cast("double"), F.sum(cost["physical_bytes"])
-        ).alias("ratio"),
-        F.sum(F.coalesce(F.greatest(F.size(r["suppressed_families"]), F.lit(0)), F.lit(0)))
-        .cast("bigint").alias("suppressed_families"),
-    )
+    return O.triage_costs(_views(spark, folder), "source", report="r")
 
 
 # -- redaction --------------------------------------------------------------

@@ -19,8 +19,6 @@ from paperward.streaming import jobs as J
 
 QUERIES, ORACLES, query = registry()
 
-_STAMP = "yyyy-MM-dd HH:mm:ss"
-
 
 @query(FIELDS_SQL)
 def stream_classify(spark, folder):
@@ -38,7 +36,7 @@ def stream_classify(spark, folder):
 def stream_metering(spark, folder):
     used = J.metering_stream(calls_of(stream_table(spark, folder, "events")))
     return J.run_to_table(spark, used, "metering").withColumn(
-        "period", F.date_format("period", _STAMP)
+        "period", F.date_format("period", "yyyy-MM-dd HH:mm:ss")
     )
 
 
@@ -70,7 +68,7 @@ _ARRIVALS = """arrivals AS (SELECT conv_id AS case_id, turn AS doc_idx,
 
 
 @query(f"""WITH {_ARRIVALS}
-    SELECT case_id, strftime(make_timestamp(t // 3600 * 3600000000), '%Y-%m-%d %H:%M:%S') AS period, sha AS sha256,
+    SELECT case_id, CAST(t // 3600 * 3600 AS BIGINT) AS period, sha AS sha256,
            string_agg(doc_idx, ',' ORDER BY doc_idx) AS documents
     FROM arrivals GROUP BY case_id, t // 3600, sha
     HAVING count(*) > 1 AND (t // 3600 + 1) * 3600 <= (SELECT mark FROM closed)
@@ -79,14 +77,14 @@ def stream_same_file(spark, folder):
     found = J.same_file_stream(_arrivals(spark, folder))
     return J.run_to_table(spark, found, "same-file").select(
         "case_id",
-        F.date_format("period", _STAMP).alias("period"),
+        F.unix_seconds("period").alias("period"),
         "sha256",
         F.array_join(F.col("documents").cast("array<string>"), ",").alias("documents"),
     )
 
 
 @query(f"""WITH {_ARRIVALS}
-    SELECT case_id, strftime(make_timestamp(min(t) * 1000000), '%Y-%m-%d %H:%M:%S') AS opened, count(*) AS n_docs,
+    SELECT case_id, CAST(min(t) AS BIGINT) AS opened, count(*) AS n_docs,
         'Across the case, inconsistencies to review (not verdicts): ' || CASE case_id % 3 WHEN 0 THEN 'same-file'
         WHEN 1 THEN 'same-base-file' ELSE 'shared-creation-instant' END || ' [0, 1].' AS summary
     FROM arrivals GROUP BY case_id HAVING max(t) + 900 <= (SELECT mark FROM closed)
@@ -95,7 +93,7 @@ def stream_case(spark, folder):
     found = J.case_stream(_arrivals(spark, folder))
     return J.run_to_table(spark, found, "case").select(
         "case_id",
-        F.date_format("opened", _STAMP).alias("opened"),
+        F.unix_seconds("opened").alias("opened"),
         "n_docs",
         F.coalesce("error", K.cross_line(F.col("findings"))).alias("summary"),
     )

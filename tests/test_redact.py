@@ -292,3 +292,26 @@ def test_triage_never_says_clean(spark):
     df = spark.createDataFrame([(75.0, None), (0.0, 100.0), (0.0, 1.0), (None, None)], "s double, r double")
     out = [r[0] for r in df.select(R.triage_route(F.col("s"), F.col("r"))).collect()]
     assert out == ["reject", "reject", "escalate", "escalate"]
+
+
+def test_policies_by_tenant(spark):
+    """Broadcast or shuffled, a policy table gives the same verdicts."""
+    from paperward.operators import reports as O
+    from paperward.plans import shape
+
+    bodies = [{"summary": {"riskScore": i}, "signals": [{"id": "a"}]} for i in range(100)]
+    df = _bodies(spark, bodies).withColumn(
+        "t", F.when(F.col("i") % 3 == 0, "x").otherwise(F.concat(F.lit("t"), F.col("i") % 7))
+    )
+    rules = spark.createDataFrame(
+        [("x", 50, None, None, ["a"]), ("t1", 10, 60, None, None), ("t2", None, None, ["a"], None)],
+        "t string, review int, reject int, reject_on array<string>, review_on array<string>",
+    )
+    reports = O.with_view(df)
+    small = {r["i"]: r["policy_verdict"] for r in O.apply_policies(reports, rules, "t").collect()}
+    key = F.struct("review", "reject", "reject_on", "review_on").alias("_p")
+    large = shape.lookup(reports, rules.select("t", key), ["t"], most=1)
+    assert large.columns[-1] == "_p" and large.count() == 100
+    assert large.where("_p IS NOT NULL").count() == sum(v is not None for v in small.values())
+    assert (small[0], small[1], small[8], small[71], small[2]) == ("review", "accept", "accept", "reject", "reject")
+    assert small[4] is None
