@@ -158,19 +158,18 @@ def canonical_v6(address: Column) -> Column:
         F.sequence(F.lit(0), F.lit(7)),
         lambda i: F.regexp_replace(F.substr(address, i * 4 + 1, F.lit(4)), "^0{1,3}", ""),
     )
+    runs = F.lit([":0" * n + ":" for n in range(8, 1, -1)])
 
     def compress(text: Column) -> Column:
-        out = F.when(F.lit(False), text)
-        for run in range(8, 1, -1):
-            pattern = (
-                rf"^((?:[0-9a-f]+:)*?)0(?::0){{{run - 1}}}(?::((?:[0-9a-f]+:?)+))?$"
-            )
-            cut = F.regexp_replace(text, pattern, "$1:$2")
-            lead = F.when(F.startswith(cut, F.lit(":")), ":").otherwise("")
-            out = out.when(text.rlike(pattern), F.concat(lead, cut))
-        return out.otherwise(text)
+        run = F.get(F.filter(runs, lambda r: F.contains(text, r)), F.lit(0))
+        at = F.position(run, text)
+        cut = F.concat(
+            F.substr(text, F.lit(1), at - 1), F.lit("::"), F.substr(text, at + F.length(run))
+        )
+        # the text comes with a colon at either end, for runs at the borders
+        return F.regexp_replace(F.coalesce(cut, text), "^:(?!:)|(?<!:):$", "")
 
-    return let(F.array_join(groups, ":"), compress)
+    return let(F.concat(F.lit(":"), F.array_join(groups, ":"), F.lit(":")), compress)
 
 
 # -- URLs -------------------------------------------------------------------

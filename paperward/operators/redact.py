@@ -72,25 +72,12 @@ def redact_reports(df: DataFrame, body: str = "body") -> DataFrame:
     return df.transform(redact_untrusted, body).transform(redact_recovered, body)
 
 
-def _children(value: Column) -> Column:
-    """Entries of an object or array as ``(_pos, _key, _child)``, else null."""
-    members = F.map_entries(F.try_variant_get(value, "$", "map<string,variant>"))
-    items = F.try_variant_get(value, "$", "array<variant>")
-    no_key, no_pos = F.lit(None).cast("string"), F.lit(None).cast("int")
-    return F.coalesce(
-        F.transform(
-            members,
-            lambda m: F.struct(
-                no_pos.alias("_pos"), m["key"].alias("_key"), m["value"].alias("_child")
-            ),
-        ),
-        F.transform(
-            items,
-            lambda x, i: F.struct(
-                i.alias("_pos"), no_key.alias("_key"), x.alias("_child")
-            ),
-        ),
-    )
+# Entries of an object or array, null for anything else.
+_CHILDREN = """coalesce(
+    transform(map_entries(try_variant_get(value, '$', 'map<string,variant>')),
+        m -> named_struct('pos', cast(null as int), 'key', m.key, 'value', m.value)),
+    transform(try_variant_get(value, '$', 'array<variant>'),
+        (x, i) -> named_struct('pos', i, 'key', cast(null as string), 'value', x)))"""
 
 
 def evidence_leaves(
@@ -120,23 +107,18 @@ def evidence_leaves(
         F.lit(False).alias("under_listed"),
         evidence.alias("value"),
     )
+    listed = ", ".join(f"'{k}'" for k in J.PAYLOAD_KEYS)
     for level in range(levels):
-        df = df.select("*", F.explode_outer(_children(F.col("value"))).alias("_c"))
-        df = df.select("*", "_c.*").drop("_c")
-        down = F.col("_child").isNotNull()
-        step = F.coalesce(F.col("_key"), F.col("_pos").cast("string"))
-        listed = F.coalesce(F.col("key").isin(*J.PAYLOAD_KEYS), F.lit(False))
-        df = df.select(
+        df = df.selectExpr("*", f"explode_outer({_CHILDREN}) as c").selectExpr(
             report_id,
             "signal_idx",
-            F.when(down, F.array_append("path", step)).otherwise(F.col("path")).alias("path"),
-            F.when(down, F.col("_key")).otherwise(F.col("key")).alias("key"),
-            F.when(down, level).otherwise(F.col("depth")).alias("depth"),
-            F.when(down, F.col("_key").isNull()).otherwise(F.col("in_array")).alias("in_array"),
-            F.when(down, F.col("_key").isNull() & listed & ~F.col("in_array"))
-            .otherwise(F.col("under_listed"))
-            .alias("under_listed"),
-            F.when(down, F.col("_child")).otherwise(F.col("value")).alias("value"),
+            "if(c is null, path, array_append(path, coalesce(c.key, cast(c.pos as string)))) as path",
+            "if(c is null, key, c.key) as key",
+            f"if(c is null, depth, {level}) as depth",
+            "if(c is null, in_array, c.key is null) as in_array",
+            "if(c is null, under_listed, c.key is null and not in_array"
+            f" and coalesce(key in ({listed}), false)) as under_listed",
+            "if(c is null, value, c.value) as value",
         )
     kind = F.schema_of_variant(F.col("value"))
     return (
