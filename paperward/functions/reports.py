@@ -36,6 +36,16 @@ TRIAGE_CAVEAT = (
     " checked. A quiet result is not a clean document: run inspect_document for"
     " a full check.",
 )
+EXPOSED = (
+    ": REDACTION FAILURE — text is still present under a covering shape, or redaction"
+    " marks were left unapplied. The recovered words are in the findings below;"
+    " anyone receiving this file can read them too."
+)
+NOT_EXPOSED = (
+    ": no exposed text found under a covering shape, and no unapplied redaction"
+    " marks. Blind spots remain: content inside form XObjects is not walked, and a"
+    " flattened or image-only page has no text layer to search."
+)
 FULL_REPORT = " (Full report — this medium has no separate cheap tier.)"
 
 

@@ -133,23 +133,85 @@ def fetch_outcomes(
     no window and no task that holds a whole chain.
     """
     ended = F.when(
-        F.col("outcome").isNotNull(), F.struct("hop", "outcome", "status")
+        F.col("outcome").isNotNull(),
+        F.struct(
+            "hop", "outcome", "status", "url", "location", "declared_len", "received_len"
+        ),
     )
-    return (
+    ends = (
         hop_outcomes(hops, timeout, allowed)
         .groupBy("fetch_id")
         .agg(
             F.count("*").alias("requests"),
+            F.min_by("url", "hop").alias("url"),
             F.min(ended).alias("_end"),
         )
-        .select(
-            "fetch_id",
-            "requests",
-            F.coalesce("_end.outcome", F.lit("unfinished")).alias("outcome"),
-            F.col("_end.hop").alias("ended_at"),
-            F.col("_end.status").alias("status"),
+    )
+    outcome = F.coalesce("_end.outcome", F.lit("unfinished"))
+    return ends.select(
+        "fetch_id",
+        "url",
+        "requests",
+        outcome.alias("outcome"),
+        F.col("_end.hop").alias("ended_at"),
+        F.col("_end.status").alias("status"),
+        fetch_message(F.col("url"), F.col("_end"), timeout_ms(timeout)).alias("message"),
+        F.when(outcome == "ok", N.url_display_name(F.col("url"))).alias("name"),
+    )
+
+
+def fetch_message(url: Column, end: Column, limit: float) -> Column:
+    """Why a fetch failed, in words; null where it did not.
+
+    A blocked address is never named: it is what a prober wants to learn.
+    """
+
+    def text(pattern: str, *args: Column) -> Column:
+        return F.format_string(pattern, url, *args)
+
+    def megabytes(length: Column) -> Column:
+        return length / F.lit(1024.0 * 1024.0)
+
+    scheme = N.url_scheme(end["url"])
+    seconds = f"{limit / 1000:g}"
+    refused = F.when(
+        end["hop"] == 0,
+        F.format_string(
+            'url must be http: or https: — refusing %s: ("%s").', scheme, url
+        ),
+    ).otherwise(
+        text(
+            "%s redirected to a %s: URL, which is not allowed — only http:/https:", scheme
         )
     )
+    words = {
+        "invalid-url": text('not a valid URL: "%s"'),
+        "scheme-refused": refused,
+        "blocked": text(
+            "refusing to fetch %s: it resolves to a non-routable or otherwise blocked"
+            " address (loopback, link-local/metadata, private or reserved)."
+        ),
+        "timeout": text(f"fetching %s timed out after {seconds}s"),
+        "unreachable": text("could not fetch %s"),
+        "redirect-limit": text(f"%s exceeded the redirect limit ({N.MAX_REDIRECTS})"),
+        "invalid-location": text(
+            '%s redirected to an invalid location "%s"', end["location"]
+        ),
+        "http-error": text("fetching %s failed with HTTP %d", end["status"]),
+        "declared-too-large": text(
+            "%s is %.1f MB by its Content-Length, over the 10 MB limit.",
+            megabytes(end["declared_len"]),
+        ),
+        "received-too-large": text(
+            "%s is over the 10 MB limit — stopped after %.1f MB.",
+            megabytes(end["received_len"]),
+        ),
+        "empty-body": text("%s returned an empty body"),
+    }
+    message = F.when(F.lit(False), "")
+    for outcome, line in words.items():
+        message = message.when(end["outcome"] == outcome, line)
+    return message
 
 
 def describe_failures(df: DataFrame, status: str = "status", body: str = "body") -> DataFrame:

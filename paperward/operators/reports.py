@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperward.functions import reports as R
+from paperward.operators.redact import redact_reports
 from paperward.plans.shape import compute_once, lookup
 
 
@@ -14,6 +15,69 @@ def with_view(reports: DataFrame, body: str = "body", out: str = "report") -> Da
     return compute_once(reports, out, R.read_report(F.col(body)))
 
 
+def inspect(reports: DataFrame, name: str = "name", body: str = "body") -> DataFrame:
+    """The answer about each document: its redacted body and a line about it.
+
+    Bodies come redacted by both passes, always, so the answer is safe for a
+    model to read.  A body that only carries an error says so.
+    """
+    safe = reports.transform(redact_reports, body).transform(with_view, body, "report")
+    line = F.when(
+        F.col("report.error").isNotNull(),
+        F.concat(
+            F.col(name), F.lit(": not analysed ("), F.col("report.error"), F.lit(")")
+        ),
+    ).otherwise(R.summary_line(F.col(name), F.col("report")))
+    return safe.withColumn("line", line)
+
+
+def triage(reports: DataFrame, name: str = "name", body: str = "body") -> DataFrame:
+    """The cheap answer: redacted body, cost line and where to send the file."""
+    safe = reports.transform(redact_reports, body).transform(with_view, body, "report")
+    view = F.col("report")
+    return safe.withColumns({
+        "line": R.triage_line(F.col(name), view),
+        "route": R.triage_route(
+            view["risk_score"].try_cast("double"),
+            view["cost"]["expansion_ratio"].try_cast("double"),
+        ),
+    })
+
+
+def check_redaction(
+    reports: DataFrame, name: str = "name", body: str = "body"
+) -> DataFrame:
+    """Did redactions remove the words?  Every document gets an answer.
+
+    Adds ``exposed``, ``findings`` (whole signals as JSON), ``media_type`` and
+    ``line``.  Recovered words are kept unless they read as an instruction.
+    """
+    safe = reports.transform(redact_reports, body)
+    doc = F.try_parse_json(F.col(body))
+    signals = F.coalesce(
+        F.try_variant_get(doc, "$.signals", "array<variant>"),
+        F.array().cast("array<variant>"),
+    )
+    found = F.transform(
+        F.filter(
+            signals,
+            lambda s: F.try_variant_get(s, "$.id", "string").eqNullSafe(
+                F.lit(R.REDACTION_SIGNAL)
+            ),
+        ),
+        lambda s: F.to_json(s),
+    )
+    safe = compute_once(safe, "findings", found)
+    exposed = F.size("findings") > 0
+    return safe.withColumns({
+        "exposed": exposed,
+        "media_type": F.when(~exposed, F.try_variant_get(doc, "$.mediaType", "string")),
+        "line": F.concat(
+            F.col(name), F.when(exposed, R.EXPOSED).otherwise(R.NOT_EXPOSED)
+        ),
+    })
+
+
 def apply_policies(
     reports: DataFrame, policies: DataFrame, tenant: str, report: str = "report"
 ) -> DataFrame:

@@ -87,8 +87,8 @@ def _values(rows) -> str:
         CASE reason WHEN 'not-absolute' THEN 'path must be absolute, got "' || path || '"'
             WHEN 'missing' THEN 'no file at ' || path WHEN 'not-a-file' THEN path || ' is not a file'
             WHEN 'empty' THEN path || ' is empty'
-            WHEN 'outside-allowed' THEN path || ' is outside the directories this server is allowed to read'
-            WHEN 'too-large' THEN path || ' is ' || printf('%.1f', length / 1048576.0) || ' MB, over the 10 MB limit'
+            WHEN 'outside-allowed' THEN path || ' is outside the directories this server is allowed to read. Move the file into an allowed directory or send it by url.'
+            WHEN 'too-large' THEN path || ' is ' || printf('%.1f', length / 1048576.0) || ' MB, over the 10 MB limit.'
         END AS message
     FROM pages JOIN plant ON page_id % {len(MANIFEST_PLANTS)} = i
 """)

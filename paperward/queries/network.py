@@ -337,6 +337,41 @@ def fetch_outcome(spark, folder):
     )
 
 
+# What each scenario says; %s stands for the URL asked for.
+_MESSAGES = {
+    "scheme-refused": "%s redirected to a file: URL, which is not allowed — only http:/https:",
+    "blocked": "refusing to fetch %s: it resolves to a non-routable or otherwise blocked"
+    " address (loopback, link-local/metadata, private or reserved).",
+    "timeout": "fetching %s timed out after 30s",
+    "unreachable": "could not fetch %s",
+    "redirect-limit": "%s exceeded the redirect limit (5)",
+    "invalid-location": '%s redirected to an invalid location "http://[bad"',
+    "invalid-url": 'not a valid URL: "%s"',
+    "declared-too-large": "%s is 10.0 MB by its Content-Length, over the 10 MB limit.",
+    "received-too-large": "%s is over the 10 MB limit — stopped after 10.0 MB.",
+    "empty-body": "%s returned an empty body",
+}
+_MESSAGES_SQL = " ".join(
+    f"WHEN '{k}' THEN replace({S.lit(v)}, '%s', url)" for k, v in _MESSAGES.items()
+)
+
+
+@query(f"""
+    WITH {_SCENARIOS_SQL},
+    asked AS (SELECT page_id, outcome, status, CASE WHEN outcome = 'invalid-url' THEN 'not a url' ELSE url END AS url,
+              coalesce(nullif(regexp_extract(regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', ''),
+                       '^https?://[^/]+.*/([^/]+)$', 1), ''), 'document') AS name
+              FROM pages JOIN scenario ON page_id % {len(SCENARIOS)} = i)
+    SELECT page_id AS fetch_id, CASE outcome {_MESSAGES_SQL}
+             WHEN 'http-error' THEN 'fetching ' || url || ' failed with HTTP ' || status END AS message,
+           CASE WHEN outcome = 'ok' THEN name END AS name
+    FROM asked
+""")
+def fetch_message(spark, folder):
+    """The same outcomes in words, and the name of what was fetched."""
+    return K.fetch_outcomes(_hops(spark, folder)).select("fetch_id", "message", "name")
+
+
 _HOPS_SQL = ", ".join(
     f"({i}, {n}, {'NULL' if label is None else S.lit(label)})"
     for i, (hops, _, outcome, ended, _) in enumerate(SCENARIOS)

@@ -220,18 +220,49 @@ def injection_rollup_by_source(spark, folder):
 @query("""
     SELECT doc_id, doc_id % 6 IN (4, 5) AS exposed,
            CAST(CASE WHEN doc_id % 6 IN (4, 5) THEN 1 ELSE 0 END AS BIGINT) AS findings,
-           CASE WHEN doc_id % 6 IN (4, 5) THEN NULL ELSE 'application/pdf' END AS media_type
+           CASE doc_id % 6 WHEN 4 THEN text WHEN 5 THEN '[redacted]' END AS hidden,
+           CASE WHEN doc_id % 6 IN (4, 5) THEN NULL ELSE 'application/pdf' END AS media_type,
+           'doc_' || doc_id || '.pdf' || CASE WHEN doc_id % 6 IN (4, 5)
+             THEN ': REDACTION FAILURE — text is still present under a covering shape, or redaction marks were left'
+               || ' unapplied. The recovered words are in the findings below; anyone receiving this file can read them too.'
+             ELSE ': no exposed text found under a covering shape, and no unapplied redaction marks. Blind spots remain:'
+               || ' content inside form XObjects is not walked, and a flattened or image-only page has no text layer to search.'
+             END AS line
     FROM documents
 """)
 def redaction_check(spark, folder):
     """Every document gets an answer; none found is an answer too."""
-    found = F.size(R.redaction_signals(F.col("r.signals")))
-    return _views(spark, folder).select(
+    out = O.check_redaction(report_bodies(spark, folder), "file")
+    first = F.try_parse_json(F.get("findings", F.lit(0)))
+    return out.select(
         "doc_id",
-        (found > 0).alias("exposed"),
-        found.cast("bigint").alias("findings"),
-        F.when(found == 0, F.col("r.media_type")).alias("media_type"),
+        "exposed",
+        F.size("findings").cast("bigint").alias("findings"),
+        F.try_variant_get(first, "$.evidence.text", "string").alias("hidden"),
+        "media_type",
+        "line",
+    )
+
+
+@query("""
+    SELECT doc_id, CASE WHEN doc_id % 6 IN (2, 3) THEN 'true' END AS redacted,
+           doc_id % 6 = 2 AS announced, doc_id % 101 >= 75 OR coalesce(doc_id % 7 <> 0 AND doc_id % 120 >= 99, false) AS rejected
+    FROM documents
+""")
+def inspect_answer(spark, folder):
+    """Whole answers of both tiers over the same bodies."""
+    bodies = report_bodies(spark, folder)
+    full = O.inspect(bodies, "file")
+    flag = F.try_variant_get(
+        F.try_parse_json("body"), "$.signals[0].evidence.payloadRedacted", "string"
+    )
+    quick = O.triage(bodies, "file").select(
+        "doc_id", (F.col("route") == "reject").alias("rejected")
     )
+    return full.select(
+        "doc_id", flag.alias("redacted"),
+        F.contains("line", F.lit("PROMPT-INJECTION MARKERS")).alias("announced"),
+    ).join(quick, "doc_id")
 
 
 @query(f"""WITH {_BASE},

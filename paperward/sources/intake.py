@@ -171,9 +171,13 @@ def intake_message(path: Column, reason: Column, length: Column) -> Column:
         .when(reason == REASONS[3], line(path, " is empty"))
         .when(
             reason == REASONS[4],
-            line(path, " is outside the directories this server is allowed to read"),
+            line(
+                path,
+                " is outside the directories this server is allowed to read. Move the"
+                " file into an allowed directory or send it by url.",
+            ),
         )
-        .when(reason == REASONS[5], line(path, " is ", size, " MB, over the 10 MB limit"))
+        .when(reason == REASONS[5], line(path, " is ", size, " MB, over the 10 MB limit."))
     )
 
 
