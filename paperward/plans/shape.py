@@ -70,10 +70,14 @@ def join_per_key(
     """Left join of ``rows`` to one row per key, safe for a hot key.
 
     ``weight`` is the number of rows each key of ``per_key`` has; it is not part
-    of the result.  Hot keys are answered by a broadcast join, and their rows,
-    salted, go through the shuffle join evenly without meeting a partner.
+    of the result.  ``per_key`` is worked out once and written to the shared
+    folder.  Where it has hot keys, these are answered by a broadcast join, and
+    their rows, salted, go through the shuffle join evenly without a partner.
     """
     values = [c for c in per_key.columns if c not in (*keys, weight)]
+    per_key = materialize(per_key)
+    if per_key.where(F.col(weight) > hot_rows).isEmpty():
+        return rows.join(per_key.drop(weight), keys, "left").select(*rows.columns, *values)
     hot = per_key.where(F.col(weight) > hot_rows).select(
         *keys, F.struct(*values).alias("_hot")
     )
