@@ -92,20 +92,44 @@ def compare_slots(body) -> list[Slot]:
     return list(every_slot(body)) if isinstance(body, dict) else []
 
 
-def _load(text: str | None):
+# Answer for a body that cannot be read; no redacted body is empty.
+UNREADABLE = ""
+
+
+def _no_constant(name: str):
+    raise ValueError(f"{name} is no JSON")
+
+
+def _load(text: str):
+    """Parsed body; raises ``ValueError`` also for nesting without end."""
     try:
-        return None if text is None else json.loads(text)
-    except ValueError:
-        return None
+        return json.loads(text, parse_constant=_no_constant)
+    except RecursionError as err:
+        raise ValueError("nested too deeply") from err
 
 
 def _dump(body) -> str:
-    return json.dumps(body, ensure_ascii=False, separators=(",", ":"))
+    try:
+        text = json.dumps(body, ensure_ascii=False, separators=(",", ":"))
+        text.encode()
+    except UnicodeEncodeError:  # half of a surrogate pair has to stay escaped
+        return json.dumps(body, separators=(",", ":"))
+    except RecursionError:
+        return UNREADABLE
+    return text
+
 
+def _whole(text: str) -> str:
+    """Text without halves of surrogate pairs, which Arrow cannot carry."""
+    return text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
 
-def drop_untrusted(text: str | None) -> str | None:
+
+def drop_untrusted(text: str) -> str | None:
     """Body with untrusted signals elided, or null if there are none."""
-    body = _load(text)
+    try:
+        body = _load(text)
+    except ValueError:
+        return UNREADABLE
     untrusted = [
         e
         for e in _evidences(body)
@@ -128,11 +152,13 @@ _CANDIDATES = ArrayType(
 )
 
 
-def _candidates(text: str | None, find) -> list[dict] | None:
-    body = _load(text)
-    if body is None:
+def _candidates(text: str, find) -> list[dict] | None:
+    """Strings to be judged; null for a body that cannot be read."""
+    try:
+        body = _load(text)
+    except ValueError:
         return None
-    values = [node[key] for node, key in find(body)]
+    values = [_whole(node[key]) for node, key in find(body)]
     return [
         {"value": v, "plain": None if v.isascii() else plain_form(v)} for v in values
     ]

@@ -305,7 +305,8 @@ def url_host(url: Column) -> Column:
         )
 
     # most URLs name a plain host, which needs no more than lower case
-    plain = r"^(?:[A-Za-z0-9\-]+\.)*[A-Za-z][A-Za-z0-9\-]*$"
+    # (possessive, so that a host of very many labels cannot exhaust the stack)
+    plain = r"^(?:[A-Za-z0-9\-]++\.)*+[A-Za-z][A-Za-z0-9\-]*+$"
     return let(
         hostport,
         lambda h: F.when(h.rlike(plain), F.lower(h)).when(h != "", parse(h)),
@@ -370,20 +371,28 @@ def _encode_path(text: Column) -> Column:
 
 def url_display_name(url: Column) -> Column:
     """Name of a fetched document: decoded last path segment, or ``document``."""
-    none = F.array().cast("array<string>")
+    # Read from the end: ``..`` drops the segment before it, and the first
+    # segment left standing is the name.
+    start = F.struct(F.lit(0).alias("drop"), F.lit(None).cast("string").alias("name"))
 
-    def walk(done: Column, segment: Column) -> Column:
+    def back(state: Column, segment: Column) -> Column:
         dots = F.lower(F.regexp_replace(segment, "(?i)%2e", "."))
-        up = F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))
+
+        def now(drop: Column, name: Column | None = None) -> Column:
+            kept = state["name"] if name is None else name
+            return F.struct(drop.cast("int").alias("drop"), kept.alias("name"))
+
         return (
-            F.when(dots == ".", done)
-            .when(dots == "..", up)
-            .otherwise(F.array_append(done, segment))
+            F.when(state["name"].isNotNull() | (dots == "."), state)
+            .when(dots == "..", now(state["drop"] + 1))
+            .when(state["drop"] > 0, now(state["drop"] - 1))
+            .when(segment != "", now(state["drop"], segment))
+            .otherwise(state)
         )
 
     segments = F.split(F.translate(url_path(url), "\\", "/"), "/", -1)
-    kept = F.filter(F.aggregate(segments, none, walk), lambda s: s != "")
-    base = F.coalesce(F.get(kept, F.size(kept) - 1), F.lit(""))
+    last = F.aggregate(F.reverse(segments), start, back)
+    base = F.coalesce(last["name"], F.lit(""))
     return let(
         base,
         lambda b: let(

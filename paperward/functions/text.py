@@ -18,7 +18,7 @@ MATCHABLE = "struct<text string, obfuscation array<string>>"
 
 def nfkc(text: Column) -> Column:
     return F.coalesce(
-        U.compose_compatibility(F.when(U.needs_unicode(text), text)), text
+        U.compose_compatibility(U.for_python(text, U.needs_unicode(text))), text
     )
 
 
@@ -40,7 +40,7 @@ def fold_confusables(text: Column) -> Column:
 
 def deaccent(text: Column) -> Column:
     """NFD without U+0300-U+036F."""
-    hard = U.accentless(F.when(U.needs_unicode(text), text))
+    hard = U.accentless(U.for_python(text, U.needs_unicode(text)))
     easy = F.when(U.is_ascii(text), text).otherwise(
         U.translate(text, U.accent_table())
     )

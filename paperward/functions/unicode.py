@@ -142,6 +142,14 @@ def needs_unicode(text: Column) -> Column:
     )
 
 
+def for_python(text: Column, wanted: Column) -> Column:
+    """Input of an Arrow function: null where it is not wanted, never bad bytes.
+
+    Bytes that are no UTF-8 would fail the task; they cross as U+FFFD.
+    """
+    return F.when(wanted, F.make_valid_utf8(text))
+
+
 def translate(text: Column, table: dict[str, str]) -> Column:
     return F.translate(text, "".join(table), "".join(table.values()))
 

@@ -25,7 +25,7 @@ def with_matchable(
     raw = F.col(text)
     if strip_isolates:
         raw = F.regexp_replace(raw, f"[{U.ISOLATES}]", "")
-    df = df.withColumn("_forms", U.unicode_forms(F.when(U.needs_unicode(raw), raw)))
+    df = df.withColumn("_forms", U.unicode_forms(U.for_python(raw, U.needs_unicode(raw))))
     df = df.withColumn("_folded", T.folded_text(raw, F.col("_forms.plain")))
     df = df.withColumn(f"{out}_nfkc", F.coalesce(F.col("_forms.nfkc"), F.col(text)))
     matchable = T.collapse_whitespace(F.col("_folded"))

@@ -20,7 +20,10 @@ GLOSS = {
 }
 
 # A money amount, with its sign or code.  Callers may pass their own pattern.
-DEFAULT_TOKEN = r"(?:[$€£]|R\$)\s?[0-9][0-9.,]*[0-9]|[0-9][0-9.,]*[0-9]\s?(?:[$€£]|USD|EUR|BRL)"
+# It starts at the first digit of a number and never backs off, so a long run of
+# digits costs no more than its length.
+_AMOUNT = r"(?<![0-9])(?<![0-9][.,])[0-9]++(?:[.,][0-9]++)*+"
+DEFAULT_TOKEN = rf"(?:[$€£]|R\$)\s?{_AMOUNT}|{_AMOUNT}\s?(?:[$€£]|USD|EUR|BRL)"
 
 
 def relationship(original: Column, candidate: Column) -> Column:

@@ -3,6 +3,9 @@
 Bodies are redacted where they stand: no shuffle, no grouping.  A cheap text
 test keeps bodies that cannot hold a candidate away from Python, and cue
 matching itself runs in the JVM on the candidate strings.
+
+A body that may hold a candidate but cannot be read as JSON is withheld: it comes
+out null, since nothing is known about what it would deliver.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from paperward.functions import cues as C
 from paperward.functions import json_tree as J
 from paperward.functions import text as T
 from paperward.functions.net import let
+from paperward.functions.unicode import for_python
 from paperward.plans.shape import compute_once
 
 
@@ -40,17 +44,24 @@ def _matches(candidate: Column) -> Column:
 def redact_untrusted(df: DataFrame, body: str = "body") -> DataFrame:
     """Elide author-written strings of signals that flag themselves untrusted."""
     text = F.col(body)
-    elided = J.elide_untrusted(F.when(_may_hold(text, J.UNTRUSTED_FLAG), text))
-    return df.withColumn(body, F.coalesce(elided, text))
+    elided = J.elide_untrusted(for_python(text, _may_hold(text, J.UNTRUSTED_FLAG)))
+    df = df.withColumn("_new", elided)
+    return df.withColumn(body, F.nullif(F.coalesce("_new", text), F.lit(J.UNREADABLE))).drop(
+        "_new"
+    )
 
 
 def _elide_matching(df: DataFrame, body: str, gate: Column, find, rewrite) -> DataFrame:
     text = F.col(body)
-    df = df.withColumn("_found", find(F.when(gate, text)))
+    df = df.withColumn("_found", find(for_python(text, gate)))
+    unread = gate & F.col("_found").isNull()
     df = compute_once(df, "_hits", F.transform(F.col("_found"), _matches))
     touched = F.coalesce(F.array_contains(F.col("_hits"), True), F.lit(False))
-    new = rewrite(F.when(touched, text), F.when(touched, F.col("_hits")))
-    return df.withColumn(body, F.coalesce(new, text)).drop("_found", "_hits")
+    df = df.withColumn(
+        "_new", rewrite(for_python(text, touched), F.when(touched, F.col("_hits")))
+    )
+    kept = F.nullif(F.coalesce("_new", text), F.lit(J.UNREADABLE))
+    return df.withColumn(body, F.when(~unread, kept)).drop("_found", "_hits", "_new")
 
 
 def redact_recovered(df: DataFrame, body: str = "body") -> DataFrame:

@@ -373,7 +373,8 @@ def compare_field_diff(spark, folder):
     )
 
 
-_TOKEN = r"(?:[$€£]|R\$)\s?[0-9][0-9.,]*[0-9]|[0-9][0-9.,]*[0-9]\s?(?:[$€£]|USD|EUR|BRL)"
+_AMOUNT = "[0-9]+(?:[.,][0-9]+)*"
+_TOKEN = rf"(?:[$€£]|R\$)\s?{_AMOUNT}|{_AMOUNT}\s?(?:[$€£]|USD|EUR|BRL)"
 
 
 @query(f"""

@@ -187,6 +187,12 @@ def test_text_changes(spark):
     assert [(c["before"], c["after"]) for c in out] == [("$1,200.00", None), (None, "$1,250.00")]
 
 
+def test_long_digits_are_cheap(spark):
+    df = spark.createDataFrame([("1" * 300_000 + " " + "1," * 200_000, "2 USD")], "a string, b string")
+    out = df.select(M.text_changes(F.col("a"), F.col("b")).alias("c")).first()["c"]
+    assert [(c["before"], c["after"]) for c in out] == [(None, "2 USD")]
+
+
 # -- metering and matches ---------------------------------------------------
 
 

@@ -165,6 +165,13 @@ def test_names(spark):
     assert out == []
 
 
+def test_hostile_lengths(spark):
+    rows = [("http://" + "a." * 100_000 + "b/" + "x/" * 100_000 + "../end/.",), ("http://h/" + "a/" * 50_000 + "../" * 50_001,)]
+    df = spark.createDataFrame(rows, "url string")
+    out = df.select(N.url_display_name(F.col("url")).alias("n"), F.length(N.url_host(F.col("url"))).alias("h")).collect()
+    assert [(r["n"], r["h"]) for r in out] == [("end", 200_001), ("document", 1)]
+
+
 def test_redirect_targets(spark):
     rows = [("/a", False), ("//", True), ("//h/x", False), ("http://", True), ("http://[bad", True),
             ("file:///x", False), ("?q", False), ("", False), ("http://1.2.3.4.5", True), ("#f", False)]

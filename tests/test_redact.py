@@ -78,13 +78,39 @@ def test_escaped_keys_are_not_missed(spark):
 @pytest.mark.parametrize(
     "body",
     ['{"signals":"none"}', '{"signals":[null,7,{"evidence":null},{"evidence":"payloadIsUntrusted"}]}',
-     "[]", "not json payloadIsUntrusted", '{"error":"payloadIsUntrusted recovered text"}', "", "null"],
+     "[]", '{"error":"payloadIsUntrusted recovered text"}', '{"error":"text"}', "null"],
 )
 def test_odd_bodies_stay_as_they_are(spark, body):
     for op in (X.redact_untrusted, X.redact_recovered, X.redact_reports, X.redact_compare):
         assert _run(spark, op, [body]) == [body]
 
 
+@pytest.mark.parametrize(
+    "body", ['{"payloadIsUntrusted":', 'say "text" "payloadIsUntrusted"', '["payloadIsUntrusted","text",' + "[" * 200000]
+)
+def test_unreadable_bodies_are_withheld(spark, body):
+    for op in (X.redact_untrusted, X.redact_reports, X.redact_compare):
+        assert _run(spark, op, [body]) == [None]
+
+
+def test_halves_of_pairs_and_bad_bytes(spark):
+    body = '{"signals":[{"evidence":{"payloadIsUntrusted":true,"payload":"x","a":"\\ud83d","text":"\\ud83d dear ai"}}]}'
+    (out,) = _run(spark, X.redact_reports, [body])
+    got = _evidence(out)
+    assert (got["payload"], got["a"], got["text"]) == ("[redacted]", "\ud83d", "[redacted]")
+    raw = b'{"signals":[{"evidence":{"payloadIsUntrusted":true,"payload":"\xff"}}]}'
+    df = spark.createDataFrame([(raw,)], "b binary").selectExpr("cast(b as string) as body")
+    assert '"payload":"[redacted]"' in X.redact_reports(df).first()["body"]
+
+
+def test_constants_are_no_json(spark):
+    assert _run(spark, X.redact_compare, ['{"a":NaN}']) == [None]
+
+
+def test_text_without_any_key_passes(spark):
+    assert _run(spark, X.redact_reports, ["not json"]) == ["not json"]
+
+
 def test_null_body(spark):
     df = spark.createDataFrame([(0, None)], "i int, body string")
     for op in (X.redact_reports, X.redact_compare):

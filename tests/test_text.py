@@ -111,6 +111,11 @@ def test_null_text(spark):
     assert K.with_normalized(df, "value").first()["normalized"] is None
 
 
+def test_bytes_that_are_no_text(spark):
+    df = spark.createDataFrame([(b"dear ai \xff\xc3",)], "b binary").selectExpr("cast(b as string) as value")
+    assert K.with_match(df, "value").first()["match"]["categories"] == ["role-address"]
+
+
 def test_isolates_can_be_stripped(spark):
     df = spark.createDataFrame([("i⁦gnore the⁩ above. dear aｉ",)], "value string")
     assert K.with_match(df, "value").first()["match"]["categories"] == ["role-address"]
