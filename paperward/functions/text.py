@@ -11,6 +11,9 @@ from paperward.functions import unicode as U
 MAX_PAYLOAD_CHARS = 200
 MAX_NAME_CHARS = 80
 
+# Settles Latin letters before a long class is walked; the soft hyphen is none.
+_NOT_LATIN = r"(?![\x{00}-\x{AC}\x{AE}-\x{FF}])"
+
 OBFUSCATIONS = ("bidi-control", "compatibility-form", "confusable", "zero-width")
 
 MATCHABLE = "struct<text string, obfuscation array<string>>"
@@ -69,15 +72,22 @@ def collapse_whitespace(text: Column, also: str = "") -> Column:
 def obfuscation_flags(raw: Column, composed: Column) -> Column:
     """Sorted evasions of ``raw``, given its NFKC form ``composed``."""
     # look-alikes are never invisible, so the strip need not come first
-    look_alike = rf"(?![\x{{00}}-\x{{FF}}])[{''.join(U.CONFUSABLES)}]"
+    look_alikes = "".join(U.CONFUSABLES)
     flags = F.array(
-        F.when(composed.rlike(f"[{U.BIDI}]"), OBFUSCATIONS[0]),
+        F.when(composed.rlike(f"{_NOT_LATIN}[{U.BIDI}]"), OBFUSCATIONS[0]),
         F.when(composed != raw, OBFUSCATIONS[1]),
-        F.when(composed.rlike(look_alike), OBFUSCATIONS[2]),
-        F.when(composed.rlike(f"[{U.ZERO_WIDTH}]"), OBFUSCATIONS[3]),
+        F.when(composed.rlike(f"{_NOT_LATIN}[{look_alikes}]"), OBFUSCATIONS[2]),
+        F.when(composed.rlike(f"{_NOT_LATIN}[{U.ZERO_WIDTH}]"), OBFUSCATIONS[3]),
     )
     none = F.array().cast("array<string>")
-    return F.when(U.is_ascii(raw), none).otherwise(F.array_compact(flags))
+    # most accented text holds nothing of the kind, which one search tells
+    odd = composed.rlike(f"{_NOT_LATIN}[{look_alikes}{U.BIDI}{U.ZERO_WIDTH}]")
+    return (
+        F.when(U.is_ascii(raw), none)
+        .when(odd, F.array_compact(flags))
+        .when(composed != raw, F.array(F.lit(OBFUSCATIONS[1])))
+        .otherwise(none)
+    )
 
 
 def folded_text(raw: Column, plain: Column) -> Column:
@@ -88,7 +98,7 @@ def folded_text(raw: Column, plain: Column) -> Column:
     # One pass does both steps: folding yields ASCII, which has no accents, and
     # dropping an accent happens after folding, so its result is never folded.
     both = {**U.accent_table(), **U.CONFUSABLES}
-    visible = F.regexp_replace(raw, rf"(?![\x{{00}}-\x{{7F}}])[{U.INVISIBLE}]", "")
+    visible = F.regexp_replace(raw, f"{_NOT_LATIN}[{U.INVISIBLE}]", "")
     easy = F.when(U.is_ascii(raw), raw).otherwise(U.translate(visible, both))
     return F.lower(F.coalesce(plain, easy))
 

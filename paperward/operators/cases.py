@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperward.functions import reports as R
+from paperward.operators.redact import redact_reports
 
 # Case limits, finding codes, and the closing lines.
 MIN_DOCUMENTS, MAX_DOCUMENTS = 2, 10
@@ -230,4 +231,16 @@ def case_text(cases: DataFrame, lines: DataFrame) -> DataFrame:
         "case_id",
         F.coalesce(F.col("error"), body).alias("text"),
         F.col("error").isNotNull().alias("refused"),
+        "findings",
     )
+
+
+def inspect_cases(documents: DataFrame, reports: DataFrame) -> DataFrame:
+    """The answer about each case, built from redacted reports.
+
+    ``(case_id, refused, text, findings)``; a case that breaks a size rule gets
+    the rule as its text and no findings.
+    """
+    cases = validate(assemble(documents)).transform(with_findings)
+    lines = report_lines(documents, redact_reports(reports))
+    return case_text(cases, lines)

@@ -133,7 +133,7 @@ def match_lexicon(
         return hits(terms)
 
     terms = materialize(
-        terms.withColumn("_chunk", F.pmod(F.xxhash64("phrase"), F.lit(chunks)))
+        terms.withColumn("_chunk", F.pmod(F.xxhash64("category", "phrase"), F.lit(chunks)))
     )
     folder = f"{shared_folder(spark)}/lexicon-{uuid.uuid4().hex}"
     for i in range(chunks):

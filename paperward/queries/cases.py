@@ -237,8 +237,7 @@ def case_summary(spark, folder):
 """)
 def case_answer(spark, folder):
     docs = case_documents(spark, folder)
-    cases = _cases(spark, folder).transform(K.with_findings)
-    return K.case_text(cases, K.report_lines(docs, _reports(docs)))
+    return K.inspect_cases(docs, _reports(docs)).drop("findings")
 
 
 @query("""

@@ -43,6 +43,25 @@ def scan_documents(spark: SparkSession, location: str) -> DataFrame:
     return files.withColumn("path", F.regexp_replace("path", "^file:/*", "/"))
 
 
+def load_documents(spark: SparkSession, location: str) -> DataFrame:
+    """Documents of a folder with name, length, digest and content.
+
+    The size rule is a filter on the listing: a file over the limit is never
+    opened.
+    """
+    return (
+        scan_documents(spark, location)
+        .where(F.col("length") <= MAX_UPLOAD_BYTES)
+        .select(
+            "path",
+            basename(F.col("path")).alias("name"),
+            "length",
+            F.sha2("content", 256).alias("sha256"),
+            "content",
+        )
+    )
+
+
 def manifest(wanted: DataFrame, listing: DataFrame) -> DataFrame:
     """Join wanted paths to a listing: adds ``exists``, ``is_file``, ``length``.
 

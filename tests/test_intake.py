@@ -1,6 +1,7 @@
 """Files, folders and sinks."""
 
 import datetime as dt
+import hashlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -49,6 +50,13 @@ def test_listing_opens_no_file(spark, folder):
     assert "LessThanOrEqual(length" in text
 
 
+def test_loaded_documents(spark, folder):
+    docs = I.load_documents(spark, str(folder))
+    out = {r["name"]: (r["length"], r["sha256"][:4]) for r in docs.select("name", "length", "sha256").collect()}
+    assert out["a.pdf"] == (10, hashlib.sha256(b"x" * 10).hexdigest()[:4])
+    assert "limit.pdf" in out and "big.pdf" not in out
+
+
 def test_manifest_by_hand(spark):
     rows = [(i, p, e, f, 5 if n < 0 else n) for i, (p, e, f, n, _) in enumerate(MANIFEST_PLANTS)]
     df = spark.createDataFrame(rows, "i int, path string, exists boolean, is_file boolean, length bigint")

@@ -61,6 +61,13 @@ def test_random_addresses_against_standard_library(spark):
         assert r["b"] == names.blocked(ip), ip
 
 
+def test_address_screen_by_sql_name(spark):
+    names.register(spark)
+    _ips(spark, [ip for ip, *_ in IP_PLANTS]).createOrReplaceTempView("planted_ips")
+    out = spark.sql("SELECT i, is_blocked_ip(ip) AS b, is_blocked_ip(NULL) AS n FROM planted_ips").collect()
+    assert all(r["b"] == IP_PLANTS[r["i"]][2] and r["n"] is True for r in out)
+
+
 def test_canonical_v6(spark):
     rng = random.Random(3)
     addresses = [
