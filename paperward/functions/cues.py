@@ -12,10 +12,6 @@ from pyspark.sql import functions as F
 
 from paperward.functions import lexicon as L
 
-MATCH = (
-    "struct<categories array<string>, confidence string, obfuscation array<string>>"
-)
-
 
 def _stems(phrase: str) -> set[str]:
     """Substrings that may stand for a phrase: parts of one longer word.

@@ -16,8 +16,6 @@ _NOT_LATIN = r"(?![\x{00}-\x{AC}\x{AE}-\x{FF}])"
 
 OBFUSCATIONS = ("bidi-control", "compatibility-form", "confusable", "zero-width")
 
-MATCHABLE = "struct<text string, obfuscation array<string>>"
-
 
 def nfkc(text: Column) -> Column:
     return F.coalesce(

@@ -6,9 +6,8 @@ from pyspark.sql import functions as F
 
 from paperward.functions import cues as C
 from paperward.functions import text as T
-from paperward.functions import unicode as U
 from paperward.operators import classify as K
-from paperward.operators.rates import category_counts, injection_rates
+from paperward.operators import rates as A
 from paperward.plans.shape import spread
 from paperward.queries import planted as P
 from paperward.queries import sqltext as S
@@ -257,9 +256,9 @@ def lexicon_join(spark, folder):
            count(confidence) / count(*) AS rate
     FROM flat GROUP BY lang
 """)
-def injection_rates_by_lang(spark, folder):
+def injection_rates(spark, folder):
     matched = K.with_match(P.planted_documents(spark, folder), "value")
-    rates = injection_rates(matched, "lang")
+    rates = A.injection_rates(matched, "lang")
     return rates.withColumn("lexicon_version", F.col("lexicon_version").cast("bigint"))
 
 
@@ -272,8 +271,4 @@ def injection_rates_by_lang(spark, folder):
 """)
 def injection_categories(spark, folder):
     matched = K.with_match(P.planted_documents(spark, folder), "value")
-    return category_counts(matched, "source")
-
-
-QUERIES["injection_rates"] = QUERIES.pop("injection_rates_by_lang")
-ORACLES["injection_rates"] = ORACLES.pop("injection_rates_by_lang")
+    return A.category_counts(matched, "source")
