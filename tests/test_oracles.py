@@ -5,7 +5,7 @@ from pathlib import Path
 
 import pytest
 
-import __spark_entry__ as entry
+from paperward.queries import all_queries
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 import check_oracles
@@ -18,7 +18,7 @@ def database():
     return check_oracles.database(FOLDER)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(all_queries()))
 def test_query(spark, database, name):
     result = check_oracles.compare(spark, database, FOLDER, name)
     assert result.startswith("ok"), result

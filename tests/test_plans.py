@@ -10,10 +10,11 @@ from paperward.operators import cases as K
 from paperward.operators import classify as C
 from paperward.operators import network as N
 from paperward.operators.redact import redact_reports
+from paperward.queries import all_queries
 from paperward.queries import text as text_queries
 
 FOLDER = "/root/testdata/sf0.001"
-BATCH = [n for n in entry.queries() if not n.startswith("stream_")]
+BATCH = [n for n in all_queries() if not n.startswith("stream_")]
 
 
 def optimized(df):
