@@ -2,14 +2,37 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperward.plans.shape import materialize
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    top = Path(__file__).resolve().parent.parent
+    # Spark's own file server hands this small file out for as long as the driver lives.
+    archive = f"{tempfile.mkdtemp(prefix=top.name)}/{top.name}-{context.applicationId}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(top.rglob("*.py")):
+            out.write(path, path.relative_to(top.parent))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
 def tune(spark: SparkSession) -> None:
-    """Small Arrow batches: texts can be long, and a batch must fit a worker."""
+    """Ship the package; keep Arrow batches small, as texts can be long."""
+    ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
 
