@@ -10,7 +10,7 @@ QUERIES, ORACLES, query = registry()
 
 
 @query("""WITH words AS (
-        SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS w
+        SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
         FROM documents),
     starts AS (
         SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM words WHERE len(w) >= 13),
@@ -20,7 +20,7 @@ QUERIES, ORACLES, query = registry()
     gone AS (SELECT doc_id, list_distinct(flatten(list(range(i, i + 13)))) AS g FROM bad GROUP BY doc_id),
     kept AS (
         SELECT doc_id, w, coalesce(len(g), 0) AS n,
-               CASE WHEN g IS NULL THEN w ELSE list_filter(w, (x, j) -> NOT list_contains(g, j)) END AS k
+               CASE WHEN g IS NULL THEN w ELSE list_filter(w, lambda x, j: NOT list_contains(g, j)) END AS k
         FROM words LEFT JOIN gone USING (doc_id))
     SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n AS BIGINT) AS n_removed,
            sha256(array_to_string(k, ' ')) AS kept_sha256 FROM kept
