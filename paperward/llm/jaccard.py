@@ -326,3 +326,14 @@ def _links_of(rows: DataFrame, similar: tuple[int, int], block_grams: int) -> Da
     return materialize(
         cut.select("block", "class", "size", "cols", group).groupBy("_g").applyInArrow(_blocks(similar), "u long, v long")
     )
+
+
+def keep_one_of_each(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` that stand for their group of similar texts, with all their columns.
+
+    That is the row with the group's smallest id; of rows that agree in id and text one
+    stays.  Rows without an id stay, as they can't be told from others of their group.
+    """
+    keys = jaccard_classes(docs, **settings).where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.where("doc_id IS NOT NULL").join(keys, "doc_id", "left_semi")
+    return named.dropDuplicates(["doc_id", "text"]).unionByName(docs.where("doc_id IS NULL"))

@@ -275,7 +275,6 @@ def keep_good(docs: DataFrame, cut: float = CUT) -> DataFrame:
 
     Counting twice moves less than writing the texts again would.
     """
-    columns = docs.columns
-    bare = docs.select("text", "lang", "source")
-    models = materialize(estimates(materialize(with_counts(bare).select("lang", "source", "x"))))
-    return judge(with_counts(docs), models, cut).where("kept").select(*columns)
+    models = materialize(estimates(materialize(with_counts(docs.select("text", "lang", "source")).select("lang", "source", "x"))))
+    whole = docs.select(F.struct("*").alias("_doc"), "text", "lang", "source")
+    return judge(with_counts(whole), models, cut).where("kept").select("_doc.*")

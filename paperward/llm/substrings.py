@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from paperward.llm.arrays import U64, Words, chunks, mix
 from paperward.llm.grams import BLOBS, GROUP_RUNS, HOT_RUNS, blobs, group_count, hot_runs, is_in, runs_of_group
@@ -117,7 +118,9 @@ def _spans(gone: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.diff(np.concatenate(([0], gone.astype(np.int8), [0])))).reshape(-1, 2)
 
 
-def _cut(k: int, hot: np.ndarray, least: np.ndarray):
+def _cut(k: int, hot: np.ndarray, least: np.ndarray, whole: bool):
+    """Words counted, cut and hashed; texts that change or, if ``whole``, all texts."""
+
     def run(batches):
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
@@ -144,7 +147,7 @@ def _cut(k: int, hot: np.ndarray, least: np.ndarray):
                     out[0].append(len(parts) + removed)
                     out[1].append(removed)
                     kept = b" ".join(parts)
-                    out[2].append(kept if removed else None)
+                    out[2].append(kept if removed else text if whole else None)
                     out[3].append(hashlib.sha256(kept).hexdigest())
                     out[4].append(spans.tolist())
             span = pa.list_(pa.list_(pa.int64()))
@@ -169,20 +172,23 @@ class _Slice(Words):
 
 
 def cut_repeats(
-    docs: DataFrame, k: int = WINDOW, group_runs: int = GROUP_RUNS, hot: int = HOT_RUNS
+    docs: DataFrame, k: int = WINDOW, group_runs: int = GROUP_RUNS, hot: int = HOT_RUNS,
+    whole: bool = False, columns: tuple[str, ...] = (),
 ) -> DataFrame:
     """Rows (doc_id, n_words, n_removed, kept_sha256, kept, spans) for ``docs(doc_id, text)``.
 
     Words are runs of bytes other than ASCII white space.  A word is removed if a window
     of ``k`` words around it also starts in a document of smaller id.  ``kept`` are the
-    words left, joined by one space, or null where the text stays as it is; ``spans``
-    are the first word and end of each maximal repeat removed.  A null text has no
+    words left, joined by one space; where nothing goes it is null or, if ``whole``, the
+    text as it is.  ``spans`` are the first word and end of each maximal repeat removed.  A null text has no
     words.  A row without an id is no smaller document to any and stays whole; rows with
-    one id count as one document.  No rows give no rows; other columns are left out.
+    one id count as one document.  No rows give no rows; other columns are left out,
+    but for ``columns``, which come first in the result.
     """
     spark = docs.sparkSession
     tune(spark)
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    others = [F.struct(*columns).alias("_others")] if columns else []
+    docs = docs.select(*others, F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     groups = group_count(docs, group_runs)
     common = hot_runs(docs, k, False, hot)
     named = docs.where("doc_id IS NOT NULL").select("doc_id", utf8().alias("text"))
@@ -198,9 +204,27 @@ def cut_repeats(
         .groupBy("grp").applyInArrow(_repeats, "doc_id long, prints binary")
         .groupBy("doc_id").agg(F.collect_list("prints").alias("marks"))
     )
-    out = "doc_id long, n_words long, n_removed long, _kept binary, kept_sha256 string, spans array<array<long>>"
-    return (
-        docs.select("doc_id", utf8().alias("text")).join(marks, "doc_id", "left")
-        .mapInArrow(_cut(k, common, least), out)
-        .withColumn("kept", F.col("_kept").cast("string")).drop("_kept")
-    )
+    held = ["_others"] if columns else []
+    made = "doc_id long, n_words long, n_removed long, _kept binary, kept_sha256 string, spans array<array<long>>"
+    out = T.StructType([*(docs.schema[c] for c in held), *T.StructType.fromDDL(made)])
+    rows = docs.select(*held, "doc_id", utf8().alias("text")).join(marks, "doc_id", "left")
+    cut = rows.select(*held, "doc_id", "text", "marks").mapInArrow(_cut(k, common, least, whole), out)
+    found = ["doc_id", "n_words", "n_removed", "kept_sha256", F.col("_kept").cast("string").alias("kept"), "spans"]
+    return cut.select(*(F.col(f"_others.`{c}`") for c in columns), *found)
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with the texts that are left; ``n_chars``, if there is one, is counted anew.
+
+    All rows and columns stay.  A text in which nothing repeats is unchanged; one of which
+    nothing is left is empty; a null text is empty.
+    """
+    others = tuple(c for c in docs.columns if c not in ("doc_id", "text", "n_chars"))
+    cut = cut_repeats(docs, whole=True, columns=others)
+    # By place, as a column of ``others`` may be named like one of the result's.
+    place = {c: F.col(f"_{i}") for i, c in reversed(list(enumerate([*others, *cut.columns[len(others):]])))}
+    text = F.col(f"_{cut.columns.index('kept', len(others))}")
+    new = {"doc_id": F.col(f"_{len(others)}"), "text": text, "n_chars": F.length(text).cast("long")}
+    return cut.toDF(*[f"_{i}" for i in range(len(cut.columns))]).select(*[
+        (place[c] if c in others else new[c]).alias(c) for c in docs.columns
+    ])
