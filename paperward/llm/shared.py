@@ -42,47 +42,48 @@ def utf8(text: str = "text") -> Column:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Connected components of ``edges(u, v)``: rows (node, component).
+    """Connected components of ``edges(u, v)`` of longs: rows (node, component).
 
-    ``component`` is the smallest node reachable.  Each round every node takes the
-    smallest node among itself and its neighbours, follows that choice four steps,
-    and the graph is contracted to the choices; at least half of the nodes that
-    still have an edge go, so the rounds grow with the logarithm of the size.  Only
-    sums per node and equi-joins are shuffled; nothing is collected.  Nodes in no
-    edge, and edges with a null end, give no row.
+    ``component`` is the smallest node reachable.  Nodes go by a 64-bit hash, which is
+    one to one on longs and puts them in a random order.  Each round every node takes the
+    first in that order among itself and its neighbours, follows that choice four steps,
+    and the graph is contracted to the choices.  In a random order few chains of choices
+    are longer, so a round leaves less than half of the nodes that still have an edge,
+    also on long paths, and the rounds grow with the logarithm of the size.  Only sums
+    per node and equi-joins are shuffled; nothing is collected.  Nodes in no edge, and
+    edges with a null end, give no row.
     """
-    u, v = F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")
     edges = edges.where("u IS NOT NULL AND v IS NOT NULL")
-    loops = edges.select(F.explode(F.array("u", "v")).alias("node"))
-    edges = materialize(edges.where("u <> v").select(u, v).distinct())
+    edges = materialize(edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
+    nodes = edges.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    left = materialize(edges.where("u <> v").select(F.xxhash64("u").alias("u"), F.xxhash64("v").alias("v")))
     labels = None
-    while not edges.isEmpty():
-        both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        to = materialize(
-            both.groupBy(F.col("u").alias("node")).agg(F.least(F.min("v"), F.first("u")).alias("to"))
-        )
+    while not left.isEmpty():
+        both = left.unionByName(left.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        to = materialize(both.groupBy(F.col("u").alias("key")).agg(F.min("v").alias("to")).select(
+            "key", F.least("key", "to").alias("to")
+        ))
         for _ in range(2):
-            up = to.select(F.col("node").alias("to"), F.col("to").alias("next"))
-            to = to.join(up, "to", "left").select("node", F.coalesce("next", "to").alias("to"))
+            up = to.select(F.col("key").alias("to"), F.col("to").alias("next"))
+            to = to.join(up, "to").select("key", F.col("next").alias("to"))
         to = materialize(to)
         if labels is None:
-            labels = to.select("node", F.col("to").alias("component"))
+            labels = to.select("key", F.col("to").alias("label"))
         else:
-            step = to.select(F.col("node").alias("component"), F.col("to").alias("_next"))
+            step = to.select(F.col("key").alias("label"), F.col("to").alias("_next"))
             labels = materialize(
-                labels.join(step, "component", "left").select(
-                    "node", F.coalesce("_next", "component").alias("component")
-                )
+                labels.join(step, "label", "left").select("key", F.coalesce("_next", "label").alias("label"))
             )
-        left = to.select(F.col("node").alias("u"), F.col("to").alias("u2"))
-        right = to.select(F.col("node").alias("v"), F.col("to").alias("v2"))
-        moved = edges.join(left, "u").join(right, "v").where("u2 <> v2")
-        edges = materialize(
+        ends = [to.select(F.col("key").alias(x), F.col("to").alias(x + "2")) for x in "uv"]
+        moved = left.join(ends[0], "u").join(ends[1], "v").where("u2 <> v2")
+        left = materialize(
             moved.select(F.least("u2", "v2").alias("u"), F.greatest("u2", "v2").alias("v")).distinct()
         )
-    nodes = loops.distinct()
     if labels is None:
         return nodes.select("node", F.col("node").alias("component"))
-    return nodes.join(labels, "node", "left").select(
-        "node", F.coalesce("component", "node").alias("component")
+    labelled = materialize(
+        nodes.withColumn("key", F.xxhash64("node")).join(labels, "key", "left")
+        .select("node", F.coalesce("label", "key").alias("label"))
     )
+    least = labelled.groupBy("label").agg(F.min("node").alias("component"))
+    return labelled.join(least, "label").select("node", "component")
