@@ -20,7 +20,6 @@ chi-square law is rejected.
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -133,52 +132,55 @@ def with_counts(docs: DataFrame) -> DataFrame:
     return out.withColumn("base_failed", failed).drop("_w", "_l", "_upper", "_marks", "_lines")
 
 
-def _x(i: int) -> Column:
-    return F.get("x", F.lit(i))
+# Below, whole matrices are written as SQL text: a few thousand cells are built faster so.
+
+
+def _cell(i: int, j: int) -> str:
+    return f"c_{min(i, j)}_{max(i, j)}"
+
+
+def _cells(p: int) -> list[tuple[int, int]]:
+    return [(i, j) for i in range(p) for j in range(i, p)]
 
 
 def _sweep(model: DataFrame, p: int) -> DataFrame:
     """Columns ``c_i_j`` (a positive definite matrix) turned into its inverse, and its log determinant."""
-    model = model.withColumn("logdet", F.lit(0.0))
+    others = [f"m_{i}" for i in range(p)]
+    model = model.selectExpr("*", "0D AS logdet")
     for k in range(p):
-        pivot = F.col(f"c_{k}_{k}")
-        cell = lambda i, j: F.col(f"c_{min(i, j)}_{max(i, j)}")
-        new = {"logdet": F.col("logdet") + F.log(pivot)}
-        for i in range(p):
-            for j in range(i, p):
-                if i == j == k:
-                    new[f"c_{i}_{j}"] = -1 / pivot
-                elif k in (i, j):
-                    new[f"c_{i}_{j}"] = cell(i, j) / pivot
-                else:
-                    new[f"c_{i}_{j}"] = cell(i, j) - cell(i, k) * cell(k, j) / pivot
-        model = model.withColumns(new)
-    return model.withColumns({f"c_{i}_{j}": -F.col(f"c_{i}_{j}") for i in range(p) for j in range(i, p)})
+        pivot = _cell(k, k)
+        new = []
+        for i, j in _cells(p):
+            if i == j == k:
+                value = f"-1 / {pivot}"
+            elif k in (i, j):
+                value = f"{_cell(i, j)} / {pivot}"
+            else:
+                value = f"{_cell(i, j)} - {_cell(i, k)} * {_cell(k, j)} / {pivot}"
+            new.append(f"{value} AS {_cell(i, j)}")
+        model = model.selectExpr("est", *others, f"logdet + ln({pivot}) AS logdet", *new)
+    return model.selectExpr("est", *others, "logdet", *[f"-{_cell(i, j)} AS {_cell(i, j)}" for i, j in _cells(p)])
 
 
 def _model(moments: DataFrame, scale: float, p: int) -> DataFrame:
     """Per group: centre ``m`` and inverse covariance ``q``, from whole-number sums."""
-    n = F.col("n")
-    out = {}
-    for i in range(p):
-        out[f"m_{i}"] = F.col(f"s_{i}") / n / GRID
-        for j in range(i, p):
-            cov = (F.col(f"s_{i}_{j}") - F.col(f"s_{i}") / n * F.col(f"s_{j}")) / n / (GRID * GRID) * scale
-            out[f"c_{i}_{j}"] = cov + (TOLERANCE[STATISTICS[i]] ** 2 if i == j else 0.0)
-    return _packed(_sweep(moments.select("est", *[v.alias(k) for k, v in out.items()]), p), p)
+    out = [f"s_{i} / n / {GRID}D AS m_{i}" for i in range(p)]
+    for i, j in _cells(p):
+        floor = TOLERANCE[STATISTICS[i]] ** 2 if i == j else 0.0
+        out.append(f"(s_{i}_{j} - s_{i} / n * s_{j}) / n / {GRID * GRID}D * {scale!r}D + {floor!r}D AS {_cell(i, j)}")
+    return _packed(_sweep(moments.selectExpr("est", *out), p), p)
 
 
 def _packed(model: DataFrame, p: int) -> DataFrame:
-    cells = [F.col(f"c_{i}_{j}") for i in range(p) for j in range(i, p)]
-    return model.select("est", F.array(*[F.col(f"m_{i}") for i in range(p)]).alias("m"), F.array(*cells).alias("q"), "logdet")
+    m, q = (", ".join(x) for x in ([f"m_{i}" for i in range(p)], [_cell(i, j) for i, j in _cells(p)]))
+    return model.selectExpr("est", f"array({m}) AS m", f"array({q}) AS q", "logdet")
 
 
 def distance(p: int = len(STATISTICS)) -> Column:
     """Square of the Mahalanobis distance of ``x`` from a model's columns."""
-    d = [_x(i) / GRID - F.get("m", F.lit(i)) for i in range(p)]
-    at = iter(range(p * p))
-    terms = [F.get("q", F.lit(next(at))) * (1 if i == j else 2) * d[i] * d[j] for i in range(p) for j in range(i, p)]
-    return F.greatest(reduce(lambda a, b: a + b, terms), F.lit(0.0))
+    d = [f"(x[{i}] / {GRID}D - m[{i}])" for i in range(p)]
+    terms = [f"q[{n}] * {1 if i == j else 2} * {d[i]} * {d[j]}" for n, (i, j) in enumerate(_cells(p))]
+    return F.expr(f"greatest({' + '.join(terms)}, 0D)")
 
 
 def _quartiles(rows: DataFrame, p: int) -> DataFrame:
@@ -191,12 +193,11 @@ def _quartiles(rows: DataFrame, p: int) -> DataFrame:
     per = ranked.groupBy("est").pivot("i", list(range(p))).agg(
         at(0.5).alias("m"), ((at(0.75) - at(0.25)) / 1.349).alias("sd")
     )
-    cells = {f"m_{i}": F.col(f"{i}_m") for i in range(p)}
-    for i in range(p):
-        for j in range(i, p):
-            var = F.pow(F.col(f"{i}_sd"), 2) + TOLERANCE[STATISTICS[i]] ** 2
-            cells[f"c_{i}_{j}"] = var if i == j else F.lit(0.0)
-    return _packed(_sweep(per.select("est", *[v.alias(k) for k, v in cells.items()]), p), p)
+    cells = [f"`{i}_m` AS m_{i}" for i in range(p)]
+    for i, j in _cells(p):
+        floor = TOLERANCE[STATISTICS[i]] ** 2
+        cells.append((f"`{i}_sd` * `{i}_sd` + {floor!r}D" if i == j else "0D") + f" AS {_cell(i, j)}")
+    return _packed(_sweep(per.selectExpr("est", *cells), p), p)
 
 
 def _nearest(rows: DataFrame, model: DataFrame, support: float) -> DataFrame:
@@ -211,9 +212,8 @@ def _nearest(rows: DataFrame, model: DataFrame, support: float) -> DataFrame:
 
 
 def _moments(rows: DataFrame, p: int) -> DataFrame:
-    sums = [F.sum(_x(i)).alias(f"s_{i}") for i in range(p)]
-    sums += [F.sum(_x(i) * _x(j)).alias(f"s_{i}_{j}") for i in range(p) for j in range(i, p)]
-    return rows.groupBy("est").agg(F.count("*").alias("n"), *sums)
+    sums = [f"sum(x[{i}]) AS s_{i}" for i in range(p)] + [f"sum(x[{i}] * x[{j}]) AS s_{i}_{j}" for i, j in _cells(p)]
+    return rows.groupBy("est").agg(F.count("*").alias("n"), *map(F.expr, sums))
 
 
 def estimates(counted: DataFrame, support: float = SUPPORT, steps: int = STEPS, least: int = LEAST) -> DataFrame:
