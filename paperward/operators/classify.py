@@ -6,8 +6,6 @@ that receives nulls for all text the JVM can normalize itself.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +13,7 @@ from paperward.functions import cues as C
 from paperward.functions import lexicon as L
 from paperward.functions import text as T
 from paperward.functions import unicode as U
-from paperward.plans.shape import compute_once, materialize, shared_folder
+from paperward.plans.shape import compute_once, materialize
 
 
 def with_matchable(
@@ -92,58 +90,62 @@ def field_findings(fields: DataFrame) -> DataFrame:
     )
 
 
-# Phrases compiled into one pass over the text.
-LEXICON_CHUNK = 1000
+# Lengths of the pieces that stand for phrases of one or two words.
+_PIECES = (8, 4, 2, 1)
+_WORD = 0
 
 
-def match_lexicon(
-    df: DataFrame,
-    key: str,
-    text: str,
-    lexicon: DataFrame,
-    chunk: int = LEXICON_CHUNK,
-) -> DataFrame:
-    """Categories per row by a run-time lexicon ``(category, phrase)``.
+def _best(items: Column) -> Column:
+    """Longest item, of those the last by hash."""
+    ranked = F.transform(items, lambda x: F.struct(F.length(x), F.xxhash64(x), x.alias("x")))
+    return F.array_max(ranked)["x"]
+
 
-    Phrases are normalized first, then found as substrings.  Neither a cross
-    join nor a theta join: the lexicon is counted, and one that fits a chunk is
-    compiled into the projection.  A larger one is worked off chunk by chunk,
-    each pass writing ``(key, category)`` rows to the shared folder, so the
-    driver never holds more than one chunk.
+def _pieces(text: Column, size: int) -> Column:
+    places = F.sequence(F.lit(1), F.length(text) - size + 1)
+    cut = F.transform(places, lambda i: F.substring(text, i, F.lit(size)))
+    return F.when(F.length(text) >= size, cut).otherwise(F.array().cast("array<string>"))
+
+
+def _anchored(terms: DataFrame) -> DataFrame:
+    """Add ``kind`` and ``anchor``: something any text with the phrase must hold.
+
+    A phrase may begin and end inside a word, so of three words or more the
+    longest inner one stands for it, else a piece of its letters.
+    """
+    inner = F.filter(F.split("phrase", " "), lambda w: w != "")
+    inner = F.slice(inner, F.lit(2), F.greatest(F.size(inner) - 2, F.lit(0)))
+    terms = terms.withColumn("_inner", inner)
+    kind, anchor = F.when(F.size("_inner") > 0, _WORD), F.when(F.size("_inner") > 0, _best(F.col("_inner")))
+    for size in _PIECES:
+        fits = F.length("phrase") >= size
+        kind, anchor = kind.when(fits, size), anchor.when(fits, _best(_pieces(F.col("phrase"), size)))
+    return terms.select("category", "phrase", kind.alias("kind"), anchor.alias("anchor"))
+
+
+def match_lexicon(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
+    """Categories per row by a run-time lexicon ``(category, phrase)`` of any size.
+
+    Phrases are normalized first, then found as substrings.  Each phrase has an
+    anchor; the distinct words, or pieces, of each text are joined to the anchors
+    by equality, and only what meets is searched for the phrase.  The one thing
+    asked beforehand is which of the five kinds of anchor occur.
     """
     norm = with_matchable(lexicon.select("category", "phrase"), "phrase", "_p")
     terms = norm.where("_p != ''").select("category", F.col("_p").alias("phrase")).distinct()
-    spark = df.sparkSession
-    count = terms.count()
-    chunks = max(1, -(-count // chunk) * 2) if count > chunk else 1
-
-    def hits(part: DataFrame) -> DataFrame:
-        entries = [(r["category"], r["phrase"]) for r in part.limit(2 * chunk + 1).collect()]
-        if len(entries) > 2 * chunk:
-            raise ValueError("uneven lexicon chunk; use more chunks")
-        found = (
-            C.cue_hits(F.col("_m"), C.word_groups(entries))
-            if entries
-            else F.array().cast("array<string>")
-        )
-        matched = with_matchable(df.select(key, text), text, "_m").select(key, "_m")
-        return compute_once(matched, "categories", found).select(key, "categories")
-
-    if chunks == 1:
-        return hits(terms)
-
-    terms = materialize(
-        terms.withColumn("_chunk", F.pmod(F.xxhash64("category", "phrase"), F.lit(chunks)))
-    )
-    folder = f"{shared_folder(spark)}/lexicon-{uuid.uuid4().hex}"
-    for i in range(chunks):
-        part = hits(terms.where(F.col("_chunk") == i).drop("_chunk"))
-        part.select(key, F.explode("categories").alias("category")).write.mode(
-            "append"
-        ).parquet(folder)
-    # a row has few distinct categories however many phrases it holds
-    found = spark.read.parquet(folder).groupBy(key).agg(
-        F.array_sort(F.collect_set("category")).alias("_found")
+    terms = materialize(_anchored(terms))
+    kinds = [r["kind"] for r in terms.select("kind").distinct().collect()]
+    matched = with_matchable(df.select(key, text), text, "_m").select(key, "_m")
+    held = F.array().cast("array<struct<kind:int,anchor:string>>")
+    for kind in sorted(kinds):
+        parts = F.split("_m", " ") if kind == _WORD else _pieces(F.col("_m"), kind)
+        named = F.lit(kind).alias("kind")
+        held = F.concat(held, F.transform(F.array_distinct(parts), lambda x: F.struct(named, x.alias("anchor"))))
+    probes = matched.select(key, F.explode(held).alias("_h")).select(key, "_h.kind", "_h.anchor")
+    open_ = probes.join(terms, ["kind", "anchor"]).select(key, "category", "phrase").distinct()
+    found = (
+        matched.join(open_, key).where(F.contains("_m", "phrase"))
+        .groupBy(key).agg(F.array_sort(F.collect_set("category")).alias("_found"))
     )
     return df.select(key).join(found, key, "left").select(
         key,

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+import hashlib
+import sys
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperward.plans.shape import HOT_ROWS, join_per_key, materialize
+from paperward.plans.shape import materialize
+
+# Executors get the helper with the job; they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # The four relations and what each one means.
 IDENTICAL = "identical"
@@ -44,20 +52,34 @@ def relation_line(original_name: Column, candidate_name: Column, relation: Colum
     return F.concat(head, known.otherwise(F.coalesce(relation, F.lit("unknown"))))
 
 
-def relate(
-    pairs: DataFrame,
-    originals: DataFrame,
-    candidates: DataFrame,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def _prefix_digests(batches):
+    """Hash of each file cut to each length asked for, in one pass over the file."""
+    for batch in batches:
+        ids, sizes, digests = [], [], []
+        for i, content, lengths in zip(*(c.to_pylist() for c in batch.columns)):
+            running, at, view = hashlib.sha256(), 0, memoryview(content)
+            for size in sorted(lengths):
+                running.update(view[at:size])
+                at = size
+                ids.append(i)
+                sizes.append(size)
+                digests.append(running.copy().hexdigest())
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids, batch.schema.types[0]), pa.array(sizes, pa.int64()), pa.array(digests, pa.string())],
+            ["id", "size", "prefix"],
+        )
+
+
+def relate(pairs: DataFrame, originals: DataFrame, candidates: DataFrame) -> DataFrame:
     """Relation of each ``(pair_id, original_id, candidate_id)``.
 
-    Documents are ``(id, content BINARY)``; ``length`` and ``sha256`` are used
-    if the tables carry them.  Pairs meet digests and lengths, not files.  Only
-    where lengths differ does the longer file travel once, to be hashed over
-    the length of the shorter; each such hash is made once however many pairs
-    ask for it.  The narrow pair table is checkpointed between the two steps,
-    so nothing is hashed again for the second.
+    Documents are ``(id, content BINARY)``, one row for each id; ``length`` and
+    ``sha256`` are used if the tables carry them.  Pairs meet digests and
+    lengths, not files.  Only where lengths differ does the longer file travel
+    once, to be hashed over all the lengths that its pairs ask for.  The narrow
+    pair table is checkpointed between the two steps, so nothing is hashed again
+    for the second.  Plain left joins, which adaptive execution splits where one
+    document stands in much of the pairs.
     """
 
     def digests(docs: DataFrame, side: str) -> DataFrame:
@@ -69,41 +91,26 @@ def relate(
             (F.col("sha256") if "sha256" in docs.columns else digest).alias(f"{side}_sha"),
         )
 
-    def attach(rows: DataFrame, side: str, docs: DataFrame) -> DataFrame:
-        key = f"{side}_id"
-        counts = rows.groupBy(key).agg(F.count("*").alias("_n"))
-        info = digests(docs, side).join(counts, key)
-        return join_per_key(rows, info, [key], "_n", F.col("pair_id"), hot_rows)
-
-    known = pairs.transform(attach, "original", originals).transform(
-        attach, "candidate", candidates
+    known = materialize(
+        pairs.join(digests(originals, "original"), "original_id", "left")
+        .join(digests(candidates, "candidate"), "candidate_id", "left")
     )
-    known = materialize(known)
 
     def prefixes(docs: DataFrame, long: str, short: str) -> DataFrame:
-        """Hash of the longer file cut to each length some pair asks for."""
+        # distinct lengths of one file: no more than it has bytes
         asked = (
             known.where(F.col(f"{long}_len") > F.col(f"{short}_len"))
-            .groupBy(f"{long}_id", f"{short}_len")
-            .agg(F.count("*").alias("_n"))
+            .groupBy(F.col(f"{long}_id").alias("id"))
+            .agg(F.collect_set(f"{short}_len").alias("lengths"))
         )
-        cut = F.substring(F.col("content"), F.lit(1), F.col(f"{short}_len").cast("int"))
-        return docs.withColumnRenamed("id", f"{long}_id").join(asked, f"{long}_id").select(
-            f"{long}_id", f"{short}_len", "_n", F.sha2(cut, 256).alias(f"{long}_prefix")
+        kind = docs.schema["id"].dataType.simpleString()
+        rows = docs.join(asked, "id").select("id", "content", "lengths")
+        return rows.mapInArrow(_prefix_digests, f"id {kind}, size long, prefix string").toDF(
+            f"{long}_id", f"{short}_len", f"{long}_prefix"
         )
 
-    for docs, long, short in (
-        (candidates, "candidate", "original"),
-        (originals, "original", "candidate"),
-    ):
-        known = join_per_key(
-            known,
-            prefixes(docs, long, short),
-            [f"{long}_id", f"{short}_len"],
-            "_n",
-            F.col("pair_id"),
-            hot_rows,
-        )
+    known = known.join(prefixes(candidates, "candidate", "original"), ["candidate_id", "original_len"], "left")
+    known = known.join(prefixes(originals, "original", "candidate"), ["original_id", "candidate_len"], "left")
     relation = (
         F.when(F.col("original_sha") == F.col("candidate_sha"), IDENTICAL)
         .when(F.col("candidate_prefix") == F.col("original_sha"), EXTENDS)

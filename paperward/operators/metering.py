@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperward.plans.shape import HOT_ROWS, join_per_key
 
 # Allowances, and metered documents per call.
 ANONYMOUS_PER_HOUR = 10
@@ -67,23 +66,21 @@ def ledger(calls: DataFrame, content: str = "content") -> DataFrame:
     )
 
 
-def tenant_matches(
-    calls: DataFrame, hot_rows: int = HOT_ROWS
-) -> DataFrame:
+def tenant_matches(calls: DataFrame) -> DataFrame:
     """Has this tenant sent this file before?  Only earlier calls count.
 
     The first call per tenant and file is an aggregate combined before the
-    shuffle; joining it back is safe when one file makes up much of the table.
+    shuffle, one row for each; adaptive execution splits the other side where a
+    file makes up much of the table.  Calls without a tenant or a hash match
+    nothing.
     """
     order = F.struct("ts", "call_id")
     firsts = (
         calls.groupBy("tenant", "sha256")
         .agg(F.min(order).alias("first"), F.count("*").alias("_n"))
-        .where("_n > 1")
-    )
-    joined = join_per_key(
-        calls, firsts, ["tenant", "sha256"], "_n", F.col("call_id"), hot_rows
+        .where("_n > 1").drop("_n")
     )
+    joined = calls.join(firsts, ["tenant", "sha256"], "left")
     seen = F.coalesce(F.col("first") < order, F.lit(False))
     return joined.select(
         *calls.columns,

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from paperward.functions import reports as R
 from paperward.operators.redact import redact_reports
-from paperward.plans.shape import compute_once, lookup
+from paperward.plans.shape import compute_once
 
 
 def with_view(reports: DataFrame, body: str = "body", out: str = "report") -> DataFrame:
@@ -99,7 +99,7 @@ def apply_policies(
         F.col("_p.review_on"),
     )
     return (
-        lookup(reports, rules, [tenant])
+        reports.join(rules, tenant, "left")
         .withColumn("policy_verdict", F.when(F.col("_p").isNotNull(), verdict))
         .drop("_p")
     )

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder all executors see, as the session names it.
+    """Folder all executors see, as ``spark.checkpoint.dir`` names it.
 
-    Only a session that names none, as in tests, gets a folder of its own.
+    Only a session that names none, as in tests on one machine, gets a folder of its own.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
@@ -28,19 +28,6 @@ def materialize(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Even out a small input that sits in fewer splits than there are cores.
-
-    Row groups cannot be split, so one small file keeps one core busy.  Input
-    that fills every core with full-size splits is left as it is.
-    """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return df.repartition(cores) if int(str(size)) < cores * split else df
-
-
 def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     """Add a column that later filters and projections read, never recompute.
 
@@ -50,65 +37,3 @@ def compute_once(df: DataFrame, name: str, value: Column) -> DataFrame:
     other columns still pass through to the scan.
     """
     return df.select("*", F.explode(F.array(value)).alias(name))
-
-
-# A key held by more rows than this is "hot".  At most rows / HOT_ROWS keys can
-# be, which is what makes broadcasting them safe: a million of them would need
-# 10**12 rows.
-HOT_ROWS = 1_000_000
-_SALTS = 1024
-
-
-def join_per_key(
-    rows: DataFrame,
-    per_key: DataFrame,
-    keys: list[str],
-    weight: str,
-    spread_by: Column,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Left join of ``rows`` to one row per key, safe for a hot key.
-
-    ``weight`` is the number of rows each key of ``per_key`` has; it is not part
-    of the result.  ``per_key`` is worked out once and written to the shared
-    folder.  Where it has hot keys, these are answered by a broadcast join, and
-    their rows, salted, go through the shuffle join evenly without a partner.
-    """
-    values = [c for c in per_key.columns if c not in (*keys, weight)]
-    per_key = materialize(per_key)
-    if per_key.where(F.col(weight) > hot_rows).isEmpty():
-        return rows.join(per_key.drop(weight), keys, "left").select(*rows.columns, *values)
-    hot = per_key.where(F.col(weight) > hot_rows).select(
-        *keys, F.struct(*values).alias("_hot")
-    )
-    cold = per_key.where(F.col(weight) <= hot_rows).select(
-        *keys, F.lit(0).alias("_salt"), F.struct(*values).alias("_cold")
-    )
-    salt = F.when(
-        F.col("_hot").isNotNull(), F.pmod(F.xxhash64(spread_by), F.lit(_SALTS)) + 1
-    ).otherwise(0)
-    joined = (
-        rows.join(F.broadcast(hot), keys, "left")
-        .withColumn("_salt", salt.cast("int"))
-        .join(cold, [*keys, "_salt"], "left")
-    )
-    return joined.withColumn("_v", F.coalesce("_hot", "_cold")).select(
-        *rows.columns, *[F.col(f"_v.{v}").alias(v) for v in values]
-    )
-
-
-# Rows of a dimension that may be broadcast: one policy or the like each.
-LOOKUP_ROWS = 100_000
-
-
-def lookup(rows: DataFrame, dimension: DataFrame, keys: list[str], most: int = LOOKUP_ROWS) -> DataFrame:
-    """Left join to a dimension of one row per key.
-
-    The dimension is counted, up to the limit, and broadcast if it fits.  A
-    larger one is joined by shuffle with hot keys set apart.
-    """
-    if dimension.limit(most + 1).count() <= most:
-        return rows.join(F.broadcast(dimension), keys, "left")
-    counted = dimension.join(rows.groupBy(*keys).agg(F.count("*").alias("_n")), keys)
-    spread_by = F.monotonically_increasing_id()
-    return join_per_key(rows, counted, keys, "_n", spread_by)

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperward.functions import lexicon as L
-from paperward.plans.shape import spread
 from paperward.sources.tables import read_table
 
 # Endings added to texts, by key.
@@ -57,7 +56,7 @@ def pick(key: Column, values: Sequence[str]) -> Column:
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return spread(read_table(spark, folder, "documents"))
+    return read_table(spark, folder, "documents")
 
 
 def planted(text: Column, key: Column) -> Column:

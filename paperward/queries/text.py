@@ -8,7 +8,6 @@ from paperward.functions import cues as C
 from paperward.functions import text as T
 from paperward.operators import classify as K
 from paperward.operators import rates as A
-from paperward.plans.shape import spread
 from paperward.queries import planted as P
 from paperward.queries import sqltext as S
 from paperward.queries.registry import registry
@@ -33,7 +32,7 @@ def _turns(spark, folder):
 
 
 def _pages(spark, folder):
-    return spread(read_table(spark, folder, "pages")).withColumn(
+    return read_table(spark, folder, "pages").withColumn(
         "value", P.planted(F.col("html"), F.col("page_id"))
     )
 

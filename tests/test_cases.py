@@ -10,7 +10,7 @@ from paperward.operators import cases as K
 from paperward.operators import compare as M
 from paperward.operators import metering as B
 from paperward.operators.rates import category_counts, injection_rates
-from paperward.plans.shape import join_per_key, materialize
+from paperward.plans.shape import materialize
 
 DOC = (
     "case_id int, doc_idx int, name string, bytes bigint, sha256 string,"
@@ -134,14 +134,13 @@ def test_random_cases_against_brute_force(spark):
 # -- comparisons ------------------------------------------------------------
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 2])
-def test_relations(spark, hot_rows):
+def test_relations(spark):
     """Same answers whether keys count as hot or not, by row and by table."""
     contents = {1: b"abc", 2: b"abcdef", 3: b"", 4: b"xbc", 5: b"abc", 6: b"\xff\xfe", 7: b"\xff\xfe\x00"}
     docs = spark.createDataFrame(list(contents.items()), "id int, content binary")
     ids = [(100 * o + c, o, c) for o in contents for c in contents] + [(9999, 1, 99)]
     pairs = spark.createDataFrame(ids, "pair_id int, original_id int, candidate_id int")
-    out = {r["pair_id"]: r["relationship"] for r in M.relate(pairs, docs, docs, hot_rows).collect()}
+    out = {r["pair_id"]: r["relationship"] for r in M.relate(pairs, docs, docs).collect()}
 
     def brute(o, c):
         if o == c:
@@ -218,8 +217,7 @@ def test_ledger_keeps_no_text(spark):
     assert "SECRET" not in str(out.first())
 
 
-@pytest.mark.parametrize("hot_rows", [1_000_000, 3])
-def test_tenant_matches(spark, hot_rows):
+def test_tenant_matches(spark):
     """One file makes up a third of the table."""
     rng = random.Random(2)
     rows = []
@@ -228,22 +226,47 @@ def test_tenant_matches(spark, hot_rows):
         tenant = rng.choice(["a", "a", "b", None])
         rows.append((i, tenant, sha, dt.datetime(2024, 1, 1) + dt.timedelta(seconds=rng.randrange(300))))
     df = spark.createDataFrame(rows, "call_id int, tenant string, sha256 string, ts timestamp")
-    out = {r["call_id"]: (r["seen_before"], r["first_call_id"]) for r in B.tenant_matches(df, hot_rows).collect()}
+    out = {r["call_id"]: (r["seen_before"], r["first_call_id"]) for r in B.tenant_matches(df).collect()}
     assert len(out) == len(rows)
     for i, tenant, sha, ts in rows:
         earlier = [(t, j) for j, ten, s, t in rows if tenant and ten == tenant and s == sha and (t, j) < (ts, i)]
         assert out[i] == ((True, min(earlier)[1]) if earlier else (False, None))
 
 
-def test_join_per_key_keeps_all_rows(spark):
-    rows = spark.createDataFrame([(i, "hot" if i % 2 else f"k{i % 10}") for i in range(500)] + [(500, None), (501, "lost")], "i int, k string")
-    per_key = rows.where("k != 'lost'").groupBy("k").agg(F.count("*").alias("n"), F.max("i").alias("top"))
-    for hot in (10**6, 100, 0):
-        out = join_per_key(rows, per_key, ["k"], "n", F.col("i"), hot)
-        assert out.columns == ["i", "k", "top"] and out.count() == 502
-        bad = out.join(per_key.withColumnRenamed("top", "want"), "k").where("top != want OR top IS NULL")
-        assert bad.count() == 0
-        assert out.where("k IS NULL OR k = 'lost'").where("top IS NOT NULL").count() == 0
+def test_relations_of_one_document_asked_at_many_lengths(spark):
+    long = bytes(i * 31 % 251 for i in range(3000))
+    docs = [("t", long)] + [(f"d{n}", long[:n] if n % 2 else long[: n - 1] + b"\xff") for n in range(1, 400)]
+    pairs = [(n, "t", f"d{n}") for n in range(1, 400)]
+    out = M.relate(
+        spark.createDataFrame(pairs, "pair_id int, original_id string, candidate_id string"),
+        *[spark.createDataFrame(docs, "id string, content binary")] * 2,
+    )
+    want = {n: M.TRUNCATES if n % 2 else M.REWRITTEN for n, *_ in pairs}
+    assert {r["pair_id"]: r["relationship"] for r in out.collect()} == want
+
+
+def test_hot_and_null_keys_are_spread(spark):
+    """A third of the calls on one file, a third without a hash: no task above twice the mean."""
+    calls = spark.range(300_000).selectExpr(
+        "id AS call_id", "'t' AS tenant", "timestamp_seconds(id) AS ts",
+        "CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN NULL ELSE concat('f', id % 60000) END AS sha256",
+    )
+    conf = {
+        "spark.sql.shuffle.partitions": "8", "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = B.tenant_matches(calls).select("call_id", F.spark_partition_id().alias("p"))
+        sizes = [r["count"] for r in out.groupBy("p").count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 300_000 and max(sizes) <= 2 * sum(sizes) / len(sizes), sizes
 
 
 def test_materialize_uses_the_shared_folder(spark):

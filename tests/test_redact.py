@@ -321,9 +321,7 @@ def test_triage_never_says_clean(spark):
 
 
 def test_policies_by_tenant(spark):
-    """Broadcast or shuffled, a policy table gives the same verdicts."""
     from paperward.operators import reports as O
-    from paperward.plans import shape
 
     bodies = [{"summary": {"riskScore": i}, "signals": [{"id": "a"}]} for i in range(100)]
     df = _bodies(spark, bodies).withColumn(
@@ -335,9 +333,5 @@ def test_policies_by_tenant(spark):
     )
     reports = O.with_view(df)
     small = {r["i"]: r["policy_verdict"] for r in O.apply_policies(reports, rules, "t").collect()}
-    key = F.struct("review", "reject", "reject_on", "review_on").alias("_p")
-    large = shape.lookup(reports, rules.select("t", key), ["t"], most=1)
-    assert large.columns[-1] == "_p" and large.count() == 100
-    assert large.where("_p IS NOT NULL").count() == sum(v is not None for v in small.values())
     assert (small[0], small[1], small[8], small[71], small[2]) == ("review", "accept", "accept", "reject", "reject")
     assert small[4] is None

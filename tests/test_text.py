@@ -245,9 +245,7 @@ def test_field_findings(spark):
     assert out[2]["full_length"] == 37 and out[2]["lexicon_version"] == 1
 
 
-@pytest.mark.parametrize("chunk", [1000, 2])
-def test_run_time_lexicon(spark, chunk):
-    """One pass or several chunks: same answer."""
+def test_run_time_lexicon(spark):
     lexicon = spark.createDataFrame(
         [("a", "Café du"), ("a", "monde"), ("b", "noir"), ("b", "MONDE"), ("c", "absent"),
          ("c", "zz"), ("d", "du mon"), ("d", " ")],
@@ -259,7 +257,7 @@ def test_run_time_lexicon(spark, chunk):
     )
     got = {
         r["doc_id"]: list(r["categories"] or [])
-        for r in K.match_lexicon(df, "doc_id", "text", lexicon, chunk).collect()
+        for r in K.match_lexicon(df, "doc_id", "text", lexicon).collect()
     }
     assert got == {1: ["a", "b", "d"], 2: ["b"], 3: [], 4: []}
 
@@ -271,3 +269,18 @@ def test_compiled_lexicon_equals_run_time_lexicon(spark, random_rows):
     fixed = K.with_matchable(df, "value").select("i", C.cue_hits(F.col("matchable")).alias("hits"))
     table = K.match_lexicon(df, "i", "value", lexicon)
     assert fixed.join(table, "i").where("hits != categories").count() == 0
+
+
+def test_large_run_time_lexicon(spark):
+    """A hundred thousand phrases, of one to five words, some of them hidden in words."""
+    phrases = spark.range(100_000).selectExpr(
+        "concat('c', id % 50) AS category",
+        "array_join(transform(sequence(0, cast(id % 5 as int)), i -> concat('w', id * 7 + i)), ' ') AS phrase",
+    )
+    texts = [(0, "x w7 w8 y"), (1, "aw14 w15 w16b"), (2, "w21 w22 w23  W24"), (3, "nothing"), (4, "w699965z")]
+    df = spark.createDataFrame(texts, "i int, value string")
+    got = {r["i"]: list(r["categories"]) for r in K.match_lexicon(df, "i", "value", phrases).collect()}
+    stored = [(r["category"], r["phrase"]) for r in phrases.collect()]
+    for i, text in texts:
+        plain = " ".join(text.lower().split())
+        assert got[i] == sorted({c for c, p in stored if p in plain})
