@@ -187,6 +187,36 @@ def _ascii_forms() -> dict[str, str]:
     return table
 
 
+@functools.lru_cache(maxsize=1)
+def _long_forms() -> dict[str, str]:
+    """Characters that a host parser reads as several ASCII characters, by rule."""
+    table = {}
+    for code in range(0x80, 0x1FC00):
+        if not 0xD800 <= code <= 0xDFFF:
+            form = unicodedata.normalize("NFKC", chr(code))
+            if len(form) > 1 and all("!" <= c <= "~" for c in form):
+                table[chr(code)] = form
+    return table
+
+
+# Code points that a host parser drops.
+_DROPPED = r"[\x{AD}\x{34F}\x{180B}-\x{180F}\x{200B}\x{2060}\x{2064}\x{FE00}-\x{FE0F}\x{FEFF}\x{1BCA0}-\x{1BCA3}\x{E0100}-\x{E01EF}]"
+
+
+def _ascii_host(host: Column) -> Column:
+    """A host with letters beyond ASCII as a parser reads it, in lower case.
+
+    Dropped code points go, wide and enclosed forms become the ASCII they stand for.
+    """
+    short = unicode.translate(F.regexp_replace(host, _DROPPED, ""), _ascii_forms())
+    names = list(_long_forms())
+    forms = F.map_from_arrays(F.lit(names), F.lit([_long_forms()[c] for c in names]))
+    spelled = F.array_join(
+        F.transform(F.split(short, ""), lambda c: F.coalesce(F.try_element_at(forms, c), c)), ""
+    )
+    return F.lower(F.when(short.rlike("[" + "".join(names) + "]"), spelled).otherwise(short))
+
+
 def trim_url(url: Column) -> Column:
     """As URL parsers do: outer blanks go, tabs and line breaks go anywhere."""
     outer = F.regexp_replace(url, r"^[\x00-\x20]+|[\x00-\x20]+$", "")
@@ -278,11 +308,11 @@ def url_host(url: Column) -> Column:
         decoded = F.try_url_decode(F.regexp_replace(host, r"\+", "%2B"))
         plain = F.when(
             host.rlike(r"^[A-Za-z0-9.\-]*$"), F.lower(host)
-        ).otherwise(F.lower(unicode.translate(decoded, _ascii_forms())))
+        ).otherwise(_ascii_host(decoded))
         return let(
             plain,
             lambda h: F.when(
-                (h != "") & ~h.rlike(r'[\x00-\x20#/:<>?@\[\\\]^|%\x7f]'),
+                (h != "") & ~h.rlike(r'[\x00-\x20#/:<>?@\[\\\]^|%\x7f\p{C}\p{Z}]'),
                 F.when(h.rlike(r"(?:^|\.)(?:[0-9]+|0x[0-9a-f]*)\.?$"), _numeric_host(h))
                 .otherwise(h),
             ),

@@ -46,6 +46,10 @@ NOT_EXPOSED = (
     " marks. Blind spots remain: content inside form XObjects is not walked, and a"
     " flattened or image-only page has no text layer to search."
 )
+#: Why a report says nothing, where it gives no reason itself.
+UNREADABLE = "unreadable report"
+NO_REPORT = "no report"
+
 FULL_REPORT = " (Full report — this medium has no separate cheap tier.)"
 
 
@@ -118,9 +122,23 @@ def read_report(body: Column) -> Column:
         ),
         _text(doc, "$.mediaType").alias("media_type"),
         F.when(_is(doc, "$.error", "string"), _text(doc, "$.error")).alias("error"),
+        _is(doc, "$", "object").alias("readable"),
     )
 
 
+def not_analysed(report: Column) -> Column:
+    """Why a report says nothing about its document; null where it does.
+
+    A body that is missing, cut off or no object, has a key twice, or
+    is too long to parse is unreadable.  It must never pass for a quiet one.
+    """
+    return F.when(~report["readable"], UNREADABLE).otherwise(report["error"])
+
+
+def not_analysed_line(name: Column, report: Column) -> Column:
+    return F.concat(name, F.lit(": not analysed ("), not_analysed(report), F.lit(")"))
+
+
 # -- signals ----------------------------------------------------------------
 
 
@@ -198,7 +216,7 @@ def summary_line(name: Column, report: Column) -> Column:
         F.array_join(injection_categories(signals), ", "),
         F.lit(MARKERS[2]),
     )
-    return F.concat(
+    line = F.concat(
         _headline(name, report),
         F.when(
             verdict.isNotNull(), F.concat(F.lit(", your policy says "), verdict)
@@ -207,6 +225,7 @@ def summary_line(name: Column, report: Column) -> Column:
         F.when(F.size(injection_signals(signals)) > 0, note).otherwise(""),
         F.lit(NOT_A_VERDICT),
     )
+    return F.when(not_analysed(report).isNotNull(), not_analysed_line(name, report)).otherwise(line)
 
 
 def triage_line(name: Column, report: Column) -> Column:
@@ -218,7 +237,7 @@ def triage_line(name: Column, report: Column) -> Column:
         return F.coalesce(cost[field].cast("string"), F.lit("?"))
 
     families = F.coalesce(F.size(report["suppressed_families"]), F.lit(0))
-    return F.concat(
+    line = F.concat(
         _headline(name, report),
         F.lit("."),
         F.when(
@@ -240,6 +259,7 @@ def triage_line(name: Column, report: Column) -> Column:
             ),
         ).otherwise(FULL_REPORT),
     )
+    return F.when(not_analysed(report).isNotNull(), not_analysed_line(name, report)).otherwise(line)
 
 
 # -- decisions --------------------------------------------------------------

@@ -34,6 +34,7 @@ _OPTIONAL = {
     "permanent_id": "string",
     "font_tags": "array<string>",
     "created": "timestamp",
+    "load_error": "string",
 }
 
 
@@ -57,7 +58,12 @@ def number_sources(cases: DataFrame, paths: str = "paths", urls: str = "urls") -
 
 
 def assemble(documents: DataFrame, keys: tuple[str, ...] = ("case_id",)) -> DataFrame:
-    """``(case_id, n_docs, docs)`` with at most ten documents in case order."""
+    """``(case_id, n_docs, numbered, docs)`` with at most ten documents in case order.
+
+    ``numbered`` tells whether the documents are numbered 0 to n-1, each once; where
+    they aren't, some of them are not in ``docs``, and :func:`validate` refuses the case.
+    ``load_error``, if there is such a column, is why a document could not be loaded.
+    """
     doc = F.struct(
         F.col("doc_idx").cast("int").alias("doc_idx"),
         *[
@@ -68,8 +74,14 @@ def assemble(documents: DataFrame, keys: tuple[str, ...] = ("case_id",)) -> Data
     slots = [
         F.max(F.when(F.col("doc_idx") == i, doc)) for i in range(MAX_DOCUMENTS)
     ]
+    index = F.col("doc_idx")
+    places = [F.max(F.when(index == i, 1)) for i in range(MAX_DOCUMENTS)]
+    filled = F.size(F.array_compact(F.array(*places)))
+    numbered = (filled == F.count("*")) & (F.max(index) == F.count("*") - 1)
     return documents.groupBy(*keys).agg(
-        F.count("*").alias("n_docs"), F.array_compact(F.array(*slots)).alias("docs")
+        F.count("*").alias("n_docs"),
+        F.coalesce(numbered, F.lit(False)).alias("numbered"),
+        F.array_compact(F.array(*slots)).alias("docs"),
     )
 
 
@@ -96,28 +108,38 @@ def count_ok(n_docs: Column) -> Column:
     return n_docs.between(MIN_DOCUMENTS, MAX_DOCUMENTS)
 
 
+# What a refused case says.
+COUNT_ERROR = (
+    f"a case takes {MIN_DOCUMENTS} to {MAX_DOCUMENTS} documents (paths and urls together);"
+    " got %d. For one document, use inspect_document."
+)
+SIZE_ERROR = (
+    "the documents of one case may add up to {limit} MB; this one is over that"
+    " by document %d. Send fewer or smaller files."
+)
+# Our own words, for tables that no single request could make.
+NUMBER_ERROR = "document numbers must be 0 to n-1, each once"
+LOAD_ERROR = "document %d: %s"
+
+
 def validate(cases: DataFrame, max_bytes: int = MAX_TOTAL_BYTES) -> DataFrame:
-    """Add ``over_idx``, the first document past the size limit, and ``error``."""
+    """Add ``over_idx``, the first document past the size limit, and ``error``.
+
+    The number of documents is judged first, then their numbering; a document that
+    could not be loaded wins over the size rule where it comes no later.
+    """
     over = F.filter(running_bytes(F.col("docs")), lambda d: d["running"] > max_bytes)
-    cases = cases.withColumn(
-        "over_idx", F.when(count_ok(F.col("n_docs")), F.get(over, F.lit(0))["doc_idx"])
-    )
-    limit = max_bytes // (1024 * 1024)
-    count_error = F.format_string(
-        f"a case takes {MIN_DOCUMENTS} to {MAX_DOCUMENTS} documents"
-        " (paths and urls together); got %d. For one document, use inspect_document.",
-        F.col("n_docs"),
-    )
-    size_error = F.format_string(
-        f"the documents of one case may add up to {limit} MB; this one is over that"
-        " by document %d. Send fewer or smaller files.",
-        F.col("over_idx"),
-    )
+    fair = count_ok(F.col("n_docs")) & F.col("numbered")
+    failed = F.get(F.filter("docs", lambda d: d["load_error"].isNotNull()), F.lit(0))
+    cases = cases.withColumn("over_idx", F.when(fair, F.get(over, F.lit(0))["doc_idx"]))
+    size_error = SIZE_ERROR.format(limit=max_bytes // (1024 * 1024))
+    first = failed["doc_idx"] <= F.coalesce("over_idx", F.lit(MAX_DOCUMENTS))
     return cases.withColumn(
         "error",
-        F.when(~count_ok(F.col("n_docs")), count_error).when(
-            F.col("over_idx").isNotNull(), size_error
-        ),
+        F.when(~count_ok(F.col("n_docs")), F.format_string(COUNT_ERROR, F.col("n_docs")))
+        .when(~F.col("numbered"), NUMBER_ERROR)
+        .when(first, F.format_string(LOAD_ERROR, failed["doc_idx"], failed["load_error"]))
+        .when(F.col("over_idx").isNotNull(), F.format_string(size_error, F.col("over_idx"))),
     )
 
 
@@ -196,17 +218,17 @@ def cross_line(found: Column) -> Column:
 def report_lines(documents: DataFrame, reports: DataFrame) -> DataFrame:
     """One line per document of a case, from its report or its error.
 
-    ``documents (case_id, doc_idx, name)``, ``reports (case_id, doc_idx, body)``.
+    ``documents (case_id, doc_idx, name)``, ``reports (case_id, doc_idx, body)``.  A
+    document without a report keeps its line, which says that there is none.
     """
     report = F.col("_report")
     joined = documents.select("case_id", "doc_idx", "name").join(
         reports.select("case_id", "doc_idx", R.read_report(F.col("body")).alias("_report")),
         ["case_id", "doc_idx"],
+        "left",
     )
-    line = F.when(
-        report["error"].isNotNull(),
-        F.concat(F.col("name"), F.lit(": not analysed ("), report["error"], F.lit(")")),
-    ).otherwise(R.summary_line(F.col("name"), report))
+    none = F.concat(F.col("name"), F.lit(f": not analysed ({R.NO_REPORT})"))
+    line = F.when(report.isNull(), none).otherwise(R.summary_line(F.col("name"), report))
     return joined.select(
         "case_id", "doc_idx", F.concat(F.format_string("[%d] ", "doc_idx"), line).alias("line")
     )

@@ -22,33 +22,65 @@ def call_cost(tool: Column, n_docs: Column) -> Column:
     )
 
 
+def needs_key(tool: Column) -> Column:
+    """Comparisons and cases are refused without a key, and cost nothing then."""
+    return F.coalesce(tool.isin("compare_documents", "inspect_case"), F.lit(False))
+
+
+def _metered(calls: DataFrame) -> DataFrame:
+    """Calls with ``account``, ``anonymous``, ``refused`` and ``cost``."""
+    if "caller" not in calls.columns:
+        calls = calls.withColumn("caller", F.lit("anonymous"))
+    anonymous = F.col("key").isNull()
+    refused = anonymous & needs_key(F.col("tool"))
+    return calls.select(
+        "ts", F.coalesce("key", "caller").alias("account"), anonymous.alias("anonymous"),
+        refused.alias("refused"),
+        F.when(refused, F.lit(0).cast("bigint")).otherwise(call_cost(F.col("tool"), F.col("n_docs"))).alias("cost"),
+    )
+
+
+def _sums() -> list[Column]:
+    return [
+        F.sum("cost").alias("documents"),
+        F.count_if(~F.col("refused")).alias("calls"),
+        F.count_if("refused").alias("refused"),
+    ]
+
+
+def _window(ts: str) -> Column:
+    return F.when(F.col("anonymous"), F.date_trunc("hour", ts)).otherwise(F.date_trunc("month", ts))
+
+
+def _with_over(used: DataFrame) -> DataFrame:
+    limit = F.when(F.col("anonymous"), ANONYMOUS_PER_HOUR).otherwise(KEYED_PER_MONTH)
+    return used.withColumn("over", F.col("documents") > limit)
+
+
 def usage(calls: DataFrame) -> DataFrame:
     """Metered documents per key and allowance window, and whether it is over.
 
     Calls without a key share the hourly anonymous allowance per ``caller``;
     keyed calls have the monthly one.  Without a ``caller`` column all
-    anonymous calls are one caller.  Sums combine before the shuffle.
+    anonymous calls are one caller.  Calls that need a key and have none are
+    refused: they are counted as such and cost nothing.  Sums combine before the
+    shuffle.
     """
-    if "caller" not in calls.columns:
-        calls = calls.withColumn("caller", F.lit("anonymous"))
-    anonymous = F.col("key").isNull()
-    return (
-        calls.select(
-            F.coalesce("key", "caller").alias("account"),
-            anonymous.alias("anonymous"),
-            F.when(anonymous, F.date_trunc("hour", "ts"))
-            .otherwise(F.date_trunc("month", "ts"))
-            .alias("period"),
-            call_cost(F.col("tool"), F.col("n_docs")).alias("cost"),
-        )
-        .groupBy("account", "anonymous", "period")
-        .agg(F.sum("cost").alias("documents"), F.count("*").alias("calls"))
-        .withColumn(
-            "over",
-            F.col("documents")
-            > F.when(F.col("anonymous"), ANONYMOUS_PER_HOUR).otherwise(KEYED_PER_MONTH),
-        )
-    )
+    metered = _metered(calls)
+    period = _window("ts").alias("period")
+    return _with_over(metered.groupBy("account", "anonymous", period).agg(*_sums()))
+
+
+def hourly_usage(calls: DataFrame, hour: Column) -> DataFrame:
+    """The same sums per account and ``hour``, a window column; also of a stream."""
+    return _metered(calls).groupBy(hour.alias("hour"), "account", "anonymous").agg(*_sums())
+
+
+def usage_of_hours(hours: DataFrame) -> DataFrame:
+    """:func:`usage` from rows ``(account, anonymous, period, documents, calls, refused)`` of hours."""
+    sums = [F.sum(c).cast("bigint").alias(c) for c in ("documents", "calls", "refused")]
+    period = _window("period").alias("period")
+    return _with_over(hours.groupBy("account", "anonymous", period).agg(*sums))
 
 
 def ledger(calls: DataFrame, content: str = "content") -> DataFrame:

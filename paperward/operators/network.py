@@ -115,7 +115,7 @@ def hop_outcomes(
     """Add ``outcome`` to each hop of a fetch log.
 
     ``hops (fetch_id, hop, url, status, location, declared_len, received_len,
-    elapsed_ms)``, hop 0 first; an optional ``dns_blocked`` tells that the host
+    elapsed_ms)``, hop 0 first, each with the time it took by itself; an optional ``dns_blocked`` tells that the host
     resolved to a blocked address.
     """
     if "dns_blocked" not in hops.columns:
@@ -129,9 +129,15 @@ def fetch_outcomes(
 ) -> DataFrame:
     """One row per fetch: its first hop that ends it, and the reason.
 
-    Each hop is judged alone and the earliest one wins by ``min``, so there is
-    no window and no task that holds a whole chain.
+    Each hop is judged alone and the earliest one wins by ``min``.  The time limit
+    holds for all hops of a fetch together: a sum for each hop that a fetch may
+    have, so there is no window and no task that holds a whole chain.
     """
+    limit = timeout_ms(timeout)
+    last = N.MAX_REDIRECTS
+    spent = [
+        F.sum(F.when(F.col("hop") <= h, F.col("elapsed_ms"))).alias(f"_spent_{h}") for h in range(last + 1)
+    ]
     ended = F.when(
         F.col("outcome").isNotNull(),
         F.struct(
@@ -145,8 +151,19 @@ def fetch_outcomes(
             F.count("*").alias("requests"),
             F.min_by("url", "hop").alias("url"),
             F.min(ended).alias("_end"),
+            *spent,
         )
     )
+    # the hop in which the time ran out, unless the chain had ended before
+    late = F.coalesce(*[F.when(F.col(f"_spent_{h}") > limit, F.lit(h)) for h in range(last + 1)])
+    refused = F.col("_end.outcome").isin("invalid-url", "scheme-refused", "blocked")
+    sooner = F.col("_end").isNull() | (late < F.col("_end.hop")) | ((late == F.col("_end.hop")) & ~refused)
+    kind = dict(ends.select("_end.*").dtypes)
+    instead = {"hop": late, "outcome": F.lit("timeout"), "status": F.when(late == F.col("_end.hop"), F.col("_end.status"))}
+    timed_out = F.struct(*[
+        instead.get(c, F.lit(None)).cast(t).alias(c) for c, t in kind.items()
+    ])
+    ends = ends.withColumn("_end", F.when(late.isNotNull() & sooner, timed_out).otherwise(F.col("_end")))
     outcome = F.coalesce("_end.outcome", F.lit("unfinished"))
     return ends.select(
         "fetch_id",
@@ -155,7 +172,7 @@ def fetch_outcomes(
         outcome.alias("outcome"),
         F.col("_end.hop").alias("ended_at"),
         F.col("_end.status").alias("status"),
-        fetch_message(F.col("url"), F.col("_end"), timeout_ms(timeout)).alias("message"),
+        fetch_message(F.col("url"), F.col("_end"), limit).alias("message"),
         F.when(outcome == "ok", N.url_display_name(F.col("url"))).alias("name"),
     )
 

@@ -19,16 +19,10 @@ def inspect(reports: DataFrame, name: str = "name", body: str = "body") -> DataF
     """The answer about each document: its redacted body and a line about it.
 
     Bodies come redacted by both passes, always, so the answer is safe for a
-    model to read.  A body that only carries an error says so.
+    model to read.  A body that only carries an error, or can't be read, says so.
     """
     safe = reports.transform(redact_reports, body).transform(with_view, body, "report")
-    line = F.when(
-        F.col("report.error").isNotNull(),
-        F.concat(
-            F.col(name), F.lit(": not analysed ("), F.col("report.error"), F.lit(")")
-        ),
-    ).otherwise(R.summary_line(F.col(name), F.col("report")))
-    return safe.withColumn("line", line)
+    return safe.withColumn("line", R.summary_line(F.col(name), F.col("report")))
 
 
 def triage(reports: DataFrame, name: str = "name", body: str = "body") -> DataFrame:
@@ -50,7 +44,8 @@ def check_redaction(
     """Did redactions remove the words?  Every document gets an answer.
 
     Adds ``exposed``, ``findings`` (whole signals as JSON), ``media_type`` and
-    ``line``.  Recovered words are kept unless they read as an instruction.
+    ``line``.  Recovered words are kept unless they read as an instruction.  Of a
+    report that is an error or can't be read, ``exposed`` is null and the line says so.
     """
     safe = reports.transform(redact_reports, body)
     doc = F.try_parse_json(F.col(body))
@@ -68,14 +63,16 @@ def check_redaction(
         lambda s: F.to_json(s),
     )
     safe = compute_once(safe, "findings", found)
-    exposed = F.size("findings") > 0
+    safe = safe.transform(with_view, body, "_view")
+    silent = R.not_analysed(F.col("_view")).isNotNull()
+    exposed = F.when(~silent, F.size("findings") > 0)
     return safe.withColumns({
         "exposed": exposed,
         "media_type": F.when(~exposed, F.try_variant_get(doc, "$.mediaType", "string")),
-        "line": F.concat(
-            F.col(name), F.when(exposed, R.EXPOSED).otherwise(R.NOT_EXPOSED)
+        "line": F.when(silent, R.not_analysed_line(F.col(name), F.col("_view"))).otherwise(
+            F.concat(F.col(name), F.when(exposed, R.EXPOSED).otherwise(R.NOT_EXPOSED))
         ),
-    })
+    }).drop("_view")
 
 
 def apply_policies(
@@ -84,7 +81,8 @@ def apply_policies(
     """Add ``policy_verdict`` by the policy of each report's tenant.
 
     ``policies (tenant, review, reject, reject_on, review_on)``, one row per
-    tenant.  A report without a policy gets no verdict.
+    tenant.  A report without a policy, or one that is an error or can't be read,
+    gets no verdict.
     """
     view = F.col(report)
     rules = policies.select(
@@ -100,7 +98,7 @@ def apply_policies(
     )
     return (
         reports.join(rules, tenant, "left")
-        .withColumn("policy_verdict", F.when(F.col("_p").isNotNull(), verdict))
+        .withColumn("policy_verdict", F.when(F.col("_p").isNotNull() & R.not_analysed(view).isNull(), verdict))
         .drop("_p")
     )
 

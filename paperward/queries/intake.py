@@ -160,14 +160,19 @@ def calls_of(events):
 CALLS_SQL = """calls AS (SELECT event_id AS call_id, ts, event_id,
     CASE WHEN user_id % 5 <> 0 THEN 'key-' || user_id END AS key,
     'caller-' || (event_id % 50) AS caller,
-    CASE event_type WHEN 'click' THEN 2 WHEN 'purchase' THEN event_id % 9 + 2 ELSE 1 END AS cost
+    user_id % 5 = 0 AND event_type IN ('click', 'purchase') AS refused,
+    CASE WHEN user_id % 5 = 0 AND event_type IN ('click', 'purchase') THEN 0
+         WHEN event_type = 'click' THEN 2 WHEN event_type = 'purchase' THEN event_id % 9 + 2 ELSE 1 END AS cost
     FROM events)"""
 
+USED_SQL = """SELECT coalesce(key, caller) AS account, key IS NULL AS anonymous,
+        strftime(CASE WHEN key IS NULL THEN date_trunc('hour', ts) ELSE date_trunc('month', ts) END, '%Y-%m-%d %H:%M:%S') AS period,
+        CAST(sum(cost) AS BIGINT) AS documents, count(*) FILTER (NOT refused) AS calls,
+        count(*) FILTER (refused) AS refused FROM calls"""
+
 
 @query(f"""WITH {CALLS_SQL},
-    used AS (SELECT coalesce(key, caller) AS account, key IS NULL AS anonymous,
-        strftime(CASE WHEN key IS NULL THEN date_trunc('hour', ts) ELSE date_trunc('month', ts) END, '%Y-%m-%d %H:%M:%S') AS period,
-        CAST(sum(cost) AS BIGINT) AS documents, count(*) AS calls FROM calls GROUP BY ALL)
+    used AS ({USED_SQL} GROUP BY ALL)
     SELECT *, documents > CASE WHEN anonymous THEN 10 ELSE 50 END AS over FROM used
 """)
 def usage_metering(spark, folder):

@@ -41,6 +41,16 @@ URL_PLANTS = [
     ("http://ex.example/%ff.pdf", "ok", "ex.example", "%ff.pdf"),
     ("http://１２７.0.0.1/", "blocked", "127.0.0.1", "document"),
     ("http://169.254.169.254/latest/meta-data", "blocked", "169.254.169.254", "meta-data"),
+    ("http://127.0.0.1\u00ad/a", "blocked", "127.0.0.1", "a"),
+    ("http://127.0.0.1\u200b/a", "blocked", "127.0.0.1", "a"),
+    ("http://169.254.169.254\u2060/a", "blocked", "169.254.169.254", "a"),
+    ("http://127.0.0.%C2%AD1/a", "blocked", "127.0.0.1", "a"),
+    ("http://10.0.0.\u2469/a", "blocked", "10.0.0.10", "a"),
+    ("http://\u2491\u0030.0.1/a", "blocked", "10.0.0.1", "a"),
+    ("http://\ufe0f/a", "invalid-url", None, "a"),
+    ("http://a\u200db.example/a", "invalid-url", None, "a"),
+    ("http://a\u202eb.example/a", "invalid-url", None, "a"),
+    ("http://b\u00fccher.example/a", "ok", "b\u00fccher.example", "a"),
 ]
 _URLS = [u for u, *_ in URL_PLANTS]
 _N = len(URL_PLANTS)
@@ -124,10 +134,10 @@ def _expected(table: str, rows, names: str) -> str:
 
 
 def urls_of(pages):
-    """Every page; in turn its own URL and one of the planted ones."""
-    turn = F.col("page_id") % (2 * _N)
-    url = F.when(turn < _N, P.pick(turn, _URLS)).otherwise(F.col("url"))
-    return pages.select("page_id", url.alias("url"))
+    """Every page's own URL and, as a row of its own, one of the planted ones."""
+    both = F.array(F.col("url"), P.pick(F.col("page_id") % _N, _URLS))
+    rows = pages.select("page_id", F.posexplode(both).alias("planted", "url"))
+    return rows.select("page_id", (F.col("planted") == 1).alias("planted"), "url")
 
 
 def _urls(spark, folder):
@@ -137,21 +147,19 @@ def _urls(spark, folder):
 URLS_SQL = f"""
     {_expected('plant', URL_PLANTS, 'url, verdict, host, name')},
     urls AS (
-        SELECT page_id, plant.i, coalesce(plant.url, pages.url) AS url,
-               CASE WHEN plant.i IS NULL THEN 'ok' ELSE verdict END AS verdict,
-               CASE WHEN plant.i IS NULL
-                    THEN lower(regexp_extract(pages.url, '^https?://([^/?#:]+)', 1))
-                    ELSE host END AS host,
-               CASE WHEN plant.i IS NULL THEN coalesce(nullif(regexp_extract(
-                        regexp_replace(regexp_replace(pages.url, '[?#].*$', ''), '/+$', ''),
+        SELECT page_id, true AS planted, plant.url, verdict, host, name
+        FROM pages JOIN plant ON page_id % {_N} = plant.i
+        UNION ALL
+        SELECT page_id, false, url, 'ok', lower(regexp_extract(url, '^https?://([^/?#:]+)', 1)),
+               coalesce(nullif(regexp_extract(
+                        regexp_replace(regexp_replace(url, '[?#].*$', ''), '/+$', ''),
                         '^https?://[^/]+.*/([^/]+)$', 1), ''), 'document')
-                    ELSE name END AS name
-        FROM pages LEFT JOIN plant ON page_id % {2 * _N} = plant.i)"""
+        FROM pages)"""
 
 
 @query(f"""
     WITH {URLS_SQL}
-    SELECT page_id, CASE WHEN verdict = 'blocked' THEN 'ok' ELSE verdict END AS verdict,
+    SELECT page_id, planted, CASE WHEN verdict = 'blocked' THEN 'ok' ELSE verdict END AS verdict,
            CASE WHEN verdict = 'invalid-url' AND url NOT LIKE 'http%' THEN NULL
                 ELSE lower(regexp_extract(trim(url), '^([A-Za-z]+):', 1)) END AS scheme
     FROM urls
@@ -159,25 +167,26 @@ URLS_SQL = f"""
 def url_scheme(spark, folder):
     return _urls(spark, folder).select(
         "page_id",
+        "planted",
         N.url_verdict(F.col("url")).alias("verdict"),
         N.url_scheme(F.col("url")).alias("scheme"),
     )
 
 
-@query(f"WITH {URLS_SQL} SELECT page_id, host, verdict FROM urls")
+@query(f"WITH {URLS_SQL} SELECT page_id, planted, host, verdict FROM urls")
 def url_screen(spark, folder):
-    return K.screen_urls(_urls(spark, folder)).select("page_id", "host", "verdict")
+    return K.screen_urls(_urls(spark, folder)).select("page_id", "planted", "host", "verdict")
 
 
 @query(f"""
     WITH {URLS_SQL}
-    SELECT page_id, CASE WHEN verdict = 'invalid-url' THEN NULL ELSE name END AS name
+    SELECT page_id, planted, CASE WHEN verdict = 'invalid-url' THEN NULL ELSE name END AS name
     FROM urls
 """)
 def url_display_name(spark, folder):
     url = F.col("url")
     name = F.when(N.url_verdict(url) != "invalid-url", N.url_display_name(url))
-    return _urls(spark, folder).select("page_id", name.alias("name"))
+    return _urls(spark, folder).select("page_id", "planted", name.alias("name"))
 
 
 def _addresses(spark, folder):
@@ -286,6 +295,13 @@ SCENARIOS = [
     ([("not a url", None, None, None, None, 5)], 1, "invalid-url", 0, None),
     ([("", 302, "/n", None, None, 5)], 1, "unfinished", None, None),
     ([("", 200, None, 10485760, 10485760, 30000)], 1, "ok", 0, 200),
+    # the time limit holds for the whole chain
+    ([("", 302, "/n", None, None, 10000)] * 3 + [("", 200, None, None, 7, 1)], 4, "timeout", 3, 200),
+    ([("", 302, "/n", None, None, 15001)] * 2 + [("", 200, None, None, 7, 1)], 3, "timeout", 1, None),
+    (
+        [("", 302, "http://10.0.0.1/", None, None, 30000), ("http://10.0.0.1/", None, None, None, None, 5)],
+        2, "blocked", 1, None,
+    ),
 ]
 
 
@@ -377,7 +393,10 @@ _HOPS_SQL = ", ".join(
     for i, (hops, _, outcome, ended, _) in enumerate(SCENARIOS)
     for n in range(len(hops))
     for label in [
-        None if ended is None or n < ended else outcome
+        None if ended is None or n < ended
+        # a hop by itself only knows its own time
+        else outcome if outcome != "timeout" or hops[n][5] > 30000
+        else None if hops[n][1] == 302 else "ok"
     ]
 )
 

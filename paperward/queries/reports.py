@@ -9,6 +9,7 @@ from paperward.operators import redact as X
 from paperward.operators import reports as O
 from paperward.plans.shape import materialize
 from paperward.queries import planted as P
+from paperward.queries import sqltext as S
 from paperward.queries.registry import registry
 
 QUERIES, ORACLES, query = registry()
@@ -444,3 +445,43 @@ def leaf_flatten(spark, folder):
         "type",
         "value",
     )
+
+
+# -- reports that say nothing -----------------------------------------------
+
+# Body, and why it says nothing; ``#`` stands for the document's id.
+SILENT = [
+    ('{"summary":{"riskScore":99},"signals":[{"id":"redaction-exposure","severity":"high"}', "unreadable report"),
+    ('{"signals":[],"signals":[{"id":"redaction-exposure"}]}', "unreadable report"),
+    ("", "unreadable report"),
+    ("[]", "unreadable report"),
+    (None, "unreadable report"),
+    ('{"error":"unsupported #"}', "unsupported #"),
+]
+_SILENT_SQL = ", ".join(f"({i}, {S.lit(why)})" for i, (_, why) in enumerate(SILENT))
+
+
+@query(f"""
+    WITH silent(i, why) AS (VALUES {_SILENT_SQL}),
+    said AS (SELECT doc_id, 'doc_' || doc_id || '.pdf: not analysed (' || replace(why, '#', CAST(doc_id AS VARCHAR)) || ')' AS line
+             FROM documents JOIN silent ON doc_id % {len(SILENT)} = i)
+    SELECT doc_id, line AS inspected, line AS triaged, 'escalate' AS route, line AS checked,
+           CAST(NULL AS BOOLEAN) AS exposed, CAST(NULL AS VARCHAR) AS verdict FROM said
+""")
+def report_unreadable(spark, folder):
+    """Every document with a report that says nothing: no answer may read as quiet."""
+    turn = F.col("doc_id") % len(SILENT)
+    body = P.pick(turn, [b if b is not None else "" for b, _ in SILENT])
+    body = F.regexp_replace(body, "#", F.col("doc_id").cast("string"))
+    body = F.when(turn != 4, body)
+    rows = P.documents(spark, folder).select(
+        "doc_id", F.format_string("doc_%d.pdf", "doc_id").alias("name"), body.alias("body")
+    )
+    seen = O.inspect(rows).select("doc_id", F.col("line").alias("inspected"), "report")
+    quick = O.triage(rows).select("doc_id", F.col("line").alias("triaged"), "route")
+    checked = O.check_redaction(rows).select("doc_id", F.col("line").alias("checked"), "exposed")
+    rules = rows.select("doc_id", F.lit(50).alias("review"), F.lit(None).cast("int").alias("reject")).withColumns({
+        "reject_on": F.array(F.lit("redaction-exposure")), "review_on": F.lit(None).cast("array<string>")
+    })
+    judged = O.apply_policies(seen, rules, "doc_id").withColumnRenamed("policy_verdict", "verdict").drop("report")
+    return judged.join(quick, "doc_id").join(checked, "doc_id")

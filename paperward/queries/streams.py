@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from paperward.operators import cases as K
 from paperward.queries import planted as P
-from paperward.queries.intake import CALLS_SQL, calls_of
+from paperward.operators.metering import usage_of_hours
+from paperward.queries.intake import CALLS_SQL, USED_SQL, calls_of
 from paperward.queries.network import URLS_SQL, urls_of
 from paperward.queries.registry import registry
 from paperward.queries.text import FIELDS_SQL, flat_findings
@@ -28,16 +29,16 @@ def stream_classify(spark, folder):
 
 
 @query(f"""WITH {CALLS_SQL},
-    used AS (SELECT coalesce(key, 'anonymous') AS account, date_trunc('hour', ts) AS start,
-                    CAST(sum(cost) AS BIGINT) AS documents, count(*) AS calls FROM calls GROUP BY ALL)
-    SELECT account, strftime(start, '%Y-%m-%d %H:%M:%S') AS period, documents, calls FROM used
-    WHERE start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+    used AS ({USED_SQL}
+        WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE
+        GROUP BY ALL)
+    SELECT *, documents > CASE WHEN anonymous THEN 10 ELSE 50 END AS over FROM used
 """)
 def stream_metering(spark, folder):
-    used = J.metering_stream(calls_of(stream_table(spark, folder, "events")))
-    return J.run_to_table(spark, used, "metering").withColumn(
-        "period", F.date_format("period", "yyyy-MM-dd HH:mm:ss")
-    )
+    """The batch's answer from the hours that have closed."""
+    hours = J.metering_stream(calls_of(stream_table(spark, folder, "events")))
+    used = usage_of_hours(J.run_to_table(spark, hours, "metering"))
+    return used.withColumn("period", F.date_format("period", "yyyy-MM-dd HH:mm:ss"))
 
 
 def _arrivals(spark, folder):
@@ -67,17 +68,25 @@ _ARRIVALS = """arrivals AS (SELECT conv_id AS case_id, turn AS doc_idx,
     closed AS (SELECT max(t) - 600 AS mark FROM arrivals)"""
 
 
-@query(f"""WITH {_ARRIVALS}
-    SELECT case_id, CAST(t // 3600 * 3600 AS BIGINT) AS period, sha AS sha256,
-           string_agg(doc_idx, ',' ORDER BY doc_idx) AS documents
-    FROM arrivals GROUP BY case_id, t // 3600, sha
-    HAVING count(*) > 1 AND (t // 3600 + 1) * 3600 <= (SELECT mark FROM closed)
+@query(f"""WITH {_ARRIVALS},
+    sessions AS (SELECT case_id, min(t) AS opened, count(*) AS n FROM arrivals
+                 GROUP BY case_id HAVING max(t) + 900 <= (SELECT mark FROM closed)),
+    found AS (SELECT case_id, opened, NULL AS error, sha AS sha256,
+                     string_agg(doc_idx, ',' ORDER BY doc_idx) AS documents
+              FROM arrivals JOIN sessions USING (case_id) WHERE n BETWEEN 2 AND 10
+              GROUP BY case_id, opened, sha HAVING count(*) > 1),
+    refused AS (SELECT case_id, opened, 'a case takes 2 to 10 documents (paths and urls together); got ' || n
+                       || '. For one document, use inspect_document.' AS error,
+                       NULL AS sha256, NULL AS documents FROM sessions WHERE n NOT BETWEEN 2 AND 10)
+    SELECT case_id, CAST(opened AS BIGINT) AS opened, error, sha256, documents
+    FROM (SELECT * FROM found UNION ALL SELECT * FROM refused)
 """)
 def stream_same_file(spark, folder):
     found = J.same_file_stream(_arrivals(spark, folder))
     return J.run_to_table(spark, found, "same-file").select(
         "case_id",
-        F.unix_seconds("period").alias("period"),
+        F.unix_seconds("opened").alias("opened"),
+        "error",
         "sha256",
         F.array_join(F.col("documents").cast("array<string>"), ",").alias("documents"),
     )
@@ -99,7 +108,7 @@ def stream_case(spark, folder):
     )
 
 
-@query(f"WITH {URLS_SQL} SELECT page_id, host, verdict FROM urls")
+@query(f"WITH {URLS_SQL} SELECT page_id, planted, host, verdict FROM urls")
 def stream_url_screen(spark, folder):
     screened = J.url_screen_stream(urls_of(stream_table(spark, folder, "pages")))
-    return J.run_to_table(spark, screened, "urls").select("page_id", "host", "verdict")
+    return J.run_to_table(spark, screened, "urls").select("page_id", "planted", "host", "verdict")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from paperward.operators import cases as K
 from paperward.operators.classify import field_findings
-from paperward.operators.metering import call_cost
+from paperward.operators.metering import hourly_usage
 from paperward.operators.network import screen_urls
 from paperward.plans.shape import shared_folder
 
@@ -27,42 +27,41 @@ def classify_stream(fields: DataFrame) -> DataFrame:
 def metering_stream(
     calls: DataFrame, lateness: str = "10 minutes", period: str = "1 hour"
 ) -> DataFrame:
-    """Metered documents per key and hour; a window closes with the watermark."""
-    return (
-        calls.withWatermark("ts", lateness)
-        .groupBy(F.window("ts", period), F.coalesce("key", F.lit("anonymous")).alias("account"))
-        .agg(
-            F.sum(call_cost(F.col("tool"), F.col("n_docs"))).alias("documents"),
-            F.count("*").alias("calls"),
-        )
-        .select("account", F.col("window.start").alias("period"), "documents", "calls")
+    """Metered documents per account and hour; a window closes with the watermark.
+
+    Accounts, refusals and costs are those of the batch; ``usage_of_hours`` sums
+    closed hours up to allowance windows, with the batch's answer.
+    """
+    hours = hourly_usage(calls.withWatermark("ts", lateness), F.window("ts", period))
+    return hours.select(
+        "account", "anonymous", F.col("hour.start").alias("period"), "documents", "calls", "refused"
     )
 
 
+def _sessions(documents: DataFrame, lateness: str, gap: str) -> DataFrame:
+    """Cases of documents that arrive close together, under the batch's rules."""
+    arriving = documents.withWatermark("ts", lateness).withColumn(
+        "session", F.session_window("ts", gap)
+    )
+    return K.validate(K.assemble(arriving, ("case_id", "session")))
+
+
 def same_file_stream(
-    documents: DataFrame, lateness: str = "10 minutes", period: str = "1 hour"
+    documents: DataFrame, lateness: str = "10 minutes", gap: str = "15 minutes"
 ) -> DataFrame:
-    """Identical files within a case that arrive in one window.
+    """Identical files within a case whose documents arrive close together.
 
-    The indices are kept as bits of one integer, so a group of copies has the
-    same small state whatever its size.  A valid case has indices 0 to 9.
+    A case that the batch refuses has one row with the reason and no file.  State is
+    ten slots per case, whatever a "case" holds.
     """
-    indices = F.sequence(F.lit(0), F.lit(K.MAX_DOCUMENTS - 1))
-    bit = F.expr("shiftleft(1L, cast(doc_idx as int))")
-    return (
-        documents.where(F.col("doc_idx").between(0, K.MAX_DOCUMENTS - 1))
-        .withWatermark("ts", lateness)
-        .groupBy(F.window("ts", period), "case_id", "sha256")
-        .agg(F.bit_or(bit).alias("_bits"))
-        .where(F.bit_count("_bits") > 1)
-        .select(
-            "case_id",
-            F.col("window.start").alias("period"),
-            "sha256",
-            F.filter(
-                indices, lambda i: F.call_function("getbit", F.col("_bits"), i) == 1
-            ).alias("documents"),
-        )
+    cases = _sessions(documents, lateness, gap)
+    found = F.when(F.col("error").isNull(), K.same_file(F.col("docs")))
+    one = F.explode(F.coalesce(found, F.array(F.lit(None).cast("struct<code:string,documents:array<int>>"))))
+    rows = cases.select("case_id", "session", "error", "docs", one.alias("f"))
+    first = F.filter("docs", lambda d: d["doc_idx"] == F.col("f.documents")[0])
+    return rows.select(
+        "case_id", F.col("session.start").alias("opened"), "error",
+        F.get(first, F.lit(0))["sha256"].alias("sha256"), F.col("f.documents").alias("documents"),
     )
 
 
@@ -74,11 +73,7 @@ def case_stream(
     The session aggregate is the batch one - ten slots per case - and the
     findings are row expressions on top of it.
     """
-    sessions = documents.withWatermark("ts", lateness).withColumn(
-        "session", F.session_window("ts", gap)
-    )
-    cases = K.assemble(sessions, ("case_id", "session"))
-    return K.validate(cases).transform(K.with_findings).select(
+    return _sessions(documents, lateness, gap).transform(K.with_findings).select(
         "case_id",
         F.col("session.start").alias("opened"),
         "n_docs",

@@ -199,11 +199,37 @@ def test_usage(spark):
     at = dt.datetime(2024, 3, 5, 10, 59)
     hour = dt.timedelta(hours=1)
     rows = [(at, None, "c1", "inspect_document", 1)] * 10 + [(at + hour, None, "c1", "inspect_document", 1)]
-    rows += [(at, None, "c2", "inspect_case", 11), (at, "k", "c1", "compare_documents", 9)]
+    rows += [(at, None, "c2", "inspect_document", 1)] * 11 + [(at, "k", "c1", "compare_documents", 9)]
+    # refused without a key: counted, not charged
+    rows += [(at, None, "c1", "inspect_case", 11), (at, None, "c3", "compare_documents", 2)]
     rows += [(at + 24 * hour, "k", "c1", "inspect_case", 49)]
     df = spark.createDataFrame(rows, "ts timestamp, key string, caller string, tool string, n_docs int")
     out = {(r["account"], r["period"].hour): (r["documents"], r["over"]) for r in B.usage(df).collect()}
-    assert out == {("c1", 10): (10, False), ("c1", 11): (1, False), ("c2", 10): (11, True), ("k", 0): (51, True)}
+    assert out == {
+        ("c1", 10): (10, False), ("c1", 11): (1, False), ("c2", 10): (11, True), ("c3", 10): (0, False), ("k", 0): (51, True)
+    }
+    told = {r["account"]: (r["calls"], r["refused"]) for r in B.usage(df).where("hour(period) = 10").collect()}
+    assert told == {"c1": (10, 1), "c2": (11, 0), "c3": (0, 1)}
+
+
+DOCS = "case_id int, doc_idx int, name string, bytes bigint, sha256 string, load_error string"
+
+
+def test_cases_keep_every_document(spark):
+    mb = 2**20
+    rows = [(1, i, f"d{i}", 20 * mb, "s", None) for i in (1, 10, 10)]  # misnumbered
+    rows += [(2, None, "d", 40 * mb, "s", None), (2, 1, "d1", 1, "s", None)]  # no number
+    rows += [(3, 0, "d0", 1, "s", None), (3, 0, "d0", 1, "s", None)]  # a number twice
+    rows += [(4, 0, "d0", 1, "s", None), (4, 1, "d1", 1, None, "not a file")]
+    rows += [(5, 0, "d0", 31 * mb, "s", None), (5, 1, "d1", 1, None, "not a file")]  # size comes first
+    rows += [(6, 0, "d0", 1, "s", None), (6, 1, "d1", 1, "t", None)]
+    docs = spark.createDataFrame(rows, DOCS)
+    reports = spark.createDataFrame([(6, 0, '{"error": "bad"}')], "case_id int, doc_idx int, body string")
+    out = {r["case_id"]: r for r in K.inspect_cases(docs, reports).collect()}
+    assert [out[i]["text"] for i in (1, 2, 3)] == [K.NUMBER_ERROR] * 3
+    assert out[4]["text"] == "document 1: not a file" and "by document 0" in out[5]["text"]
+    assert out[6]["text"].split("\n")[:2] == ["[0] d0: not analysed (bad)", "[1] d1: not analysed (no report)"]
+    assert not out[6]["refused"] and all(out[i]["refused"] for i in range(1, 6))
 
 
 def test_ledger_keeps_no_text(spark):

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from paperward.operators import cases as K
 from paperward.operators.classify import field_findings
+from paperward.operators.metering import usage, usage_of_hours
 from paperward.operators.network import screen_urls
 from paperward.queries.network import URL_PLANTS
 from paperward.streaming import jobs as J
@@ -61,6 +62,17 @@ def test_late_calls(spark, tmp_path):
     assert out == {("k", at(0)): (3, 3), ("anonymous", at(0)): (1, 1), ("k", at(60)): (8, 4)}
 
 
+def test_metering_equals_batch(spark, tmp_path):
+    tools = ["inspect_document", "compare_documents", "inspect_case"]
+    rows = [call(i, i * 7, None if i % 3 else "k", tools[i % 3 - i % 2], i % 5 + 2) for i in range(60)]
+    stream = arrive(spark, tmp_path, CALL, rows[:30], rows[30:], [call(99, 9000)])
+    hours = drained(spark, J.metering_stream(stream))
+    got = usage_of_hours(spark.createDataFrame(hours))
+    want = usage(spark.createDataFrame(rows, CALL))
+    assert sorted(got.collect(), key=str) == sorted(want.select(got.columns).collect(), key=str)
+    assert want.where("refused > 0 AND anonymous").count() > 0
+
+
 DOC = (
     "case_id int, doc_idx int, ts timestamp, sha256 string, permanent_id string,"
     " bytes bigint, created timestamp"
@@ -74,19 +86,21 @@ def doc(case, idx, minutes, sha=None, pid=None, size=1):
 def test_same_file(spark, tmp_path):
     stream = arrive(
         spark, tmp_path, DOC,
-        [doc(1, 0, 1, "x"), doc(1, 3, 2, "x"), doc(2, 0, 3, "x"), doc(3, 0, 50, "y")],
-        [doc(1, 9, 30, "x"), doc(1, 10, 31, "x"), doc(3, 1, 61, "y")],
+        [doc(1, 0, 1, "x"), doc(1, 1, 2, "x"), doc(2, 0, 3, "x"), doc(3, 0, 50, "y"), doc(4, 0, 50, "z")],
+        [doc(1, 2, 12, "x"), doc(3, 1, 61, "y"), doc(4, 2, 61, "z"), doc(2, 1, 4, "w")],
         [doc(9, 0, 500)],
     )
-    out = [(r["case_id"], r["sha256"], r["documents"]) for r in drained(spark, J.same_file_stream(stream))]
-    assert out == [(1, "x", [0, 3, 9])]
+    out = sorted((r["case_id"], r["error"], r["sha256"], r["documents"]) for r in drained(spark, J.same_file_stream(stream)))
+    assert out == [
+        (1, None, "x", [0, 1, 2]), (3, None, "y", [0, 1]), (4, K.NUMBER_ERROR, None, None),
+    ]
 
 
-def test_copies_without_end_keep_small_state(spark, tmp_path):
+def test_copies_without_end_are_refused(spark, tmp_path):
     flood = [doc(1, i % 10, 1 + i % 5, "x") for i in range(5000)]
     stream = arrive(spark, tmp_path, DOC, flood, [doc(9, 0, 500)])
     out = drained(spark, J.same_file_stream(stream))
-    assert [r["documents"] for r in out] == [list(range(10))]
+    assert [r["documents"] for r in out] == [None] and "got 5000" in out[0]["error"]
 
 
 def test_case_assembly(spark, tmp_path):
