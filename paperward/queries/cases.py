@@ -16,23 +16,38 @@ QUERIES, ORACLES, query = registry()
 # -- the case table ---------------------------------------------------------
 
 
+# Kind and index of the documents of added cases, and what keeps their ids apart.
+_MORE = [(1, 0), (2, 1), (2, 2), (3, 0), (3, 1)]
+_APART = 10_000_000
+
+
 def case_documents(spark, folder):
-    """Every conversation as a case, its turns as documents.
+    """Every conversation as a case, all its turns as documents.
 
-    Some cases get one, ten or eleven documents; in others two documents share
-    bytes, a base file or a second, and some are far too large together.
+    Some cases get more documents, up to ten or eleven; in others two documents share
+    bytes, a base file or a second, and some are far too large together.  For every
+    tenth conversation there are three more cases: one of a single document, one that is
+    numbered from 1, and one whose second document could not be loaded.
     """
     turns = read_table(spark, folder, "conversations")
     case = F.col("case_id")
     idx = F.col("doc_idx")
-    sizes = turns.groupBy(F.col("conv_id").alias("case_id")).agg(F.count("*").alias("n"))
+    sizes = turns.groupBy(F.col("conv_id").alias("case_id")).agg(
+        (F.max("turn") + 1).alias("n")
+    )
     wanted = (
-        F.when(case % 10 == 0, 1).when(case % 10 == 1, 10).when(case % 10 == 2, 11)
+        F.when(case % 10 == 1, F.greatest("n", F.lit(10)))
+        .when(case % 10 == 2, F.greatest("n", F.lit(11)))
         .otherwise(F.col("n"))
     )
-    numbered = sizes.select(
-        "case_id", F.explode(F.sequence(F.lit(0), (wanted - 1).cast("int"))).alias("doc_idx")
+    own = F.transform(
+        F.sequence(F.lit(0), (wanted - 1).cast("int")),
+        lambda i: F.struct(F.lit(0).alias("more"), i.alias("doc_idx")),
     )
+    more = F.array(*[F.struct(F.lit(k).alias("more"), F.lit(i).alias("doc_idx")) for k, i in _MORE])
+    numbered = sizes.select(
+        "case_id", F.explode(F.when(case % 10 == 0, F.concat(own, more)).otherwise(own)).alias("_d")
+    ).select((case + F.col("_d.more") * _APART).alias("case_id"), "_d.doc_idx")
     texts = turns.select(
         F.col("conv_id").alias("case_id"), F.col("turn").cast("int").alias("doc_idx"), "text"
     )
@@ -60,13 +75,17 @@ def case_documents(spark, folder):
         .alias("permanent_id"),
         tags.alias("font_tags"),
         F.timestamp_millis(F.lit(1704067200000) + millis).alias("created"),
+        F.when((F.floor(case / _APART) == 3) & (idx == 1), "not a file").alias("load_error"),
     )
 
 
-_CASES = """
-    sizes AS (SELECT conv_id AS case_id, count(*) AS n FROM conversations GROUP BY conv_id),
-    numbered AS (SELECT case_id, unnest(range(CASE case_id % 10 WHEN 0 THEN 1 WHEN 1 THEN 10
-                 WHEN 2 THEN 11 ELSE n END)) AS doc_idx FROM sizes),
+_CASES = f"""
+    sizes AS (SELECT conv_id AS case_id, max(turn) + 1 AS n FROM conversations GROUP BY conv_id),
+    more(kind, idx) AS (VALUES {', '.join(map(str, _MORE))}),
+    numbered AS (SELECT case_id, unnest(range(CASE case_id % 10 WHEN 1 THEN greatest(n, 10)
+                 WHEN 2 THEN greatest(n, 11) ELSE n END)) AS doc_idx FROM sizes
+                 UNION ALL
+                 SELECT case_id + kind * {_APART}, idx FROM sizes, more WHERE case_id % 10 = 0),
     texts AS (SELECT n.case_id, n.doc_idx,
                      coalesce(c.text, 'extra-' || n.case_id || '-' || n.doc_idx) AS text
               FROM numbered n LEFT JOIN conversations c
@@ -77,15 +96,26 @@ _CASES = """
         CASE WHEN case_id % 4 = 1 AND doc_idx < 2 THEN 'pid-' || case_id
              WHEN doc_idx % 2 = 0 THEN 'pid-' || case_id || '-' || doc_idx END AS pid,
         CASE WHEN case_id % 4 = 3 AND doc_idx IN (1, 2) THEN 'ABCDEF+Arial GHIJKL+Times' END AS tags,
-        case_id * 3600 + CASE WHEN case_id % 4 = 2 AND doc_idx < 2 THEN 0 ELSE doc_idx * 61 END AS second
+        case_id * 3600 + CASE WHEN case_id % 4 = 2 AND doc_idx < 2 THEN 0 ELSE doc_idx * 61 END AS second,
+        case_id // {_APART} = 3 AND doc_idx = 1 AS failed
         FROM texts),
     running AS (SELECT *, sum(bytes) OVER (PARTITION BY case_id ORDER BY doc_idx) AS running,
                 count(*) OVER (PARTITION BY case_id) AS n_docs FROM docs),
-    valid AS (SELECT case_id, any_value(n_docs) AS n_docs,
-              CASE WHEN any_value(n_docs) BETWEEN 2 AND 10
-                   THEN min(doc_idx) FILTER (running > 31457280) END AS over_idx
+    judged AS (SELECT case_id, any_value(n_docs) AS n_docs,
+              min(doc_idx) = 0 AND max(doc_idx) = count(*) - 1 AND count(DISTINCT doc_idx) = count(*) AS numbered,
+              min(doc_idx) FILTER (running > 31457280) AS over_any, min(doc_idx) FILTER (failed) AS failed_idx
               FROM running GROUP BY case_id),
-    good AS (SELECT case_id FROM valid WHERE n_docs BETWEEN 2 AND 10 AND over_idx IS NULL),
+    valid AS (SELECT case_id, n_docs, CASE WHEN n_docs BETWEEN 2 AND 10 AND numbered THEN over_any END AS over_idx,
+              CASE WHEN n_docs NOT BETWEEN 2 AND 10
+                THEN 'a case takes 2 to 10 documents (paths and urls together); got '
+                  || n_docs || '. For one document, use inspect_document.'
+              WHEN NOT numbered THEN 'document numbers must be 0 to n-1, each once'
+              WHEN failed_idx <= coalesce(over_any, 10) THEN 'document ' || failed_idx || ': not a file'
+              WHEN over_any IS NOT NULL
+                THEN 'the documents of one case may add up to 30 MB; this one is over that by document '
+                  || over_any || '. Send fewer or smaller files.' END AS error
+              FROM judged),
+    good AS (SELECT case_id FROM valid WHERE error IS NULL),
     gdocs AS (SELECT docs.* FROM docs JOIN good ON docs.case_id = good.case_id),
     same AS (SELECT case_id, 'same-file' AS code, list(doc_idx ORDER BY doc_idx) AS documents
              FROM gdocs GROUP BY case_id, sha HAVING count(*) > 1),
@@ -132,12 +162,7 @@ def case_shared_instant(spark, folder):
 
 
 @query(f"""WITH {_CASES}
-    SELECT case_id, n_docs, over_idx, CASE
-        WHEN n_docs NOT BETWEEN 2 AND 10 THEN 'a case takes 2 to 10 documents (paths and urls together); got '
-             || n_docs || '. For one document, use inspect_document.'
-        WHEN over_idx IS NOT NULL THEN 'the documents of one case may add up to 30 MB; this one is over that by document '
-             || over_idx || '. Send fewer or smaller files.' END AS error
-    FROM valid
+    SELECT case_id, n_docs, over_idx, error FROM valid
 """)
 def case_validate(spark, folder):
     return _cases(spark, folder).select(
@@ -147,10 +172,11 @@ def case_validate(spark, folder):
 
 @query(f"""WITH {_CASES}
     SELECT case_id, doc_idx, bytes, CAST(running AS BIGINT) AS running FROM running
-    WHERE n_docs BETWEEN 2 AND 10
+    JOIN judged USING (case_id) WHERE judged.n_docs BETWEEN 2 AND 10 AND numbered
 """)
 def case_running_bytes(spark, folder):
-    cases = K.assemble(case_documents(spark, folder)).where(K.count_ok(F.col("n_docs")))
+    cases = K.assemble(case_documents(spark, folder))
+    cases = cases.where(K.count_ok(F.col("n_docs")) & F.col("numbered"))
     return cases.select(
         "case_id", F.explode(K.running_bytes(F.col("docs"))).alias("d")
     ).select(
@@ -160,9 +186,10 @@ def case_running_bytes(spark, folder):
 
 _LINES = """
     bodies AS (SELECT case_id, doc_idx, name, (case_id * 7 + doc_idx) % 101 AS score,
-               (case_id + doc_idx) % 3 AS kind FROM docs),
+               CASE WHEN (case_id + doc_idx) % 11 = 10 THEN 3 ELSE (case_id + doc_idx) % 3 END AS kind FROM docs),
     lines AS (SELECT case_id, doc_idx, '[' || doc_idx || '] ' || name || CASE kind
         WHEN 0 THEN ': not analysed (unsupported)'
+        WHEN 3 THEN ': not analysed (no report)'
         WHEN 1 THEN ': risk ' || score || '/100 (low). No signals above info severity. Risk signals'
              || ' are not a verdict — benign causes are documented per signal.'
         ELSE ': risk ' || score || '/100 (?), your policy says review. Signals: macros, links Risk signals'
@@ -191,7 +218,9 @@ def _reports(docs):
             )
         )
     )
-    return docs.select("case_id", "doc_idx", body.alias("body"))
+    # some documents have none
+    there = docs.where((F.col("case_id") + F.col("doc_idx")) % 11 != 10)
+    return there.select("case_id", "doc_idx", body.alias("body"))
 
 
 @query(f"WITH {_CASES}, {_LINES} SELECT case_id, doc_idx, line FROM lines")
@@ -227,10 +256,7 @@ def case_summary(spark, folder):
         WHEN good.case_id IS NOT NULL THEN body || chr(10) || CASE WHEN listed IS NULL
             THEN 'Across the case: no inconsistencies between the documents. That is not proof they are independent or authentic.'
             ELSE 'Across the case, inconsistencies to review (not verdicts): ' || listed || '.' END
-        WHEN n_docs NOT BETWEEN 2 AND 10 THEN 'a case takes 2 to 10 documents (paths and urls together); got '
-             || n_docs || '. For one document, use inspect_document.'
-        ELSE 'the documents of one case may add up to 30 MB; this one is over that by document '
-             || over_idx || '. Send fewer or smaller files.' END AS text
+        ELSE error END AS text
     FROM valid LEFT JOIN good ON valid.case_id = good.case_id
     LEFT JOIN listed ON valid.case_id = listed.case_id
     LEFT JOIN bodies2 ON valid.case_id = bodies2.case_id
