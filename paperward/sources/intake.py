@@ -2,22 +2,14 @@
 
 from __future__ import annotations
 
-import os
 import posixpath
-import stat
-import sys
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType, LongType, StringType, StructType
 
 from paperward.functions.net import let
 
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 # The size limit and the reasons, in the order they are tested.
 MAX_UPLOAD_BYTES = 10 * 1024 * 1024
 REASONS = (
@@ -44,30 +36,28 @@ def scan_documents(spark: SparkSession, location: str) -> DataFrame:
 
 
 def load_documents(spark: SparkSession, location: str) -> DataFrame:
-    """Documents of a folder with name, length, digest and content.
+    """Files of a folder with name, length, digest, content and ``reason``.
 
-    The size rule is a filter on the listing: a file over the limit is never
-    opened.
+    A file over the size limit is never opened: it has a row with the reason and
+    neither digest nor content.  Spark's listing leaves out files of no bytes.
     """
-    return (
-        scan_documents(spark, location)
-        .where(F.col("length") <= MAX_UPLOAD_BYTES)
-        .select(
-            "path",
-            basename(F.col("path")).alias("name"),
-            "length",
-            F.sha2("content", 256).alias("sha256"),
-            "content",
-        )
+    files = scan_documents(spark, location)
+    fits = F.col("length") <= MAX_UPLOAD_BYTES
+    named = ["path", basename(F.col("path")).alias("name"), "length"]
+    loaded = files.where(fits).select(
+        *named, F.sha2("content", 256).alias("sha256"), "content", F.lit(ACCEPTED).alias("reason")
+    )
+    refused = files.where(~fits).select(
+        *named, F.lit(None).cast("string").alias("sha256"), F.lit(None).cast("binary").alias("content"),
+        F.lit(REASONS[5]).alias("reason"),
     )
+    return loaded.unionByName(refused)
 
 
 def manifest(wanted: DataFrame, listing: DataFrame) -> DataFrame:
     """Join wanted paths to a listing: adds ``exists``, ``is_file``, ``length``.
 
-    For object stores.  Spark's file listing leaves out files of no bytes, so
-    those show as missing here; on a mounted file system use
-    :func:`stat_paths`, which tells them apart.
+    Spark's file listing leaves out files of no bytes, so those show as missing.
     """
     seen = listing.select(
         "path", F.lit(True).alias("exists"), F.lit(True).alias("is_file"), "length"
@@ -77,36 +67,6 @@ def manifest(wanted: DataFrame, listing: DataFrame) -> DataFrame:
     )
 
 
-def _stat(path: str | None) -> tuple:
-    try:
-        found = os.stat(path)
-    except (OSError, TypeError, ValueError):
-        return False, False, None, None
-    return True, stat.S_ISREG(found.st_mode), found.st_size, os.path.realpath(path)
-
-
-_STAT = (
-    StructType()
-    .add("exists", BooleanType())
-    .add("is_file", BooleanType())
-    .add("length", LongType())
-    .add("real_path", StringType())
-)
-
-
-@F.pandas_udf(_STAT)
-def _stat_all(paths: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([_stat(p) for p in paths], columns=_STAT.names)
-
-
-def stat_paths(wanted: DataFrame) -> DataFrame:
-    """Manifest of paths on a file system that every executor mounts.
-
-    Symbolic links are followed; ``real_path`` is where the file really lies.
-    """
-    return wanted.withColumn("_s", _stat_all("path")).select(*wanted.columns, "_s.*")
-
-
 def parse_roots(setting: str | None) -> list[str]:
     """Absolute folders of a setting separated by colons or commas."""
     parts = (p.strip() for p in (setting or "").replace(",", ":").split(":"))
