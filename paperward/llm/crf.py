@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperward.llm.arrays import U64, Words, chunks, hash_spans, mix
-from paperward.llm.shared import tune, utf8
+from paperward.llm.shared import give_back, lean, tune, utf8
 
 SAMPLE = 4000
 LONGEST = 200_000
@@ -190,12 +190,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Chain:
                 )
 
     # At most ``sample`` documents of bounded size, in an order of their own.
-    found = rows.join(F.broadcast(chosen), "doc_id").select("quality", "text").mapInArrow(features, "quality int, x binary")
+    found = rows.join(F.broadcast(chosen), "doc_id").select("quality", "text").mapInArrow(lean(features), "quality int, x binary")
     found = found.where(F.octet_length("x") > 0).toPandas().sort_values(["quality", "x"])
     if found["quality"].nunique() < 2:
         return flat_chain(int(found["quality"].sum()), len(found))
-    x = [np.frombuffer(raw).reshape(-1, N_FEATURES) for raw in found["x"]]
-    return train(np.concatenate(x), np.cumsum([0, *map(len, x)]), found["quality"].to_numpy())
+    label = found["quality"].to_numpy()
+    offsets = np.cumsum([0, *(len(raw) // (8 * N_FEATURES) for raw in found["x"])])
+    x = np.frombuffer(b"".join(found["x"])).reshape(-1, N_FEATURES)
+    del found
+    chain = train(x, offsets, label)
+    del x
+    give_back()
+    return chain
 
 
 def document_scores(chain: Chain, texts: list[bytes]) -> np.ndarray:
@@ -226,7 +232,7 @@ def with_scores(docs: DataFrame, chain: Chain, name: str = "score") -> DataFrame
                 [*batch.columns, pa.array(np.concatenate([np.empty(0), *scores]))], [*columns, name]
             )
 
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
+    return docs.mapInArrow(lean(run), T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def _ids_and_scores(docs: DataFrame, chain: Chain) -> DataFrame:
@@ -238,7 +244,7 @@ def _ids_and_scores(docs: DataFrame, chain: Chain) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, score double")
+    return rows.mapInArrow(lean(run), "doc_id long, score double")
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, cut: float = CUT) -> DataFrame:

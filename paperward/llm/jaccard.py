@@ -32,7 +32,8 @@ from paperward.llm.arrays import U64, Words, chunks, mix, span_sums
 from paperward.llm.grams import (
     BLOBS, GROUP_RUNS, HOT_RUNS, blobs, group_count, hot_runs, is_in, runs_of_group,
 )
-from paperward.llm.shared import components, tune, utf8
+from paperward.llm.neardup import Forest
+from paperward.llm.shared import components, lean, lean_group, tune, utf8
 from paperward.plans.shape import materialize
 
 WORDS = 5
@@ -236,20 +237,28 @@ def block_links(sizes: np.ndarray, cols: np.ndarray, offsets: np.ndarray, simila
 
 def _blocks(similar):
     def run(table: pa.Table) -> pa.Table:
-        """Links of all blocks in one group of blocks."""
+        """Of all blocks in a group: links, or for a part in one block each row and its first."""
         table = table.sort_by("block")
-        block, names, sizes = (table.column(c).to_numpy() for c in ("block", "class", "size"))
+        block, names, sizes, alone = (table.column(c).to_numpy() for c in ("block", "class", "size", "alone"))
         raws = table.column("cols").to_pylist()
         cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
         ends: list[tuple[int, int]] = []
+        whole: list[bool] = []
         for s, e in zip(cuts, cuts[1:]):
             if e - s < 2:
                 continue
             offsets = np.cumsum([0, *(len(x) // 8 for x in raws[s:e])])
             cols = np.frombuffer(b"".join(raws[s:e]), U64)
-            ends += [(names[s + i], names[s + j]) for i, j in block_links(sizes[s:e], cols, offsets, similar)]
+            forest = block_links(sizes[s:e], cols, offsets, similar)
+            if alone[s]:
+                sets = Forest(e - s)
+                for i, j in forest:
+                    sets.join(i, j)
+                forest = [(i, sets.root(i)) for i in sorted({i for link in forest for i in link})]
+            ends += [(names[s + i], names[s + j]) for i, j in forest]
+            whole += [bool(alone[s])] * len(forest)
         u, v = np.array(ends, np.int64).reshape(-1, 2).T
-        return pa.Table.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+        return pa.Table.from_arrays([pa.array(u), pa.array(v), pa.array(whole, pa.bool_())], ["u", "v", "alone"])
 
     return run
 
@@ -276,9 +285,9 @@ def jaccard_classes(
     groups = group_count(docs, group_runs)
     common = hot_runs(docs, k, True, hot)
     cells = docs.select(F.coalesce("doc_id", F.lit(_NO_ID)).alias("_id"), utf8().alias("text")).mapInArrow(
-        _incidences(k, groups, common), BLOBS
+        lean(_incidences(k, groups, common)), BLOBS
     )
-    cells = materialize(cells.groupBy("grp").applyInArrow(_shared_columns(groups), CELLS))
+    cells = materialize(cells.groupBy("grp").applyInArrow(lean_group(_shared_columns(groups)), CELLS))
     named = cells.where("doc_id IS NOT NULL").select(
         F.nullif("doc_id", F.lit(_NO_ID)).alias("doc_id"), "class", "size"
     )
@@ -287,11 +296,10 @@ def jaccard_classes(
         cells.where("size IS NULL OR size > 0").groupBy("class")
         .agg(F.max("size").alias("size"), F.collect_list(part).alias("parts"))
         .where(F.size("parts") > 0)
-        .mapInArrow(_lead(similar), "class long, size long, cols binary, lead binary")
+        .mapInArrow(lean(_lead(similar)), "class long, size long, cols binary, lead binary")
     )
     rows = materialize(rows)
-    links = _links_of(rows, similar, block_grams)
-    found = components(links)
+    found = _components_of(rows, similar, block_grams)
     first = named.groupBy("class").agg(F.min("doc_id").alias("first"))
     label = found.join(first, found["node"] == first["class"])
     label = label.groupBy("component").agg(F.min("first").alias("component_id"))
@@ -303,15 +311,18 @@ def jaccard_classes(
     )
 
 
-def _links_of(rows: DataFrame, similar: tuple[int, int], block_grams: int) -> DataFrame:
-    """A forest (u, v) of the links between the classes in ``rows``."""
+def _components_of(rows: DataFrame, similar: tuple[int, int], block_grams: int) -> DataFrame:
+    """Rows (node, component) of the classes in ``rows`` that have a link.
+
+    A part that fits in one block is answered there; of larger ones the blocks' links
+    are put together.
+    """
     along = Window.partitionBy("col").orderBy("size", "class")
-    before, smaller = F.lag("class").over(along), F.lag("size").over(along)
-    touch = (
-        rows.mapInArrow(_postings, "col long, class long, size long")
-        .select(F.col("class").alias("v"), "size", before.alias("u"), smaller.alias("smaller"))
-        .where(F.col("smaller") * similar[1] >= F.col("size") * similar[0])
-    )
+    near = F.coalesce(F.lag("size").over(along) * similar[1] >= F.col("size") * similar[0], F.lit(False))
+    runs = rows.mapInArrow(_postings, "col long, class long, size long").withColumn("near", near)
+    # every class of a run is tied to its first, so a part is a few stars deep
+    start = F.last(F.when(~F.col("near"), F.col("class")), ignorenulls=True).over(along)
+    touch = runs.select(start.alias("u"), F.col("class").alias("v")).where("u <> v")
     parts = components(touch.select("u", "v")).select(F.col("node").alias("class"), F.col("component").alias("part"))
     rows = materialize(rows.drop("lead").join(parts, "class"))
     grams = F.octet_length("cols") / 8
@@ -323,9 +334,12 @@ def _links_of(rows: DataFrame, similar: tuple[int, int], block_grams: int) -> Da
     )
     n = cut.agg(F.sum(grams)).first()[0] or 0
     group = F.pmod("block", F.lit(int(n // block_grams) + 1)).alias("_g")
-    return materialize(
-        cut.select("block", "class", "size", "cols", group).groupBy("_g").applyInArrow(_blocks(similar), "u long, v long")
+    links = materialize(
+        cut.select("block", "class", "size", "cols", (F.col("blocks") == 1).alias("alone"), group).groupBy("_g")
+        .applyInArrow(lean_group(_blocks(similar)), "u long, v long, alone boolean")
     )
+    done = links.where("alone").select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return done.unionByName(components(links.where("NOT alone").select("u", "v")))
 
 
 def keep_one_of_each(docs: DataFrame, **settings) -> DataFrame:

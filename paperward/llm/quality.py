@@ -193,11 +193,11 @@ def _quartiles(rows: DataFrame, p: int) -> DataFrame:
     per = ranked.groupBy("est").pivot("i", list(range(p))).agg(
         at(0.5).alias("m"), ((at(0.75) - at(0.25)) / 1.349).alias("sd")
     )
+    spread = [f"(`{i}_sd` * `{i}_sd` + {TOLERANCE[STATISTICS[i]] ** 2!r}D)" for i in range(p)]
     cells = [f"`{i}_m` AS m_{i}" for i in range(p)]
-    for i, j in _cells(p):
-        floor = TOLERANCE[STATISTICS[i]] ** 2
-        cells.append((f"`{i}_sd` * `{i}_sd` + {floor!r}D" if i == j else "0D") + f" AS {_cell(i, j)}")
-    return _packed(_sweep(per.selectExpr("est", *cells), p), p)
+    cells += [(f"1 / {spread[i]}" if i == j else "0D") + f" AS {_cell(i, j)}" for i, j in _cells(p)]
+    logdet = " + ".join(f"ln({x})" for x in spread)
+    return _packed(per.selectExpr("est", *cells, f"{logdet} AS logdet"), p)
 
 
 def _nearest(rows: DataFrame, model: DataFrame, support: float) -> DataFrame:
