@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from paperward.llm.arrays import chunks
 from paperward.llm.pretokens import Encoder, held
-from paperward.llm.shared import tune, utf8
+from paperward.llm.shared import lean, tune, utf8
 from paperward.plans.shape import materialize
 
 LENGTH = 2048
@@ -85,7 +85,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = LENGTH, end: int = END) -
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], list(kinds))
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("text"))
-    return rows.mapInArrow(run, ", ".join(f"{k} {v}" for k, v in kinds.items()))
+    return rows.mapInArrow(lean(run), ", ".join(f"{k} {v}" for k, v in kinds.items()))
 
 
 def pack(cut: DataFrame, capacity: int = LENGTH, group: int = GROUP) -> DataFrame:

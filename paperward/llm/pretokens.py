@@ -17,6 +17,8 @@ import numpy as np
 from paperward.llm.arrays import bounds, gather, hash_spans, lay
 
 KEPT = 500_000
+#: Pre-tokens worked out at once.
+BATCH = 4000
 
 _SPACE, _LETTER, _DIGIT, _OTHER = range(4)
 _CLASS = np.full(256, _OTHER, np.uint8)
@@ -111,7 +113,8 @@ class Kept:
             at = first[new]
             data = buf.tobytes()
             spans = [data[s:e] for s, e in zip(starts[at].tolist(), ends[at].tolist())]
-            values, sizes = self.work(spans)
+            parts = [self.work(spans[i : i + BATCH]) for i in range(0, len(spans), BATCH)]
+            values, sizes = (np.concatenate(x) for x in zip(*parts))
             base = len(self.offsets) - 1
             slots[new] = base + np.arange(len(new))
             self.slot.update(zip(names[new].tolist(), range(base, base + len(new))))

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from paperward.llm.arrays import bounds, chunks, gather, hash_spans, lay
 from paperward.llm.pretokens import Kept, flat, held
-from paperward.llm.shared import tune, utf8
+from paperward.llm.shared import lean, tune, utf8
 
 MARK = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -285,6 +285,6 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("text"))
     return rows.mapInArrow(
-        run, "doc_id long, n_bytes long, n_tokens long, n_byte_tokens long, ids_crc32 long, ids array<int>,"
+        lean(run), "doc_id long, n_bytes long, n_tokens long, n_byte_tokens long, ids_crc32 long, ids array<int>,"
         " round_trip boolean, n_corrected long",
     )

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,38 @@ def tune(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4000")
 
 
+def give_back() -> None:
+    """Return freed memory to the system, so that a worker which waits holds little."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def lean(run):
+    """A function over Arrow batches that gives memory back when it is through."""
+
+    def through(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return through
+
+
+def lean_group(run):
+    """The same for a function of one group."""
+
+    def through(table):
+        out = run(table)
+        del table
+        give_back()
+        return out
+
+    return through
+
+
 def utf8(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit("")).cast("binary")
 

@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from paperward.llm.arrays import U64, Words, chunks, mix
 from paperward.llm.grams import BLOBS, GROUP_RUNS, HOT_RUNS, blobs, group_count, hot_runs, is_in, runs_of_group
 from paperward.llm.jaccard import _ragged
-from paperward.llm.shared import tune, utf8
+from paperward.llm.shared import lean, lean_group, tune, utf8
 
 WINDOW = 13
 PREFIX_BYTES = 24
@@ -200,15 +200,15 @@ def cut_repeats(
         common = told["print"].to_numpy(np.int64).view(U64)[order]
         least = told["least"].to_numpy(np.int64)[order]
     marks = (
-        named.mapInArrow(_suffixes(k, groups, common), BLOBS)
-        .groupBy("grp").applyInArrow(_repeats, "doc_id long, prints binary")
+        named.mapInArrow(lean(_suffixes(k, groups, common)), BLOBS)
+        .groupBy("grp").applyInArrow(lean_group(_repeats), "doc_id long, prints binary")
         .groupBy("doc_id").agg(F.collect_list("prints").alias("marks"))
     )
     held = ["_others"] if columns else []
     made = "doc_id long, n_words long, n_removed long, _kept binary, kept_sha256 string, spans array<array<long>>"
     out = T.StructType([*(docs.schema[c] for c in held), *T.StructType.fromDDL(made)])
     rows = docs.select(*held, "doc_id", utf8().alias("text")).join(marks, "doc_id", "left")
-    cut = rows.select(*held, "doc_id", "text", "marks").mapInArrow(_cut(k, common, least, whole), out)
+    cut = rows.select(*held, "doc_id", "text", "marks").mapInArrow(lean(_cut(k, common, least, whole)), out)
     found = ["doc_id", "n_words", "n_removed", "kept_sha256", F.col("_kept").cast("string").alias("kept"), "spans"]
     return cut.select(*(F.col(f"_others.`{c}`") for c in columns), *found)
 

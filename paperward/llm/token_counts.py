@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from paperward.llm.arrays import bounds, chunks
 from paperward.llm.pretokens import Cut, Kept, held, is_plain, special_tokens
-from paperward.llm.shared import tune, utf8
+from paperward.llm.shared import lean, tune, utf8
 
 LIMIT = 2048
 _NONE = np.int64(1) << 40
@@ -147,6 +147,6 @@ def count_tokens(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), sizes, pa.array(tokens)], ["doc_id", "n_bytes", "n_tokens"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long").withColumn(
+    return rows.mapInArrow(lean(run), "doc_id long, n_bytes long, n_tokens long").withColumn(
         "over_limit", F.col("n_tokens") > limit
     )
