@@ -1,8 +1,11 @@
 """License notices in texts, in DataFrame functions alone.
 
 Phrases are counted where their words stand one after the other.  Beyond these, an exact
-set-similarity join finds every block (a line) that holds at least ``THRESHOLD`` of the
-distinct words of a notice's template, in any order and among any others:
+set-similarity join finds every block that holds at least ``THRESHOLD`` of the distinct
+words of a notice's template, in any order and among any others.  A block is a line, or a
+line with those after it, as notices are wrapped: lines are added up to one without words
+and until the lines between the first and the last hold as many words as the longest
+template.  So a notice stands whole in a block at whatever column it is wrapped.
 
 * Words are ordered by how many blocks of the whole corpus hold them, rarest first.  A
   template of ``n`` words that needs ``need`` of them in a block can miss ``n - need``,
@@ -23,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperward.llm.quality import bind
-from paperward.plans.shape import materialize
+from paperward.plans.shape import compute_once, materialize
 
 _BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -92,16 +95,37 @@ def phrase_columns(docs: DataFrame, phrases: dict[str, str]) -> DataFrame:
     })
 
 
-def blocks(text: Column) -> Column:
+def line_words(text: Column) -> Column:
     """The distinct words of every line."""
     lower = F.translate(F.coalesce(text, F.lit("")), _UPPER, _UPPER.lower())
     return F.transform(F.split(lower, "\n"), lambda x: F.array_distinct(F.split(x, _BREAKS)))
 
 
+def _runs(lines: Column, longest: int) -> Column:
+    """For every line, the words held by the run of lines that starts there.
+
+    ``lines`` has (n, held): a line's distinct words, counted, and those of the vocabulary.
+    """
+
+    def start(line: Column) -> Column:
+        go_on = line["n"] > 0
+        return F.struct(line["held"].alias("held"), F.lit(0).alias("between"), go_on.alias("go_on"))
+
+    def add(run: Column, line: Column) -> Column:
+        more = run["go_on"] & (line["n"] > 0)
+        between = run["between"] + line["n"]
+        held = F.when(more, F.array_union(run["held"], line["held"])).otherwise(run["held"])
+        return F.struct(held.alias("held"), between.alias("between"), (more & (between < longest)).alias("go_on"))
+
+    return F.transform(lines, lambda line, i: F.aggregate(
+        F.slice(lines, i + 2, F.lit(longest)), start(line), add, lambda run: run["held"]
+    ))
+
+
 def word_order(docs: DataFrame, vocabulary: list[str]) -> dict[str, int]:
-    """How many blocks hold each word of the vocabulary: one row a word."""
+    """How many lines hold each word of the vocabulary: one row a word."""
     known = F.array(*[F.lit(w) for w in vocabulary])
-    held = F.flatten(F.transform(blocks(F.col("text")), lambda b: F.array_intersect(b, known)))
+    held = F.flatten(F.transform(line_words(F.col("text")), lambda b: F.array_intersect(b, known)))
     rows = docs.select(F.explode(held).alias("word")).groupBy("word").agg(F.count("*").alias("n")).collect()
     counts = {r["word"]: r["n"] for r in rows}
     return {w: counts.get(w, 0) for w in vocabulary}
@@ -121,13 +145,14 @@ def _prefixes(spark: SparkSession, templates, counts: dict[str, int], threshold)
 
 def scan_licenses(
     docs: DataFrame, phrases: dict[str, str] = PHRASES, templates=tuple(TEMPLATES),
-    threshold: tuple[int, int] = THRESHOLD,
+    threshold: tuple[int, int] = THRESHOLD, runs: bool = False,
 ) -> DataFrame:
     """Phrase places, labels and score for each row of ``docs(doc_id, text)``.
 
     ``score`` is 1 where a phrase stands, else the largest share of a met template's
-    words that a block holds, else 0; ``blocks`` has (label, block number, share) of every
-    block that meets a template.  A null text has no words.  Rows are judged each by
+    words that a block holds, else 0; ``blocks`` has (label, line number, share) of every
+    line that meets a template by itself and, if ``runs``, ``runs`` the same of every run
+    of lines, by its first line.  A null text has no words.  Rows are judged each by
     itself, also where ids repeat or are null; other columns are left out; no rows give
     no rows.
     """
@@ -138,17 +163,27 @@ def scan_licenses(
     rare = F.array(*[F.lit(w) for w in sorted({r["word"] for r in prefixes.select("word").collect()})])
     known = F.array(*[F.lit(w) for w in sorted(vocabulary, key=lambda w: (counts[w], w))])
     fewest = min(least_common(len(template_words(t)), threshold) for _, t in templates)
-    # Blocks as their words of the vocabulary, rarest first; those below every bound go here.
-    numbered = F.transform(
-        blocks(F.col("text")), lambda b, i: F.struct(i.alias("block"), F.array_intersect(known, b).alias("held"))
-    )
-    able = F.filter(numbered, lambda b: (F.size(b["held"]) >= fewest) & F.arrays_overlap(b["held"], rare))
+    longest = max(sum(w != "" for w in re.split(_BREAKS, t)) for _, t in templates)
+    # Lines as their words of the vocabulary, rarest first, and how many words they have.
+    lines = F.transform(line_words(F.col("text")), lambda b: F.struct(
+        F.size(F.array_remove(b, "")).alias("n"), F.array_intersect(known, b).alias("held")
+    ))
+    docs = compute_once(docs.select("doc_id", "text"), "_lines", lines)
+    held = F.transform("_lines", lambda x: x["held"])
+    # No run has a rare word where no line has one; blocks below every bound go here.
+    some = F.exists(held, lambda x: F.arrays_overlap(x, rare))
+    numbered = lambda sets, run: F.transform(sets, lambda x, i: F.struct(
+        i.alias("block"), F.lit(run).alias("run"), (F.array_intersect(known, x) if run else x).alias("held")
+    ))
+    both = F.concat(numbered(held, False), numbered(_runs(F.col("_lines"), longest), True))
+    able = F.when(some, F.filter(both, lambda b: (F.size(b["held"]) >= fewest) & F.arrays_overlap(b["held"], rare)))
     rows = phrase_columns(docs.select("doc_id", words_line(F.col("text")).alias("_line"), able.alias("able")), phrases)
     rows = materialize(rows.drop("_line").withColumn("_row", F.monotonically_increasing_id()))
     met = _met(rows, prefixes)
     best = met.groupBy("_row").agg(
         F.max("share").alias("share"), F.array_sort(F.collect_set("label")).alias("found"),
-        F.array_sort(F.collect_list(F.struct("label", "block", "share"))).alias("blocks"),
+        *(F.array_sort(F.collect_list(F.when(F.col("run") == run, F.struct("label", "block", "share")))).alias(name)
+          for name, run in (("blocks", False), ("runs", True))),
     )
     out = rows.drop("able").join(best, "_row", "left")
     found = F.coalesce("found", F.array().cast("array<string>"))
@@ -157,16 +192,16 @@ def scan_licenses(
         "doc_id", "n_words", "n_base", "first_word", "last_word",
         F.array_join("base", ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union("base", found)), ",").alias("labels"),
-        score.alias("score"), "blocks",
+        score.alias("score"), "blocks", *(["runs"] if runs else []),
     )
 
 
 def _met(rows: DataFrame, prefixes: DataFrame) -> DataFrame:
-    """Rows (_row, block, t, label, share) of the blocks that meet a template."""
-    block = rows.select("_row", F.explode("able").alias("b")).select("_row", "b.block", "b.held")
-    probe = block.select("_row", "block", "held", F.posexplode("held").alias("j", "word"))
+    """Rows (_row, block, run, t, label, share) of the blocks that meet a template."""
+    block = rows.select("_row", F.explode("able").alias("b")).select("_row", "b.block", "b.run", "b.held")
+    probe = block.select("_row", "block", "run", "held", F.posexplode("held").alias("j", "word"))
     left = F.least(F.col("n") - F.col("i"), F.size("held") - F.col("j"))
     pairs = probe.join(F.broadcast(prefixes), "word").where(F.size("held") >= F.col("need"))
     common = F.size(F.array_intersect("held", "words"))
     pairs = pairs.where(left >= F.col("need") - F.least("i", "j")).where(common >= F.col("need"))
-    return pairs.groupBy("_row", "block", "t", "label").agg(F.max(common / F.col("n")).alias("share"))
+    return pairs.groupBy("_row", "block", "run", "t", "label").agg(F.max(common / F.col("n")).alias("share"))

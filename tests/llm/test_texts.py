@@ -177,6 +177,42 @@ def test_license_join_is_exact(spark):
             assert {tuple(x) for x in r["blocks"] or []} == want
 
 
+def test_wrapped_licenses(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and its files"
+    bsd = (
+        "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that"
+    )
+    notices = [mit, bsd, "# " + mit.replace("\n", "\n# "), mit.replace(" ", "\n"), f"Some words of the file. {bsd}"]
+    texts = [f"x y\n{n}\nz" for n in notices] + [mit.replace("copy\n", "copy\n\n"), bsd.replace("\n", "\nx\n*\n")]
+    got = licenses.scan_licenses(frame(spark, texts)).orderBy("doc_id").collect()
+    found = [(r["labels"], r["score"]) for r in got]
+    assert found == [("mit", 1.0), ("bsd", 1.0), ("mit", 1.0), ("mit", 1.0), ("bsd", 1.0), ("", 0.0), ("", 0.0)]
+
+
+def test_license_runs_are_exact(spark):
+    rng = random.Random(6)
+    vocabulary = [f"v{i}" for i in range(14)]
+    templates = [(f"t{k}", " ".join(rng.sample(vocabulary, rng.randrange(2, 7)))) for k in range(12)]
+    longest = max(len(t.split()) for _, t in templates)
+    texts = ["\n".join(" ".join(rng.choices(vocabulary, k=rng.randrange(5))) for _ in range(9)) for _ in range(80)]
+    for r in licenses.scan_licenses(frame(spark, texts), {"no such": "n"}, templates, (8, 10), runs=True).collect():
+        lines = [set(x.split()) for x in texts[r["doc_id"]].split("\n")]
+        want = set()
+        for b in range(len(lines)):
+            held, between = set(lines[b]), 0
+            for x in lines[b + 1 :] if lines[b] else []:
+                if not x or between >= longest:
+                    break
+                held |= x
+                between += len(x)
+            for label, t in templates:
+                t = set(t.split())
+                if len(t & held) * 10 >= len(t) * 8:
+                    want.add((label, b, len(t & held) / len(t)))
+        assert {tuple(x) for x in r["runs"] or []} == want
+        assert r["score"] == max((x[2] for x in want), default=0.0)
+
+
 # Tokens
 
 
