@@ -1,13 +1,12 @@
-"""Passages that repeat across documents, by prefix-partitioned suffix trees.
+"""Passages that repeat across documents, by hashed windows grouped by prefix.
 
 Each word position of a text starts a suffix.  A suffix belongs to the group of its
-prefix, which is as long as needed: the fewest words that hold ``PREFIX_BYTES`` bytes.
+prefix: the fewest words that hold ``PREFIX_BYTES`` bytes, however many suffixes share it.
 Frequent words are short, so common beginnings are carried further than rare ones, and
 groups of a hash of the prefix come out at a size that fits a task's memory.
 
 Only nodes at the depth of a whole window decide what repeats, and all suffixes below
-one stand in one group.  So a group's subtree is kept cut at that depth: the way from
-the prefix to a node is folded to a fingerprint, the suffixes are sorted by it, and each
+one stand in one group.  So no tree is built: a window is folded to a fingerprint, the suffixes are sorted by it, and each
 run of equal ones is a node with its leaves.  A node with leaves of two documents is a
 deep internal node; its leaves, but those of the smallest document, are repeats.
 Neighbouring repeats of a document run together to the maximal repeats, whose words go.
