@@ -12,6 +12,7 @@ deep internal node; its leaves, but those of the smallest document, are repeats.
 Neighbouring repeats of a document run together to the maximal repeats, whose words go.
 
 Fingerprints have 56 bits within a group of some millions, on words hashed to 64 bits.
+A text sends each of its windows once, however often it stands there.
 Windows that more than a million texts hold have no place in one group: they are told
 by a bounded table of their smallest documents, summed up by Spark (:mod:`grams`).
 """
@@ -53,6 +54,17 @@ def prefix_hashes(words: Words, starts: np.ndarray, k: int) -> np.ndarray:
     return mix(total)
 
 
+def again(prints: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """Which windows stand before in their text; ``text`` rises."""
+    order = np.argsort(prints, kind="stable")
+    out = np.zeros(len(prints), bool)
+    ordered = prints[order]
+    same = np.flatnonzero(ordered[1:] == ordered[:-1])
+    del ordered
+    out[order[same + 1]] = text[order[same + 1]] == text[order[same]]
+    return out
+
+
 def _suffixes(k: int, groups: int, hot: np.ndarray):
     def run(batches):
         for batch in batches:
@@ -60,7 +72,7 @@ def _suffixes(k: int, groups: int, hot: np.ndarray):
             for first, texts in chunks(batch.column("text").to_pylist()):
                 words = Words(texts)
                 prints, text, starts = words.windows(k)
-                keep = ~is_in(prints, hot)
+                keep = ~is_in(prints, hot) & ~again(prints, text)
                 group = (prefix_hashes(words, starts[keep], k) & U64(groups - 1)).astype(np.int64)
                 yield blobs(group, ids[first + text[keep]], prints[keep], _WIDTH)
 

@@ -4,9 +4,11 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from paperward.llm import jaccard, neardup, substrings
+from paperward.llm.grams import runs_of_group
 from paperward.llm.shared import components
 
 DOCS = "doc_id long, text string, n_words long, class string, marks int"
@@ -122,6 +124,18 @@ def test_substrings_edges(spark):
     ]
 
 
+def test_a_text_sends_each_window_once():
+    texts = [b"a " * 5_000, b"b c " * 300 + b"a " * 20, b"short", b"a " * 13]
+    batch = pa.RecordBatch.from_arrays([pa.array([7, 8, 9, 7]), pa.array(texts, pa.binary())], ["doc_id", "text"])
+    none = np.empty(0, np.uint64)
+    sent = [out.to_pylist() for out in substrings._suffixes(13, 1, none)([batch])]
+    assert len(sent) == 1 and len(sent[0]) == 1
+    owners, prints = runs_of_group({c: [sent[0][0][c]] for c in ("owners", "counts", "prints")}, 7)
+    # Of the second text: two turns of b and c, twelve windows over the seam, one of a alone.
+    assert owners.tolist() == [7] + [8] * 15 + [7]
+    assert len(set(prints.tolist())) == 15
+
+
 def vectors(n=150, dim=16):
     rng = np.random.default_rng(4)
     out = []
