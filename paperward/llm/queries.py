@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-AREAS = ("shard_queries", "neardup_queries", "jaccard_queries", "substring_queries", "quality_queries", "license_queries", "token_queries", "crf_queries", "topk_queries", "periodic_queries")
+AREAS = ("shard_queries", "neardup_queries", "jaccard_queries", "substring_queries", "quality_queries", "license_queries", "token_queries", "crf_queries", "topk_queries", "periodic_queries", "spelling_queries")
 
 
 def _collect(what: str) -> dict:
