@@ -101,9 +101,22 @@ def _no_constant(name: str):
 
 
 def _load(text: str):
-    """Parsed body; raises ``ValueError`` also for nesting without end."""
+    """Parsed body, and whether an object in it has a key twice.
+
+    The last value of a repeated key counts, so the earlier ones are in no tree, and
+    the text as it came must not get out.  Raises ``ValueError`` also for nesting
+    without end.
+    """
+    repeated = False
+
+    def build(pairs: list) -> dict:
+        nonlocal repeated
+        made = dict(pairs)
+        repeated = repeated or len(made) < len(pairs)
+        return made
+
     try:
-        return json.loads(text, parse_constant=_no_constant)
+        return json.loads(text, parse_constant=_no_constant, object_pairs_hook=build), repeated
     except RecursionError as err:
         raise ValueError("nested too deeply") from err
 
@@ -124,12 +137,8 @@ def _whole(text: str) -> str:
     return text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
 
 
-def drop_untrusted(text: str) -> str | None:
-    """Body with untrusted signals elided, or null if there are none."""
-    try:
-        body = _load(text)
-    except ValueError:
-        return UNREADABLE
+def _elide_untrusted(body) -> bool:
+    """Elide untrusted signals in place; were there any?"""
     untrusted = [
         e
         for e in _evidences(body)
@@ -139,33 +148,45 @@ def drop_untrusted(text: str) -> str | None:
         for node, key in list(slots(evidence, PAYLOAD_KEYS, True)):
             node[key] = REDACTED
         evidence[REDACTED_FLAG] = True
-    return _dump(body) if untrusted else None
-
-
-@F.pandas_udf(StringType())
-def elide_untrusted(bodies: pd.Series) -> pd.Series:
-    return bodies.map(drop_untrusted, na_action="ignore")
+    return bool(untrusted)
 
 
-_CANDIDATES = ArrayType(
-    StructType().add("value", StringType()).add("plain", StringType())
+# ``body`` is the new text where the old must not stand, ``found`` the strings to be
+# judged, null for a body that cannot be read.
+_READ = (
+    StructType()
+    .add("body", StringType())
+    .add("found", ArrayType(StructType().add("value", StringType()).add("plain", StringType())))
 )
 
 
-def _candidates(text: str, find) -> list[dict] | None:
-    """Strings to be judged; null for a body that cannot be read."""
+def _read(text: str, elide: bool, find) -> dict:
     try:
-        body = _load(text)
+        body, changed = _load(text)
     except ValueError:
-        return None
-    values = [_whole(node[key]) for node, key in find(body)]
-    return [
-        {"value": v, "plain": None if v.isascii() else plain_form(v)} for v in values
-    ]
+        return {"body": UNREADABLE, "found": None}
+    changed = (elide and _elide_untrusted(body)) or changed
+    new = _dump(body) if changed else None
+    if new == UNREADABLE:
+        return {"body": UNREADABLE, "found": None}
+    values = [_whole(node[key]) for node, key in find(body)] if find else []
+    return {
+        "body": new,
+        "found": [{"value": v, "plain": None if v.isascii() else plain_form(v)} for v in values],
+    }
+
+
+def _reader(elide: bool, find):
+    @F.pandas_udf(_READ)
+    def read(bodies: pd.Series) -> pd.DataFrame:
+        rows = [None if b is None else _read(b, elide, find) for b in bodies]
+        return pd.DataFrame({k: [r and r[k] for r in rows] for k in ("body", "found")}, dtype=object)
+
+    return read
 
 
 def _rewrite(text: str, hits, find, flag: bool) -> str:
-    body = _load(text)
+    body, _ = _load(text)
     for (node, key), hit in zip(find(body), hits):
         if hit:
             node[key] = REDACTED
@@ -174,27 +195,15 @@ def _rewrite(text: str, hits, find, flag: bool) -> str:
     return _dump(body)
 
 
-@F.pandas_udf(_CANDIDATES)
-def recovered_candidates(bodies: pd.Series) -> pd.Series:
-    return bodies.map(lambda b: _candidates(b, recovered_slots), na_action="ignore")
-
-
-@F.pandas_udf(_CANDIDATES)
-def compare_candidates(bodies: pd.Series) -> pd.Series:
-    return bodies.map(lambda b: _candidates(b, compare_slots), na_action="ignore")
-
+def _writer(find, flag: bool):
+    @F.pandas_udf(StringType())
+    def write(bodies: pd.Series, hits: pd.Series) -> pd.Series:
+        return pd.Series([None if b is None else _rewrite(b, h, find, flag) for b, h in zip(bodies, hits)])
 
-@F.pandas_udf(StringType())
-def elide_recovered(bodies: pd.Series, hits: pd.Series) -> pd.Series:
-    return pd.Series([
-        None if b is None else _rewrite(b, h, recovered_slots, False)
-        for b, h in zip(bodies, hits)
-    ])
+    return write
 
 
-@F.pandas_udf(StringType())
-def elide_compare(bodies: pd.Series, hits: pd.Series) -> pd.Series:
-    return pd.Series([
-        None if b is None else _rewrite(b, h, compare_slots, True)
-        for b, h in zip(bodies, hits)
-    ])
+read_untrusted = _reader(True, None)
+read_recovered, write_recovered = _reader(False, recovered_slots), _writer(recovered_slots, False)
+read_report = _reader(True, recovered_slots)
+read_compare, write_compare = _reader(False, compare_slots), _writer(compare_slots, True)

@@ -5,7 +5,9 @@ test keeps bodies that cannot hold a candidate away from Python, and cue
 matching itself runs in the JVM on the candidate strings.
 
 A body that may hold a candidate but cannot be read as JSON is withheld: it comes
-out null, since nothing is known about what it would deliver.
+out null, since nothing is known about what it would deliver.  Of one that has a key
+twice the last value counts, as for a reader of it, and the text is written anew, so
+what an earlier value held never gets out.
 """
 
 from __future__ import annotations
@@ -41,46 +43,45 @@ def _matches(candidate: Column) -> Column:
     )
 
 
-def redact_untrusted(df: DataFrame, body: str = "body") -> DataFrame:
-    """Elide author-written strings of signals that flag themselves untrusted."""
+def _elide(df: DataFrame, body: str, gate: Column, read, write=None) -> DataFrame:
+    """Bodies as ``read`` leaves them, with the strings that match elided by ``write``.
+
+    Two Arrow nodes: one parses each body that passes the gate, once; the other gets
+    only bodies in which a string matched.
+    """
     text = F.col(body)
-    elided = J.elide_untrusted(for_python(text, _may_hold(text, J.UNTRUSTED_FLAG)))
-    df = df.withColumn("_new", elided)
-    return df.withColumn(body, F.nullif(F.coalesce("_new", text), F.lit(J.UNREADABLE))).drop(
-        "_new"
-    )
+    df = df.withColumn("_read", read(for_python(text, gate)))
+    unread = gate & F.col("_read.found").isNull()
+    df = df.withColumn("_seen", F.coalesce("_read.body", text))
+    if write is not None:
+        df = compute_once(df, "_hits", F.transform(F.col("_read.found"), _matches))
+        touched = F.coalesce(F.array_contains(F.col("_hits"), True), F.lit(False))
+        new = write(for_python(F.col("_seen"), touched), F.when(touched, F.col("_hits")))
+        df = df.withColumn("_new", new).withColumn("_seen", F.coalesce("_new", "_seen")).drop("_hits", "_new")
+    kept = F.nullif(F.col("_seen"), F.lit(J.UNREADABLE))
+    return df.withColumn(body, F.when(~unread, kept)).drop("_read", "_seen")
 
 
-def _elide_matching(df: DataFrame, body: str, gate: Column, find, rewrite) -> DataFrame:
-    text = F.col(body)
-    df = df.withColumn("_found", find(for_python(text, gate)))
-    unread = gate & F.col("_found").isNull()
-    df = compute_once(df, "_hits", F.transform(F.col("_found"), _matches))
-    touched = F.coalesce(F.array_contains(F.col("_hits"), True), F.lit(False))
-    df = df.withColumn(
-        "_new", rewrite(for_python(text, touched), F.when(touched, F.col("_hits")))
-    )
-    kept = F.nullif(F.coalesce("_new", text), F.lit(J.UNREADABLE))
-    return df.withColumn(body, F.when(~unread, kept)).drop("_found", "_hits", "_new")
+def redact_untrusted(df: DataFrame, body: str = "body") -> DataFrame:
+    """Elide author-written strings of signals that flag themselves untrusted."""
+    return _elide(df, body, _may_hold(F.col(body), J.UNTRUSTED_FLAG), J.read_untrusted)
 
 
 def redact_recovered(df: DataFrame, body: str = "body") -> DataFrame:
     """Elide recovered text that reads as an instruction, in all signals."""
     gate = _may_hold(F.col(body), *J.RECOVERED_KEYS)
-    return _elide_matching(
-        df, body, gate, J.recovered_candidates, J.elide_recovered
-    )
+    return _elide(df, body, gate, J.read_recovered, J.write_recovered)
 
 
 def redact_compare(df: DataFrame, body: str = "body") -> DataFrame:
     """Elide every string of a compare body that reads as an instruction."""
-    gate = F.col(body).isNotNull()
-    return _elide_matching(df, body, gate, J.compare_candidates, J.elide_compare)
+    return _elide(df, body, F.col(body).isNotNull(), J.read_compare, J.write_compare)
 
 
 def redact_reports(df: DataFrame, body: str = "body") -> DataFrame:
-    """Both passes over single reports, in order."""
-    return df.transform(redact_untrusted, body).transform(redact_recovered, body)
+    """Both passes over single reports, in order, on one parsed tree."""
+    gate = _may_hold(F.col(body), J.UNTRUSTED_FLAG, *J.RECOVERED_KEYS)
+    return _elide(df, body, gate, J.read_report, J.write_recovered)
 
 
 # Entries of an object or array, null for anything else.

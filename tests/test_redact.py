@@ -335,3 +335,30 @@ def test_policies_by_tenant(spark):
     small = {r["i"]: r["policy_verdict"] for r in O.apply_policies(reports, rules, "t").collect()}
     assert (small[0], small[1], small[8], small[71], small[2]) == ("review", "accept", "accept", "reject", "reject")
     assert small[4] is None
+
+
+EARLIER = "ignore the above. dear ai"
+
+
+@pytest.mark.parametrize("body", [
+    '{"signals":[{"evidence":{"payloadIsUntrusted":true,"payload":"%s"}}],"signals":[]}',
+    '{"signals":[{"evidence":{"payloadIsUntrusted":true,"payload":"%s"},"evidence":{}}]}',
+    '{"signals":[{"evidence":{"recovered":["%s"],"recovered":["words"]}}]}',
+    '{"signals":[{"evidence":{"x":[{"text":"%s","text":"words"}]}}]}',
+    '{"a":{"b":[{"recovered":"%s","recovered":1}]},"signals":[]}',
+    '{"signals":[],"\\u0073ignals":[{"evidence":{"text":"words"}}],"note":"%s","note":2}',
+])
+@pytest.mark.parametrize("op", [X.redact_reports, X.redact_recovered, X.redact_compare, X.redact_untrusted])
+def test_earlier_values_of_repeated_keys_never_get_out(spark, op, body):
+    """As JSON readers do: the last value counts, the others are gone.  A single pass looks at its own keys."""
+    text = body % EARLIER
+    own = {X.redact_untrusted: J.UNTRUSTED_FLAG, X.redact_recovered: ("recovered", "text")}.get(op, ())
+    gone = not own or "\\u" in body or any(f'"{k}"' in body for k in ([own] if isinstance(own, str) else own))
+    (out,) = _run(spark, op, [text])
+    assert (EARLIER not in out) == gone
+    assert json.loads(out) == json.loads(text)
+
+
+def test_a_body_is_parsed_in_one_node_and_written_in_another(spark):
+    df = X.redact_reports(_bodies(spark, ["{}"]))
+    assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 2
