@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from paperward.plans.shape import materialize
+from paperward.plans.skew import attach
 
 # Allowances, and metered documents per call.
 ANONYMOUS_PER_HOUR = 10
@@ -101,21 +103,21 @@ def ledger(calls: DataFrame, content: str = "content") -> DataFrame:
 def tenant_matches(calls: DataFrame) -> DataFrame:
     """Has this tenant sent this file before?  Only earlier calls count.
 
-    The first call per tenant and file is an aggregate combined before the
-    shuffle, one row for each; adaptive execution splits the other side where a
-    file makes up much of the table.  Calls without a tenant or a hash match
-    nothing.
+    The first call per tenant and file is an aggregate combined before the shuffle, one
+    row for each file sent more than once.  It is attached by a salted join, so a file or
+    a tenant that makes up most of the table is spread over all tasks.  Calls without a
+    tenant or a hash match nothing.
     """
     order = F.struct("ts", "call_id")
-    firsts = (
-        calls.groupBy("tenant", "sha256")
-        .agg(F.min(order).alias("first"), F.count("*").alias("_n"))
-        .where("_n > 1").drop("_n")
+    firsts = materialize(
+        calls.where("tenant IS NOT NULL AND sha256 IS NOT NULL").groupBy("tenant", "sha256")
+        .agg(F.min(order).alias("_first"), F.count("*").alias("_n"))
+        .where("_n > 1")
     )
-    joined = calls.join(firsts, ["tenant", "sha256"], "left")
-    seen = F.coalesce(F.col("first") < order, F.lit(False))
+    joined = attach(calls, firsts, ["tenant", "sha256"], "_n", ["call_id", "ts"])
+    seen = F.coalesce(F.col("_first") < order, F.lit(False))
     return joined.select(
         *calls.columns,
         seen.alias("seen_before"),
-        F.when(seen, F.col("first.call_id")).alias("first_call_id"),
+        F.when(seen, F.col("_first.call_id")).alias("first_call_id"),
     )

@@ -271,28 +271,34 @@ def test_relations_of_one_document_asked_at_many_lengths(spark):
     assert {r["pair_id"]: r["relationship"] for r in out.collect()} == want
 
 
-def test_hot_and_null_keys_are_spread(spark):
-    """A third of the calls on one file, a third without a hash: no task above twice the mean."""
-    calls = spark.range(300_000).selectExpr(
-        "id AS call_id", "'t' AS tenant", "timestamp_seconds(id) AS ts",
-        "CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN NULL ELSE concat('f', id % 60000) END AS sha256",
+@pytest.mark.parametrize("partitions", [16, 40])
+@pytest.mark.parametrize("keys", [
+    "CASE WHEN id % 10 < 8 THEN 'hot' ELSE concat('f', id % 7001) END",  # one file is 80 %
+    "CASE WHEN id % 10 < 8 THEN NULL ELSE concat('f', id % 7001) END",
+    "CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN 'warm' ELSE concat('f', id % 7001) END",
+])
+def test_hot_and_null_keys_are_spread(spark, partitions, keys):
+    """No task above twice the mean of its rows, with nothing coalesced and no adaptive splitting."""
+    calls = spark.range(600_000).selectExpr(
+        "id AS call_id", "'t' AS tenant", "timestamp_seconds(id) AS ts", f"{keys} AS sha256"
     )
     conf = {
-        "spark.sql.shuffle.partitions": "8", "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        "spark.sql.shuffle.partitions": str(partitions), "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.skewJoin.enabled": "false",
     }
     before = {k: spark.conf.get(k) for k in conf}
     try:
         for k, v in conf.items():
             spark.conf.set(k, v)
-        out = B.tenant_matches(calls).select("call_id", F.spark_partition_id().alias("p"))
-        sizes = [r["count"] for r in out.groupBy("p").count().collect()]
+        out = B.tenant_matches(calls).select("call_id", "seen_before", F.spark_partition_id().alias("p"))
+        sizes = [r["n"] for r in out.groupBy("p").agg(F.count("*").alias("n")).collect()]
+        seen = out.where("seen_before").count()
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
-    assert sum(sizes) == 300_000 and max(sizes) <= 2 * sum(sizes) / len(sizes), sizes
+    assert sum(sizes) == 600_000 and len(sizes) >= 8 and max(sizes) <= 2 * sum(sizes) / len(sizes), sizes
+    files = calls.where("sha256 IS NOT NULL").agg(F.count("*"), F.count_distinct("sha256")).first()
+    assert seen == files[0] - files[1]
 
 
 def test_materialize_uses_the_shared_folder(spark):
