@@ -35,6 +35,7 @@ from paperward.llm.grams import (
 from paperward.llm.neardup import Forest
 from paperward.llm.shared import components, lean, lean_group, tune, utf8
 from paperward.plans.shape import materialize
+from paperward.plans.skew import attach
 
 WORDS = 5
 #: Similarity as a ratio of whole numbers, compared without rounding.
@@ -300,13 +301,14 @@ def jaccard_classes(
     )
     rows = materialize(rows)
     found = _components_of(rows, similar, block_grams)
-    first = named.groupBy("class").agg(F.min("doc_id").alias("first"))
+    first = named.groupBy("class").agg(F.min("doc_id").alias("first"), F.count("*").alias("_n"))
     label = found.join(first, found["node"] == first["class"])
     label = label.groupBy("component").agg(F.min("first").alias("component_id"))
     by_class = found.join(label, "component").select(F.col("node").alias("class"), "component_id")
-    answer = first.join(by_class, "class", "left").select("class", F.coalesce("component_id", "first").alias("component_id"))
+    component = F.coalesce("component_id", "first").alias("component_id")
+    answer = materialize(first.join(by_class, "class", "left").select("class", component, "_n"))
     own = F.when(F.col("size") == 0, F.col("doc_id")).otherwise(F.col("component_id"))
-    return named.join(answer, "class", "left").select(
+    return attach(named, answer, ["class"], "_n", ["doc_id"]).select(
         "doc_id", F.col("size").alias("n_shingles"), own.alias("component_id")
     )
 

@@ -2,17 +2,24 @@
 
 Each text gives counts (words, their characters, symbols, repeated lines and word runs)
 and from them a vector of transformed statistics.  For every language and source the
-minimum covariance determinant tells where the vectors of most texts lie: from a start
-at the medians and quartiles, each step takes the ``SUPPORT`` share of rows that are
-nearest by Mahalanobis distance and takes their mean and covariance anew, by which the
-determinant never grows.  A text whose distance passes the ``CUT`` quantile of the
+minimum covariance determinant tells where the vectors of most texts lie.  The search has
+three starts: medians and quartiles, mean and covariance of all rows, and those of the
+longer half of the texts.  From each, a step takes the ``SUPPORT`` share of rows that are
+nearest by Mahalanobis distance and their mean and covariance anew, until no determinant
+falls any more or ``STEPS`` steps are done; of all models of a group the one with the
+smallest determinant is taken.  A text whose distance passes the ``CUT`` quantile of the
 chi-square law is rejected.
 
 * Statistics are rounded to 1/1024, so the sums behind means and covariances are sums of
   whole numbers: the same on every run and after every lost executor.
 * The nearest share is found from a count per group and step of distance, not by a sort.
 * Junk is often plain zero for whole groups of clean texts.  Each variance gets the square
-  of ``TOLERANCE`` added, so a group may be flat in some direction.
+  of ``TOLERANCE`` added, so a group may be flat in some direction.  That is the regularised
+  form of the estimator, whose steps lower the determinant of the regularised covariance;
+  as the share is cut at a step of distance, not at a row, a determinant may also rise a
+  little, and then the model before it stays.
+* A step is one pass with sums per group and step of distance, which are combined before
+  the shuffle; models are attached by a salted join, so a large group is many tasks' work.
 * A group of fewer than ``LEAST`` rows is judged with the other small groups of its
   language, and if they are too few, with all such; fewer than that have no verdict.
 """
@@ -25,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperward.plans.shape import materialize
+from paperward.plans.skew import attach
 
 SPACES = r"[\x20\x09-\x0D]+"
 _SPACE_CHARS = " \t\n\x0b\f\r"
@@ -45,7 +53,10 @@ TOLERANCE = {
 STATISTICS = tuple(TOLERANCE)
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SUPPORT = 0.75
-STEPS = 4
+STEPS = 12
+#: A determinant stands still when its logarithm falls by less.
+STILL = 1e-6
+STARTS = 3
 CUT = 0.9999
 LEAST = 50
 
@@ -158,22 +169,22 @@ def _sweep(model: DataFrame, p: int) -> DataFrame:
             else:
                 value = f"{_cell(i, j)} - {_cell(i, k)} * {_cell(k, j)} / {pivot}"
             new.append(f"{value} AS {_cell(i, j)}")
-        model = model.selectExpr("est", *others, f"logdet + ln({pivot}) AS logdet", *new)
-    return model.selectExpr("est", *others, "logdet", *[f"-{_cell(i, j)} AS {_cell(i, j)}" for i, j in _cells(p)])
+        model = model.selectExpr("est", "start", "size", *others, f"logdet + ln({pivot}) AS logdet", *new)
+    return model.selectExpr("est", "start", "size", *others, "logdet", *[f"-{_cell(i, j)} AS {_cell(i, j)}" for i, j in _cells(p)])
 
 
 def _model(moments: DataFrame, scale: float, p: int) -> DataFrame:
-    """Per group: centre ``m`` and inverse covariance ``q``, from whole-number sums."""
+    """Per group and start: centre ``m`` and inverse covariance ``q``, from whole-number sums."""
     out = [f"s_{i} / n / {GRID}D AS m_{i}" for i in range(p)]
     for i, j in _cells(p):
         floor = TOLERANCE[STATISTICS[i]] ** 2 if i == j else 0.0
         out.append(f"(s_{i}_{j} - s_{i} / n * s_{j}) / n / {GRID * GRID}D * {scale!r}D + {floor!r}D AS {_cell(i, j)}")
-    return _packed(_sweep(moments.selectExpr("est", *out), p), p)
+    return _packed(_sweep(moments.selectExpr("est", "start", "size", *out), p), p)
 
 
 def _packed(model: DataFrame, p: int) -> DataFrame:
     m, q = (", ".join(x) for x in ([f"m_{i}" for i in range(p)], [_cell(i, j) for i, j in _cells(p)]))
-    return model.selectExpr("est", f"array({m}) AS m", f"array({q}) AS q", "logdet")
+    return model.selectExpr("est", "start", "size", f"array({m}) AS m", f"array({q}) AS q", "logdet")
 
 
 def distance(p: int = len(STATISTICS)) -> Column:
@@ -190,30 +201,69 @@ def _quartiles(rows: DataFrame, p: int) -> DataFrame:
     whole = Window.partitionBy("est", "i")
     ranked = values.select("est", "i", "v", F.sum("n").over(below).alias("upto"), F.sum("n").over(whole).alias("all"))
     at = lambda share: F.min(F.when(F.col("upto") >= F.col("all") * share, F.col("v"))) / GRID
-    per = ranked.groupBy("est").pivot("i", list(range(p))).agg(
+    per = ranked.groupBy("est", F.col("all").alias("size")).pivot("i", list(range(p))).agg(
         at(0.5).alias("m"), ((at(0.75) - at(0.25)) / 1.349).alias("sd")
     )
     spread = [f"(`{i}_sd` * `{i}_sd` + {TOLERANCE[STATISTICS[i]] ** 2!r}D)" for i in range(p)]
     cells = [f"`{i}_m` AS m_{i}" for i in range(p)]
     cells += [(f"1 / {spread[i]}" if i == j else "0D") + f" AS {_cell(i, j)}" for i, j in _cells(p)]
     logdet = " + ".join(f"ln({x})" for x in spread)
-    return _packed(per.selectExpr("est", *cells, f"{logdet} AS logdet"), p)
+    return _packed(per.selectExpr("est", "0 AS start", "size", *cells, f"{logdet} AS logdet"), p)
 
 
-def _nearest(rows: DataFrame, model: DataFrame, support: float) -> DataFrame:
-    """The rows within the smallest step of distance that holds ``support`` of their group."""
-    far = F.floor(F.log2(distance() + 1) * 64)
-    rows = rows.join(model, "est").withColumn("far", far).select("est", "x", "far")
-    counted = rows.groupBy("est", "far").agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("est").orderBy("far"))
-    total = F.sum("n").over(Window.partitionBy("est"))
-    edge = counted.select("est", "far", upto.alias("u"), total.alias("t")).where(F.col("u") >= F.col("t") * support)
-    return rows.join(edge.groupBy("est").agg(F.min("far").alias("edge")), "est").where("far <= edge")
+def _sums(p: int) -> dict[str, str]:
+    return {f"s_{i}": f"x[{i}]" for i in range(p)} | {f"s_{i}_{j}": f"x[{i}] * x[{j}]" for i, j in _cells(p)}
+
+
+def _aggregates(p: int) -> list[Column]:
+    return [F.count("*").alias("n"), *[F.expr(f"sum({v}) AS {k}") for k, v in _sums(p).items()]]
+
+
+def _other_starts(rows: DataFrame, quartiles: DataFrame, p: int) -> DataFrame:
+    """Sums of all rows, and of the half with the most words."""
+    met = attach(rows, quartiles.drop("start"), ["est"], "size", ["x"]).where("m IS NOT NULL")
+    longer = F.expr(f"x[0] >= m[0] * {GRID}D")
+    start = F.explode(F.when(longer, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("start")
+    sums = met.select("est", "x", start).groupBy("est", "start").agg(*_aggregates(p))
+    return sums.join(quartiles.select("est", "size"), "est")
 
 
-def _moments(rows: DataFrame, p: int) -> DataFrame:
-    sums = [f"sum(x[{i}]) AS s_{i}" for i in range(p)] + [f"sum(x[{i}] * x[{j}]) AS s_{i}_{j}" for i, j in _cells(p)]
-    return rows.groupBy("est").agg(F.count("*").alias("n"), *map(F.expr, sums))
+def _nearest_sums(rows: DataFrame, model: DataFrame, support: float, p: int) -> DataFrame:
+    """Sums over the rows within the smallest step of distance that holds ``support`` of their group.
+
+    Sums are taken per step of distance; the steps of a group, a few thousand at most, are
+    then cut and added up.
+    """
+    far = F.floor(F.log2(distance() + 1) * 64)
+    rows = rows.select("est", "x", F.explode(F.array(*map(F.lit, range(STARTS)))).alias("start"))
+    rows = attach(rows, model, ["est", "start"], "size", ["x"]).withColumn("far", far)
+    steps = rows.groupBy("est", "start", "far").agg(*_aggregates(p))
+    group = Window.partitionBy("est", "start")
+    before = F.sum("n").over(group.orderBy("far").rowsBetween(Window.unboundedPreceding, -1))
+    steps = steps.withColumns({"_before": F.coalesce(before, F.lit(0)), "size": F.sum("n").over(group)})
+    inside = steps.where(F.col("_before") < F.col("size") * support)
+    return inside.groupBy("est", "start").agg(F.max("size").alias("size"), *[F.sum(c).alias(c) for c in ("n", *_sums(p))])
+
+
+def search(rows: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
+    """Models (est, start, size, m, q, logdet) that each start of each group of ``rows(est, x)`` ends at."""
+    p = len(STATISTICS)
+    consistent = support / chi_square(chi_square_point(support, p), p + 2)
+    quartiles = materialize(_quartiles(rows, p))
+    model = quartiles.unionByName(_model(_other_starts(rows, quartiles, p), 1.0, p))
+    model = materialize(model)
+    best = materialize(_model(_nearest_sums(rows, model, support, p), consistent, p))
+    for _ in range(steps - 1):
+        model = _model(_nearest_sums(rows, best, support, p), consistent, p)
+        old = best.select("est", "start", F.col("m").alias("_m"), F.col("q").alias("_q"), F.col("logdet").alias("_logdet"))
+        falls = F.col("logdet") < F.col("_logdet") - STILL
+        both = materialize(model.join(old, ["est", "start"]).withColumn("_falls", falls))
+        keep = lambda new: F.when(F.col("_falls"), F.col(new)).otherwise(F.col("_" + new)).alias(new)
+        best = both.select("est", "start", "size", keep("m"), keep("q"), keep("logdet"), "_falls")
+        if best.where("_falls").isEmpty():
+            break
+        best = best.drop("_falls")
+    return best.select("est", "start", "size", "m", "q", "logdet")
 
 
 def estimates(counted: DataFrame, support: float = SUPPORT, steps: int = STEPS, least: int = LEAST) -> DataFrame:
@@ -239,11 +289,9 @@ def estimates(counted: DataFrame, support: float = SUPPORT, steps: int = STEPS,
         named, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
     ).select("est", "x")
     rows = materialize(rows)
-    inside = chi_square_point(support, p)
-    consistent = support / chi_square(inside, p + 2)
-    model = materialize(_quartiles(rows, p))
-    for _ in range(steps):
-        model = materialize(_model(_moments(_nearest(rows, model, support), p), consistent, p))
+    model = search(rows, support, steps).groupBy("est").agg(
+        F.min_by(F.struct("m", "q", "logdet"), F.struct("logdet", "start")).alias("best")
+    ).select("est", "best.*")
     return named.join(model, "est").select("_lang", "_source", "m", "q", "logdet")
 
 

@@ -6,6 +6,7 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from paperward.llm import jaccard, neardup, substrings
 from paperward.llm.grams import runs_of_group
@@ -173,3 +174,22 @@ def test_embeddings_without_rows_or_ids(spark):
     assert neardup.near_duplicates(spark.createDataFrame([], schema)).count() == 0
     got = neardup.near_duplicates(spark.createDataFrame([(None, [1.0, 1.0], 1), (3, [1.0, 1.0], 1), (3, [1.0, 1.0], 1)], schema))
     assert sorted((r["vec_id"] or 0, r["n_links"]) for r in got.collect()) == [(0, 0), (3, 1), (3, 1)]
+
+
+def test_rows_of_one_text_are_many_tasks_work(spark):
+    """80 % equal texts: no task has more than twice the mean of the answer's rows."""
+    conf = {
+        "spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.skewJoin.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    docs = spark.range(60_000).selectExpr("id AS doc_id", "if(id % 10 < 8, 'a b c d e f', concat('w', id % 900, ' x y z u v')) AS text")
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = jaccard.jaccard_classes(docs.repartition(8)).select("component_id", F.spark_partition_id().alias("p"))
+        sizes = [r["n"] for r in out.groupBy("p").agg(F.count("*").alias("n"), F.max("component_id")).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 60_000 and len(sizes) >= 8 and max(sizes) <= 2 * sum(sizes) / len(sizes), sizes
