@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from paperward.functions import cues as C
 from paperward.functions import lexicon as L
 from paperward.functions import text as T
 from paperward.functions import unicode as U
+from paperward.functions.automaton import finder
 from paperward.plans.shape import compute_once, materialize
 
 
@@ -90,64 +92,41 @@ def field_findings(fields: DataFrame) -> DataFrame:
     )
 
 
-# Lengths of the pieces that stand for phrases of one or two words.
-_PIECES = (8, 4, 2, 1)
-_WORD = 0
+#: Bytes of the phrases of one automaton; as such it takes some forty times that.
+LEXICON_PART_BYTES = 4 << 20
 
 
-def _best(items: Column) -> Column:
-    """Longest item, of those the last by hash."""
-    ranked = F.transform(items, lambda x: F.struct(F.length(x), F.xxhash64(x), x.alias("x")))
-    return F.array_max(ranked)["x"]
-
-
-def _pieces(text: Column, size: int) -> Column:
-    places = F.sequence(F.lit(1), F.length(text) - size + 1)
-    cut = F.transform(places, lambda i: F.substring(text, i, F.lit(size)))
-    return F.when(F.length(text) >= size, cut).otherwise(F.array().cast("array<string>"))
-
+def match_lexicon(
+    df: DataFrame, key: str, text: str, lexicon: DataFrame, part_bytes: int = LEXICON_PART_BYTES
+) -> DataFrame:
+    """Categories per key by a run-time lexicon ``(category, phrase)`` of any size.
 
-def _anchored(terms: DataFrame) -> DataFrame:
-    """Add ``kind`` and ``anchor``: something any text with the phrase must hold.
+    Phrases are normalized first, then found as substrings, all at once, by an automaton.
+    The lexicon is dealt by a hash to parts of about ``part_bytes``; one part at a time is
+    handed to the tasks, and each text is normalized and read once for each part where it
+    stands.  Only keys and categories are shuffled.
 
-    A phrase may begin and end inside a word, so of three words or more the
-    longest inner one stands for it, else a piece of its letters.
-    """
-    inner = F.filter(F.split("phrase", " "), lambda w: w != "")
-    inner = F.slice(inner, F.lit(2), F.greatest(F.size(inner) - 2, F.lit(0)))
-    terms = terms.withColumn("_inner", inner)
-    kind, anchor = F.when(F.size("_inner") > 0, _WORD), F.when(F.size("_inner") > 0, _best(F.col("_inner")))
-    for size in _PIECES:
-        fits = F.length("phrase") >= size
-        kind, anchor = kind.when(fits, size), anchor.when(fits, _best(_pieces(F.col("phrase"), size)))
-    return terms.select("category", "phrase", kind.alias("kind"), anchor.alias("anchor"))
-
-
-def match_lexicon(df: DataFrame, key: str, text: str, lexicon: DataFrame) -> DataFrame:
-    """Categories per row by a run-time lexicon ``(category, phrase)`` of any size.
-
-    Phrases are normalized first, then found as substrings.  Each phrase has an
-    anchor; the distinct words, or pieces, of each text are joined to the anchors
-    by equality, and only what meets is searched for the phrase.  The one thing
-    asked beforehand is which of the five kinds of anchor occur.
+    One row for each key: rows of one key are read as one, null being a key like others.
+    Blank phrases and those without a category find nothing; a null text holds nothing.
     """
     norm = with_matchable(lexicon.select("category", "phrase"), "phrase", "_p")
-    terms = norm.where("_p != ''").select("category", F.col("_p").alias("phrase")).distinct()
-    terms = materialize(_anchored(terms))
-    kinds = [r["kind"] for r in terms.select("kind").distinct().collect()]
-    matched = with_matchable(df.select(key, text), text, "_m").select(key, "_m")
-    held = F.array().cast("array<struct<kind:int,anchor:string>>")
-    for kind in sorted(kinds):
-        parts = F.split("_m", " ") if kind == _WORD else _pieces(F.col("_m"), kind)
-        named = F.lit(kind).alias("kind")
-        held = F.concat(held, F.transform(F.array_distinct(parts), lambda x: F.struct(named, x.alias("anchor"))))
-    probes = matched.select(key, F.explode(held).alias("_h")).select(key, "_h.kind", "_h.anchor")
-    open_ = probes.join(terms, ["kind", "anchor"]).select(key, "category", "phrase").distinct()
-    found = (
-        matched.join(open_, key).where(F.contains("_m", "phrase"))
-        .groupBy(key).agg(F.array_sort(F.collect_set("category")).alias("_found"))
-    )
-    return df.select(key).join(found, key, "left").select(
-        key,
-        F.coalesce("_found", F.array().cast("array<string>")).alias("categories"),
-    )
+    terms = norm.where("_p != '' AND category IS NOT NULL").select("category", F.col("_p").alias("phrase")).distinct()
+    terms = materialize(terms)
+    size = terms.agg(F.sum(F.octet_length("phrase"))).first()[0] or 0
+    parts = size // part_bytes + 1
+    texts = with_matchable(df.select(F.col(key).alias("key"), text), text, "_m").select("key", "_m")
+    found = None
+    for part in range(parts):
+        rows = terms.where(F.pmod(F.xxhash64("phrase"), F.lit(parts)) == part).collect()
+        names = sorted({r["category"] for r in rows})
+        number = {c: i for i, c in enumerate(names)}
+        handle = df.sparkSession.sparkContext.broadcast(
+            ([r["phrase"] for r in rows], [number[r["category"]] for r in rows], names)
+        )
+        schema = StructType([StructField("key", df.schema[key].dataType), StructField("category", StringType())])
+        hits = texts.mapInArrow(finder(handle), schema)
+        if parts > 1:  # the next part takes this one's place
+            hits = materialize(hits.distinct())
+            handle.unpersist()
+        found = hits if found is None else found.unionByName(hits)
+    return found.groupBy(F.col("key").alias(key)).agg(F.array_sort(F.collect_set("category")).alias("categories"))

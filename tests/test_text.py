@@ -272,10 +272,10 @@ def test_compiled_lexicon_equals_run_time_lexicon(spark, random_rows):
 
 
 def test_large_run_time_lexicon(spark):
-    """A hundred thousand phrases, of one to five words, some of them hidden in words."""
+    """A hundred thousand phrases, of one to six words, some of them hidden in words."""
     phrases = spark.range(100_000).selectExpr(
         "concat('c', id % 50) AS category",
-        "array_join(transform(sequence(0, cast(id % 5 as int)), i -> concat('w', id * 7 + i)), ' ') AS phrase",
+        "array_join(transform(sequence(0, cast(id % 6 as int)), i -> concat('w', id * 7 + i)), ' ') AS phrase",
     )
     texts = [(0, "x w7 w8 y"), (1, "aw14 w15 w16b"), (2, "w21 w22 w23  W24"), (3, "nothing"), (4, "w699965z")]
     df = spark.createDataFrame(texts, "i int, value string")
@@ -284,3 +284,22 @@ def test_large_run_time_lexicon(spark):
     for i, text in texts:
         plain = " ".join(text.lower().split())
         assert got[i] == sorted({c for c, p in stored if p in plain})
+    # each text is read where it stands, and a lexicon in parts says the same
+    plan = K.match_lexicon(df, "i", "value", phrases)._jdf.queryExecution().executedPlan().toString()
+    exchanges = [x for x in plan.splitlines() if "Exchange" in x]
+    assert len(exchanges) == 1 and "hashpartitioning(key" in exchanges[0]
+    parts = K.match_lexicon(df, "i", "value", phrases, part_bytes=400_000)
+    assert {r["i"]: list(r["categories"]) for r in parts.collect()} == got
+
+
+def test_lexicon_edges(spark):
+    df = spark.createDataFrame(
+        [(1, "one two"), (1, "three"), (None, "two"), (2, None), (3, "")], "k int, value string"
+    ).withColumn("category", F.lit("x")).withColumn("key", F.lit(1))
+    lexicon = spark.createDataFrame(
+        [("a", "two"), ("a", "one two"), ("b", "three"), (None, "one"), ("c", None), ("d", "  ")], "category string, phrase string"
+    )
+    got = {r["k"]: list(r["categories"]) for r in K.match_lexicon(df, "k", "value", lexicon).collect()}
+    assert got == {1: ["a", "b"], None: ["a"], 2: [], 3: []}
+    none = K.match_lexicon(df, "k", "value", lexicon.limit(0)).collect()
+    assert len(none) == 4 and all(r["categories"] == [] for r in none)
