@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from paperward.plans.shape import materialize
+
 #: A key with more than this share of the rows is dealt out; at least so many shares.
 LEAST_SHARES = 4096
 
@@ -35,3 +37,14 @@ def attach(rows: DataFrame, per_key: DataFrame, keys: list[str], weight: str, sp
     left = rows.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt).drop("_salts")
     right = per_key.select("*", F.explode(F.sequence(F.lit(0).cast("long"), salts.cast("long") - 1)).alias("_salt"))
     return left.join(right.drop(weight), [*keys, "_salt"], "left").drop("_salt")
+
+
+def attach_counted(rows: DataFrame, per_key: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
+    """:func:`attach` where the rows of each key are still to be counted, which is one aggregate more."""
+    counted = rows.groupBy(*keys).agg(F.count("*").alias("_n"))
+    return attach(rows, materialize(per_key.join(counted, keys)), keys, "_n", spread)
+
+
+def hashable(df: DataFrame) -> list[str]:
+    """Columns that a hash can be taken of."""
+    return [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]

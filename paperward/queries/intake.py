@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from paperward.operators import metering as M
+from paperward.plans.shape import shared_folder
 from paperward.queries import planted as P
 from paperward.queries import sqltext as S
 from paperward.queries.registry import registry
 from paperward.sources import intake as I
+from paperward.sources import sinks
 from paperward.sources.tables import read_table
 
 QUERIES, ORACLES, query = registry()
@@ -229,3 +233,19 @@ def tenant_matches(spark, folder):
     return M.tenant_matches(sent).select(
         "call_id", "tenant", "seen_before", "first_call_id"
     )
+
+
+@query("""
+    SELECT doc_id, lang, CASE WHEN n_chars < 500 THEN 'too short' END AS error,
+           CASE WHEN n_chars < 500 THEN 'rejects' ELSE 'results' END AS part FROM documents
+""")
+def sink_roundtrip(spark, folder):
+    """Two batches, one of them written twice: both parts add up to the input once."""
+    location = f"{shared_folder(spark)}/sink-{uuid.uuid4().hex}"
+    error = F.when(F.col("n_chars") < 500, "too short").cast("string")
+    docs = P.documents(spark, folder).select("doc_id", "lang", error.alias("error"))
+    for batch in ("even", "odd", "even"):
+        mine = docs.where(F.col("doc_id") % 2 == (0 if batch == "even" else 1))
+        sinks.write_results(mine, location, F.col("error"), batch, ("lang",))
+    read = lambda part: sinks.read_results(spark, location, docs.schema, part).withColumn("part", F.lit(part))
+    return read(sinks.RESULTS).unionByName(read(sinks.REJECTS))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from paperward.functions import net as N
 from paperward.operators import network as K
+from paperward.operators import ranges as G
 from paperward.queries import planted as P
 from paperward.queries import sqltext as S
 from paperward.queries.registry import registry
@@ -270,6 +271,57 @@ def dns_screen(spark, folder):
     return K.screen_hosts(answers)
 
 
+def _spelt(number, family6, x, y):
+    """An address in text, of version 4 from a number, of version 6 from two groups."""
+    octets = [F.shiftright(number, s).bitwiseAND(F.lit(255)).cast("string") for s in (24, 16, 8, 0)]
+    six = F.concat(F.lit("2001:db8:"), F.lower(F.hex(x)), F.lit(":"), F.lower(F.hex(y)), F.lit("::7"))
+    return F.when(family6, six).otherwise(F.concat_ws(".", *octets))
+
+
+def range_table(events):
+    """One range for each event, many inside each other; some spelt with bits beyond their length."""
+    key = F.col("event_id")
+    number = (key * 40503 * 65537 + 11) % (1 << 32)
+    length = F.when(key % 5 == 0, 32 + key % 33).otherwise(4 + key % 29)
+    address = _spelt(number, key % 5 == 0, key * 7919 % 64, key * 104729 % 65536)
+    return events.select(F.concat(address, F.lit("/"), length).alias("network"), (key % 3 != 0).alias("blocked"))
+
+
+def ranged_addresses(events):
+    """An address for each event: plain, mapped, version 6, or none at all."""
+    key = F.col("event_id")
+    plain = _spelt(key * 2654435761 % (1 << 32), key % 5 == 0, key % 64, key * 31 % 65536)
+    mapped = F.when((key % 7 == 0) & (key % 5 != 0), F.concat(F.lit("::ffff:"), plain)).otherwise(plain)
+    return events.select("event_id", F.when(key % 17 == 0, "not-an-ip").otherwise(mapped).alias("ip"))
+
+
+@query("""WITH spelt AS (
+        SELECT event_id AS id, CASE WHEN event_id % 5 = 0 THEN 6 ELSE 4 END AS family,
+               CASE WHEN event_id % 5 = 0 THEN 64 ELSE 32 END AS wide,
+               CASE WHEN event_id % 5 = 0 THEN 32 + event_id % 33 ELSE 4 + event_id % 29 END AS length,
+               CAST(CASE WHEN event_id % 5 = 0 THEN (event_id * 7919 % 64) * 65536 + event_id * 104729 % 65536
+                    ELSE (event_id * 40503 * 65537 + 11) % 4294967296 END AS HUGEINT) AS range,
+               CAST(CASE WHEN event_id % 5 = 0 THEN (event_id % 64) * 65536 + event_id * 31 % 65536
+                    ELSE event_id * 2654435761 % 4294967296 END AS HUGEINT) AS ip
+        FROM events),
+    full_ AS (SELECT *, CAST(power(2, wide - length) AS HUGEINT) AS below,
+                     CASE WHEN family = 6 THEN CAST(536939960 AS HUGEINT) * 4294967296 ELSE 0 END AS top FROM spelt),
+    ranges AS (SELECT family, length, (top + range) // below AS bits, bool_or(id % 3 <> 0) AS blocked FROM full_ GROUP BY ALL),
+    lengths AS (SELECT DISTINCT family, wide, length, below FROM full_),
+    met AS (
+        SELECT a.id, max({'length': r.length, 'blocked': r.blocked}) AS best
+        FROM full_ a JOIN lengths l ON a.family = l.family
+        JOIN ranges r ON r.family = a.family AND r.length = l.length AND r.bits = (a.top + a.ip) // l.below
+        WHERE a.id % 17 <> 0 GROUP BY a.id)
+    SELECT event_id, CAST(best.length AS INTEGER) AS prefix, coalesce(best.blocked, event_id % 17 = 0) AS blocked
+    FROM events LEFT JOIN met ON id = event_id
+""")
+def ip_ranges_table(spark, folder):
+    """Ranges and exceptions as a table, as large as that of the addresses."""
+    events = read_table(spark, folder, "events")
+    return G.match_ranges(ranged_addresses(events), range_table(events)).select("event_id", "prefix", "blocked")
+
+
 # Fetches: what each hop log looks like, and the expected
 # (requests, outcome, ended_at, status).
 SCENARIOS = [

@@ -6,6 +6,8 @@ that the watermark has not closed.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from paperward.operators import cases as K
@@ -15,7 +17,9 @@ from paperward.queries.intake import CALLS_SQL, USED_SQL, calls_of
 from paperward.queries.network import URLS_SQL, urls_of
 from paperward.queries.registry import registry
 from paperward.queries.text import FIELDS_SQL, flat_findings
-from paperward.sources.tables import stream_table
+from paperward.plans.shape import shared_folder
+from paperward.sources import sinks
+from paperward.sources.tables import read_table, stream_table
 from paperward.streaming import jobs as J
 
 QUERIES, ORACLES, query = registry()
@@ -112,3 +116,36 @@ def stream_case(spark, folder):
 def stream_url_screen(spark, folder):
     screened = J.url_screen_stream(urls_of(stream_table(spark, folder, "pages")))
     return J.run_to_table(spark, screened, "urls").select("page_id", "planted", "host", "verdict")
+
+
+def rules_of(pages):
+    """Ranges and an allow list, from the keys of all pages."""
+    key = F.col("page_id")
+    ranges = pages.where(key % 3 == 0).select(
+        F.concat(F.lit("8."), key % 16, F.lit(".0.0/16")).alias("network"), F.lit(True).alias("blocked")
+    )
+    return ranges, pages.select(F.concat(F.lit("10.0.0."), key % 11).alias("ip"))
+
+
+@query(f"""WITH {URLS_SQL},
+    ranges AS (SELECT DISTINCT '8.' || (page_id % 16) || '.' AS lead FROM pages WHERE page_id % 3 = 0),
+    allowed AS (SELECT DISTINCT '10.0.0.' || (page_id % 11) AS ip FROM pages)
+    SELECT page_id, planted, host, CASE
+        WHEN host IN (SELECT ip FROM allowed) THEN 'ok'
+        WHEN verdict = 'ok' AND regexp_full_match(host, '[0-9.]+') AND EXISTS (SELECT 1 FROM ranges WHERE starts_with(host, lead)) THEN 'blocked'
+        ELSE verdict END AS verdict
+    FROM urls
+""")
+def stream_url_rules(spark, folder):
+    """Both parts of the sink, after screening by two tables that were written before."""
+    base = f"{shared_folder(spark)}/rules-{uuid.uuid4().hex}"
+    for name, table in zip(("ranges", "allowed"), rules_of(read_table(spark, folder, "pages"))):
+        table.write.parquet(f"{base}/{name}")
+    urls = urls_of(stream_table(spark, folder, "pages"))
+    J.screen_by_rules(
+        urls, lambda s: s.read.parquet(f"{base}/ranges"), lambda s: s.read.parquet(f"{base}/allowed"),
+        f"{base}/out", f"{base}/state",
+    ).awaitTermination()
+    schema = urls.select("page_id", "planted").schema.add("host", "string").add("verdict", "string")
+    kept, refused = (sinks.read_results(spark, f"{base}/out", schema, p) for p in (sinks.RESULTS, sinks.REJECTS))
+    return kept.unionByName(refused)

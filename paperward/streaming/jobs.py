@@ -7,7 +7,7 @@ keeps every piece of state bounded: sums, and at most ten slots per case.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,9 @@ from paperward.operators import cases as K
 from paperward.operators.classify import field_findings
 from paperward.operators.metering import hourly_usage
 from paperward.operators.network import screen_urls
+from paperward.operators.ranges import screen_urls_by_rules
 from paperward.plans.shape import shared_folder
+from paperward.sources.sinks import results_sink
 
 
 def classify_stream(fields: DataFrame) -> DataFrame:
@@ -87,6 +89,27 @@ def url_screen_stream(urls: DataFrame, allowed: Sequence[str] = ()) -> DataFrame
     return screen_urls(urls, "url", allowed)
 
 
+def screen_by_rules(
+    urls: DataFrame, ranges: Callable[[SparkSession], DataFrame], allowed: Callable[[SparkSession], DataFrame],
+    location: str, state: str, name: str = "stream",
+):
+    """Start a stream that screens arriving URLs by two tables, as they are at each micro-batch.
+
+    ``ranges`` and ``allowed`` read the tables, anew for each micro-batch, so a rule
+    added between two takes effect in the second.  Rows go to the results sink, refused
+    ones to its rejects; a micro-batch that runs again replaces what it left.
+    """
+
+    def screen(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        screened = screen_urls_by_rules(batch, ranges(spark), allowed(spark))
+        results_sink(location, F.when(F.col("verdict") != "ok", F.col("verdict")), name=name)(screened, number)
+
+    return (
+        urls.writeStream.foreachBatch(screen).option("checkpointLocation", state).trigger(availableNow=True).start()
+    )
+
+
 def run_to_table(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
     """Drain the available input into a table of the shared folder, and read it."""
     base = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"

@@ -88,9 +88,35 @@ def test_source_choice(spark):
 
 def test_sinks(spark, tmp_path):
     df = spark.createDataFrame([(1, None), (2, "bad"), (3, None)], "id int, error string")
-    S.write_results(df, str(tmp_path / "out"), F.col("error"))
-    ids = lambda part: sorted(r["id"] for r in S.read_results(spark, str(tmp_path / "out"), part).collect())
+    out = str(tmp_path / "out")
+    ids = lambda part: sorted(r["id"] for r in S.read_results(spark, out, df.schema, part).collect())
+    S.write_results(df, out, F.col("error"), "a")
     assert ids(S.RESULTS) == [1, 3] and ids(S.REJECTS) == [2]
+    S.write_results(df, out, F.col("error"), "a")  # a retry
+    S.write_results(df.where("id = 3"), out, F.col("error"), 7)
+    assert ids(S.RESULTS) == [1, 3, 3] and ids(S.REJECTS) == [2]
+    S.write_results(df.where("id = 1"), out, F.col("error"), "a")  # nothing of the first attempt stays
+    assert ids(S.RESULTS) == [1, 3] and ids(S.REJECTS) == []
+    S.write_results(df.limit(0), out, F.col("error"), "a")
+    assert ids(S.RESULTS) == [3]
+    with pytest.raises(ValueError, match="batch name"):
+        S.write_results(df, out, F.col("error"), "../a")
+
+
+def test_sink_of_a_stream_that_runs_again(spark, tmp_path):
+    """The state is lost and the stream runs anew: each micro-batch replaces itself."""
+    src, out = str(tmp_path / "src"), str(tmp_path / "out")
+    for i in range(3):
+        spark.range(i * 10, i * 10 + 10).selectExpr("id", "if(id % 4 = 0, 'bad', null) AS error").coalesce(1).write.mode("append").parquet(src)
+    schema = spark.read.parquet(src).schema
+    for attempt in range(2):
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(src)
+        stream.writeStream.foreachBatch(S.results_sink(out, F.col("error"))).option(
+            "checkpointLocation", str(tmp_path / f"state{attempt}")
+        ).trigger(availableNow=True).start().awaitTermination()
+    parts = [{r["id"] for r in S.read_results(spark, out, schema, p).collect()} for p in (S.RESULTS, S.REJECTS)]
+    assert len(parts[0]) == 22 and parts[0] | parts[1] == set(range(30)) and not parts[0] & parts[1]
+    assert S.read_results(spark, out, schema).count() == 22
 
 
 def test_ledger_sink(spark, tmp_path):
@@ -98,9 +124,9 @@ def test_ledger_sink(spark, tmp_path):
         [(1, "t", dt.datetime(2024, 1, d), bytearray(b"x"), 3, [("a",)]) for d in (1, 2)],
         "call_id int, tenant string, ts timestamp, content binary, score int, signals array<struct<id string>>",
     )
-    for _ in range(2):
-        S.append_ledger(ledger(calls), str(tmp_path / "ledger"))
+    for batch in ("a", "b", "b"):
+        S.append_ledger(ledger(calls), str(tmp_path / "ledger"), batch)
     back = spark.read.parquet(str(tmp_path / "ledger"))
-    assert back.count() == 4 and sorted(p.name for p in (tmp_path / "ledger").glob("day=*")) == [
+    assert back.count() == 4 and sorted(p.name for p in (tmp_path / "ledger").glob("batch=a/day=*")) == [
         "day=2024-01-01", "day=2024-01-02"]
-    assert set(back.columns) == {"call_id", "tenant", "ts", "sha256", "signal_ids", "score", "day"}
+    assert set(back.columns) == {"call_id", "tenant", "ts", "sha256", "signal_ids", "score", "day", "batch"}

@@ -10,6 +10,7 @@ from paperward.operators.classify import field_findings
 from paperward.operators.metering import usage, usage_of_hours
 from paperward.operators.network import screen_urls
 from paperward.queries.network import URL_PLANTS
+from paperward.sources import sinks
 from paperward.streaming import jobs as J
 
 START = dt.datetime(2024, 1, 1)
@@ -160,3 +161,30 @@ def test_state_lives_in_the_shared_folder(spark, tmp_path):
     out = J.run_to_table(spark, J.url_screen_stream(stream), "where")
     folder = spark.conf.get("spark.checkpoint.dir")
     assert all(f.split("file://")[-1].startswith(folder) for f in out.inputFiles())
+
+
+def test_rules_are_read_anew_each_batch(spark, tmp_path):
+    """A range and an allowed address added between two batches count in the second."""
+    urls, ranges, allowed = (str(tmp_path / n) for n in ("urls", "ranges", "allowed"))
+    put = lambda rows, schema, path: spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    hosts = ["93.184.216.34", "10.0.0.7", "198.41.0.4", "example.org", "[2606:2800::1]", "1.2.3"]
+    plain = ["ok", "blocked", "ok", "ok", "ok", "blocked"]  # 1.2.3 is 1.2.0.3, which a rule blocks
+    out = str(tmp_path / "out")
+    schema = "i int, url string, blocked boolean"
+    put([("1.0.0.0/8", True), ("1.2.3.0/24", False)], "network string, blocked boolean", ranges)
+    put([("0.0.0.0",)], "ip string", allowed)
+
+    def screened(first):
+        put([(first + i, f"http://{h}/a", None) for i, h in enumerate(hosts)], schema, urls)
+        stream = spark.readStream.schema(schema).parquet(urls)
+        J.screen_by_rules(
+            stream, lambda s: s.read.parquet(ranges), lambda s: s.read.parquet(allowed), out, str(tmp_path / "state")
+        ).awaitTermination()
+        full = stream.schema.add("host", "string").add("verdict", "string")
+        rows = [r for p in (sinks.RESULTS, sinks.REJECTS) for r in sinks.read_results(spark, out, full, p).collect()]
+        return [r["verdict"] for r in sorted(rows, key=lambda r: r["i"])]
+
+    assert screened(0) == plain
+    put([("93.184.0.0/16", True), ("93.184.216.34", False), ("198.41.0.0/24", True), ("2606::/16", None)], "network string, blocked boolean", ranges)
+    put([("10.0.0.7",)], "ip string", allowed)
+    assert screened(10) == plain + ["ok", "ok", "blocked", "ok", "blocked", "blocked"]
