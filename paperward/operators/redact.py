@@ -20,7 +20,7 @@ from paperward.functions import json_tree as J
 from paperward.functions import text as T
 from paperward.functions.net import let
 from paperward.functions.unicode import for_python
-from paperward.plans.shape import compute_once
+from paperward.plans.shape import compute_once, materialize
 
 
 def _may_hold(body: Column, *keys: str) -> Column:
@@ -92,14 +92,32 @@ _CHILDREN = """coalesce(
         (x, i) -> named_struct('pos', i, 'key', cast(null as string), 'value', x)))"""
 
 
+def _descend(df: DataFrame, report_id: str, first: int, levels: int) -> DataFrame:
+    """Rows of containers replaced by rows of what they hold, ``levels`` times."""
+    listed = ", ".join(f"'{k}'" for k in J.PAYLOAD_KEYS)
+    for level in range(first, first + levels):
+        df = df.selectExpr("*", f"explode_outer({_CHILDREN}) as c").selectExpr(
+            f"`{report_id}`",
+            "signal_idx",
+            "if(c is null, path, array_append(path, coalesce(c.key, cast(c.pos as string)))) as path",
+            "if(c is null, key, c.key) as key",
+            f"if(c is null, depth, {level}) as depth",
+            "if(c is null, in_array, c.key is null) as in_array",
+            "if(c is null, under_listed, c.key is null and not in_array"
+            f" and coalesce(key in ({listed}), false)) as under_listed",
+            "if(c is null, value, c.value) as value",
+        )
+    return df
+
+
 def evidence_leaves(
-    reports: DataFrame, report_id: str, body: str = "body", levels: int = 14
+    reports: DataFrame, report_id: str, body: str = "body", step: int = 14
 ) -> DataFrame:
-    """Scalar values of all evidence, one row each.
+    """Scalar values of all evidence, one row each, however deep they lie.
 
     ``depth`` is the depth of the container a value sits in, evidence being 0.
-    One generator per level and no union, so the source is read once.  What
-    lies deeper than ``levels`` comes as one row holding the whole subtree.
+    A pass goes down ``step`` levels with one generator each and no union; what is
+    still a container then, and nothing else, goes through another pass.
     """
     doc = F.try_parse_json(F.col(body))
     df = reports.select(
@@ -109,7 +127,7 @@ def evidence_leaves(
         ),
     )
     evidence = F.try_variant_get(F.col("signal"), "$.evidence", "variant")
-    df = df.select(
+    open_ = df.select(
         report_id,
         "signal_idx",
         F.array().cast("array<string>").alias("path"),
@@ -119,19 +137,17 @@ def evidence_leaves(
         F.lit(False).alias("under_listed"),
         evidence.alias("value"),
     )
-    listed = ", ".join(f"'{k}'" for k in J.PAYLOAD_KEYS)
-    for level in range(levels):
-        df = df.selectExpr("*", f"explode_outer({_CHILDREN}) as c").selectExpr(
-            report_id,
-            "signal_idx",
-            "if(c is null, path, array_append(path, coalesce(c.key, cast(c.pos as string)))) as path",
-            "if(c is null, key, c.key) as key",
-            f"if(c is null, depth, {level}) as depth",
-            "if(c is null, in_array, c.key is null) as in_array",
-            "if(c is null, under_listed, c.key is null and not in_array"
-            f" and coalesce(key in ({listed}), false)) as under_listed",
-            "if(c is null, value, c.value) as value",
-        )
+    leaves, first = None, 0
+    while True:
+        rows = materialize(_descend(open_, report_id, first, step).withColumn("_open", F.expr(f"coalesce(size({_CHILDREN}), 0) > 0")))
+        found = _scalars(rows.where("NOT _open"), report_id)
+        leaves = found if leaves is None else leaves.unionByName(found)
+        open_, first = rows.where("_open").drop("_open"), first + step
+        if open_.isEmpty():
+            return leaves
+
+
+def _scalars(df: DataFrame, report_id: str) -> DataFrame:
     kind = F.schema_of_variant(F.col("value"))
     return (
         df.where("depth >= 0")

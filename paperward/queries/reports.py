@@ -456,14 +456,24 @@ _LEAVES = [
 ]
 
 
-@query(" UNION ALL ".join(
+# Levels of the one value of every other report without signals.
+_DEEP = 40
+
+
+@query(f"""SELECT doc_id, CAST(0 AS BIGINT) AS signal_idx, '{'/'.join(['k'] * _DEEP)}' AS path,
+        CAST({_DEEP - 1} AS BIGINT) AS depth, false AS in_array, 'STRING' AS type, 'deep-' || doc_id AS value
+        FROM documents WHERE doc_id % 12 = 0 UNION ALL """ + " UNION ALL ".join(
     f"""SELECT doc_id, CAST({s} AS BIGINT) AS signal_idx, '{p}' AS path,
         CAST({p.count('/')} AS BIGINT) AS depth, {'/' in p} AS in_array, '{t}' AS type, {v} AS value
         FROM documents WHERE doc_id % 6 = {k}"""
     for k, s, p, t, v in _LEAVES
 ))
 def leaf_flatten(spark, folder):
-    leaves = X.evidence_leaves(report_bodies(spark, folder), "doc_id")
+    nested = F.concat(
+        F.lit('{"signals":[{"evidence":' + '{"k":' * _DEEP + '"deep-'), "doc_id", F.lit('"' + "}" * _DEEP + "}]}")
+    )
+    body = F.when(F.col("doc_id") % 12 == 0, nested).otherwise(F.col("body"))
+    leaves = X.evidence_leaves(report_bodies(spark, folder).withColumn("body", body), "doc_id")
     return leaves.select(
         "doc_id",
         F.col("signal_idx").cast("bigint").alias("signal_idx"),

@@ -260,6 +260,16 @@ def test_leaves_of_awkward_containers(spark):
     }
 
 
+@pytest.mark.parametrize("step", [1, 3, 14])
+def test_leaves_of_any_depth(spark, step):
+    bodies = [_signal({"k": nest(n, "x")}) for n in (0, 13, 14, 15, 43, 200)] + ["{}", _signal([1]), _signal("x")]
+    rows = [(r["i"], len(r["path"]), r["depth"]) for r in X.evidence_leaves(_bodies(spark, bodies[:4]), "i", step=step).collect()]
+    assert sorted(rows) == [(i, n + 1, n) for i, n in enumerate((0, 13, 14, 15))]
+    if step == 14:
+        rows = [(r["i"], len(r["path"]), r["depth"]) for r in X.evidence_leaves(_bodies(spark, bodies), "i").collect()]
+        assert sorted(rows) == [(i, n + 1, n) for i, n in enumerate((0, 13, 14, 15, 43, 200))] + [(7, 1, 0)]
+
+
 # -- report columns ---------------------------------------------------------
 
 
