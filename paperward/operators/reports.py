@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -136,3 +138,45 @@ def triage_costs(reports: DataFrame, *by: str, report: str = "report") -> DataFr
         ).alias("ratio"),
         F.sum(F.coalesce(families, F.lit(0))).cast("bigint").alias("suppressed_families"),
     )
+
+
+#: Size of a quantile sketch.  Up to as many values it is exact; beyond, the rank of an
+#: answer is off by less than ``RANK_ERROR`` of the values, with 99 % confidence.
+SKETCH_K = 4096
+RANK_ERROR = 0.002
+
+
+def cost_sketches(reports: DataFrame, *by: str, report: str = "report", k: int = SKETCH_K) -> DataFrame:
+    """Mergeable quantile sketches of the costs of a group: bytes read, and expansion ratio.
+
+    Rows (by, reports, bytes_sketch, ratio_sketch), some 50 kB a group at most, combined
+    before the shuffle.  Take a day or an hour into ``by`` and keep them: sketches of any
+    periods are put together by :func:`cost_percentiles`.  Reports without a cost count
+    as reports and are in no sketch.
+    """
+    cost = F.col(report)["cost"]
+    return reports.groupBy(*by).agg(
+        F.count("*").alias("reports"),
+        F.kll_sketch_agg_bigint(cost["physical_bytes"], F.lit(k)).alias("bytes_sketch"),
+        F.kll_sketch_agg_double(cost["expansion_ratio"].try_cast("double"), F.lit(k)).alias("ratio_sketch"),
+    )
+
+
+def cost_percentiles(
+    sketches: DataFrame, *by: str, shares: Sequence[float] = (0.5, 0.9, 0.99), k: int = SKETCH_K
+) -> DataFrame:
+    """Percentiles of costs over all sketches of a group: rows (by, reports, physical_bytes, ratio).
+
+    Each is an array, one value for each of ``shares``: the smallest value that so many
+    of the values don't exceed; null where no report has the cost.
+    """
+    asked = F.array(*[F.lit(float(s)) for s in shares])
+    merged = sketches.groupBy(*by).agg(
+        F.sum("reports").alias("reports"),
+        F.kll_merge_agg_bigint("bytes_sketch", F.lit(k)).alias("_b"), F.kll_merge_agg_double("ratio_sketch", F.lit(k)).alias("_r"),
+    )
+    return merged.select(
+        *by, "reports",
+        F.when(F.kll_sketch_get_n_bigint("_b") > 0, F.kll_sketch_get_quantile_bigint("_b", asked)).alias("physical_bytes"),
+        F.when(F.kll_sketch_get_n_double("_r") > 0, F.kll_sketch_get_quantile_double("_r", asked)).alias("ratio"),
+    )

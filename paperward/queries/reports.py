@@ -312,6 +312,33 @@ def triage_cost(spark, folder):
     return O.triage_costs(_views(spark, folder), "source", report="r")
 
 
+def _percentiles_sql(value: str) -> str:
+    """Smallest values that the given shares of the values don't exceed."""
+    ranked = f"""(SELECT source, {value} AS v, row_number() OVER (PARTITION BY source ORDER BY {value}) AS r,
+        count(*) OVER (PARTITION BY source) AS n FROM base WHERE {value} IS NOT NULL)"""
+    picks = ", ".join(f"min(v) FILTER (r >= {s} * n) AS p{i}" for i, s in enumerate((0.5, 0.9, 0.99)))
+    return f"(SELECT source, {picks} FROM {ranked} GROUP BY source)"
+
+
+@query(f"""WITH {_BASE}
+    SELECT source, reports, CAST(b.p0 AS BIGINT) AS bytes_50, CAST(b.p1 AS BIGINT) AS bytes_90, CAST(b.p2 AS BIGINT) AS bytes_99,
+           CAST(r.p0 AS DOUBLE) AS ratio_50, CAST(r.p1 AS DOUBLE) AS ratio_90, CAST(r.p2 AS DOUBLE) AS ratio_99
+    FROM (SELECT source, count(*) AS reports FROM base GROUP BY source)
+    LEFT JOIN {_percentiles_sql('physical')} b USING (source) LEFT JOIN {_percentiles_sql('ratio')} r USING (source)
+""")
+def triage_percentiles(spark, folder):
+    """Costs of a source from the sketches of its days.
+
+    Sources have fewer reports than a sketch holds up to sf0.1, so answers are exact; a
+    test measures the error beyond.
+    """
+    days = _views(spark, folder).withColumn("day", F.col("doc_id") % 7)
+    merged = O.cost_percentiles(O.cost_sketches(days, "source", "day", report="r"), "source")
+    names = [f"{c}_{s}" for c in ("bytes", "ratio") for s in (50, 90, 99)]
+    values = [F.get(c, F.lit(i)) for c in ("physical_bytes", "ratio") for i in range(3)]
+    return merged.select("source", "reports", *[v.alias(n) for v, n in zip(values, names)])
+
+
 # -- redaction --------------------------------------------------------------
 
 

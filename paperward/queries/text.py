@@ -261,6 +261,29 @@ def injection_rates(spark, folder):
     return rates.withColumn("lexicon_version", F.col("lexicon_version").cast("bigint"))
 
 
+@query(f"""
+    WITH {S.classified('documents', 'doc_id', _DOC)},
+    flat AS (SELECT CASE WHEN d.doc_id % 17 <> 0 THEN d.source END AS source, CASE WHEN d.doc_id % 13 <> 0 THEN d.lang END AS lang,
+                    confidence, {S.flags('v')} AS f
+             FROM matched JOIN documents d ON matched.doc_id = d.doc_id)
+    SELECT CAST(1 AS BIGINT) AS lexicon_version, source, lang, CAST(grouping_id(source, lang) AS BIGINT) AS totals,
+           count(*) AS fields, count(confidence) AS findings,
+           count(*) FILTER (confidence = 'confident') AS confident,
+           count(*) FILTER (confidence = 'tentative') AS tentative,
+           count(*) FILTER (confidence IS NOT NULL AND f <> '') AS obfuscated,
+           count(confidence) / count(*) AS rate
+    FROM flat GROUP BY ROLLUP (source, lang)
+""")
+def injection_rates_rollup(spark, folder):
+    """Sources and languages with totals; some keys are null."""
+    key = F.col("doc_id")
+    docs = P.planted_documents(spark, folder).withColumns({
+        "source": F.when(key % 17 != 0, F.col("source")), "lang": F.when(key % 13 != 0, F.col("lang"))
+    })
+    rates = A.injection_rates_rollup(K.with_match(docs, "value"), "source", "lang")
+    return rates.withColumn("lexicon_version", F.col("lexicon_version").cast("bigint"))
+
+
 @query(f"""
     WITH {S.classified('documents', 'doc_id', _DOC)}
     SELECT d.source, category, count(*) AS findings

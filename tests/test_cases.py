@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from paperward.operators import cases as K
 from paperward.operators import compare as M
 from paperward.operators import metering as B
-from paperward.operators.rates import category_counts, injection_rates
+from paperward.operators import reports as O
+from paperward.operators.rates import category_counts, injection_rates, injection_rates_rollup
 from paperward.plans.shape import materialize
 
 DOC = (
@@ -317,3 +318,37 @@ def test_rates(spark):
     assert (en["fields"], en["findings"], en["confident"], en["tentative"], en["obfuscated"]) == (3, 2, 1, 1, 1)
     assert out["de"]["rate"] == 0.0 and en["lexicon_version"] == 1
     assert {(r["category"], r["findings"]) for r in category_counts(df, "lang").collect()} == {("a", 2), ("b", 1)}
+
+
+def test_rates_with_totals(spark):
+    match = (["a"], "confident", [])
+    df = spark.createDataFrame(
+        [("s", "en", match), ("s", None, None), (None, "en", match), (None, None, match)],
+        "source string, lang string, match struct<categories array<string>, confidence string, obfuscation array<string>>",
+    )
+    out = {(r["source"], r["lang"], r["totals"]): (r["fields"], r["findings"]) for r in injection_rates_rollup(df, "source", "lang").collect()}
+    assert out == {
+        ("s", "en", 0): (1, 1), ("s", None, 0): (1, 0), (None, "en", 0): (1, 1), (None, None, 0): (1, 1),
+        ("s", None, 1): (2, 1), (None, None, 1): (2, 2), (None, None, 3): (4, 3),
+    }
+
+
+def test_percentiles_of_days(spark):
+    """Merged sketches of days stay within the stated error of the exact ranks."""
+    n = 200_000
+    df = spark.range(n).selectExpr(
+        "id % 9 AS day", "if(id % 10 = 0, 'b', 'a') AS source",
+        "struct(struct(pmod(xxhash64(id), 1000003) AS physical_bytes, cast(pmod(hash(id), 997) AS double) AS expansion_ratio) AS cost) AS report",
+    )
+    df = df.unionByName(spark.sql("SELECT 1L AS day, 'none' AS source, struct(struct(cast(null AS bigint) AS physical_bytes, cast(null AS double) AS expansion_ratio) AS cost) AS report"))
+    sketches = O.cost_sketches(df, "source", "day")
+    assert sketches.where("octet_length(bytes_sketch) > 200000").count() == 0
+    got = {r["source"]: r for r in O.cost_percentiles(sketches, "source", shares=(0.1, 0.5, 0.99)).collect()}
+    assert got["none"]["physical_bytes"] is None and got["none"]["reports"] == 1
+    for source in "ab":
+        mine = df.where(F.col("source") == source).select("report.cost.*")
+        for column, answer in (("physical_bytes", got[source]["physical_bytes"]), ("expansion_ratio", got[source]["ratio"])):
+            total = got[source]["reports"]
+            for share, value in zip((0.1, 0.5, 0.99), answer):
+                below, upto = mine.agg(F.count_if(F.col(column) < value), F.count_if(F.col(column) <= value)).first()
+                assert below / total - O.RANK_ERROR <= share <= upto / total + O.RANK_ERROR
