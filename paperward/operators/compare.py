@@ -5,12 +5,13 @@ from __future__ import annotations
 import hashlib
 import sys
 
-import pyarrow as pa
+import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType
 
-from paperward.plans.shape import materialize
+from paperward.plans.shape import compute_once, materialize
 
 # Executors get the helper with the job; they need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -52,43 +53,63 @@ def relation_line(original_name: Column, candidate_name: Column, relation: Colum
     return F.concat(head, known.otherwise(F.coalesce(relation, F.lit("unknown"))))
 
 
-def _prefix_digests(batches):
-    """Hash of each file cut to each length asked for, in one pass over the file."""
-    for batch in batches:
-        ids, sizes, digests = [], [], []
-        for i, content, lengths in zip(*(c.to_pylist() for c in batch.columns)):
-            running, at, view = hashlib.sha256(), 0, memoryview(content)
-            for size in sorted(lengths):
-                running.update(view[at:size])
-                at = size
-                ids.append(i)
-                sizes.append(size)
-                digests.append(running.copy().hexdigest())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(ids, batch.schema.types[0]), pa.array(sizes, pa.int64()), pa.array(digests, pa.string())],
-            ["id", "size", "prefix"],
-        )
+#: Bytes of a block; what a prefix holds beyond its whole blocks is hashed for each length.
+BLOCK = 16384
+
+
+def _block_digests(content: Column, block: int) -> Column:
+    """Digest of each whole block, in order."""
+    whole = F.floor(F.octet_length(content) / block).cast("int")
+    places = F.filter(F.sequence(F.lit(0), whole), lambda i: i < whole)
+    return F.transform(places, lambda i: F.sha2(F.substring(content, i * block + 1, F.lit(block)), 256))
+
+
+@F.pandas_udf(ArrayType(StringType()))
+def _chains(digests: pd.Series) -> pd.Series:
+    """Digest of the first k digests, for each k from 0."""
+
+    def chain(items):
+        if items is None:
+            return None
+        running = hashlib.sha256()
+        out = [running.hexdigest()]
+        for item in items:
+            running.update(item.encode())
+            out.append(running.hexdigest())
+        return out
+
+    return digests.map(chain)
+
+
+def _composed(chain: Column, rest: Column) -> Column:
+    """Digest of a prefix: that of its whole blocks' digests, and the bytes beyond them."""
+    return F.sha2(F.concat(chain.cast("binary"), rest), 256)
 
 
-def relate(pairs: DataFrame, originals: DataFrame, candidates: DataFrame) -> DataFrame:
+def relate(pairs: DataFrame, originals: DataFrame, candidates: DataFrame, block: int = BLOCK) -> DataFrame:
     """Relation of each ``(pair_id, original_id, candidate_id)``.
 
     Documents are ``(id, content BINARY)``, one row for each id; ``length`` and
-    ``sha256`` are used if the tables carry them.  Pairs meet digests and
-    lengths, not files.  Only where lengths differ does the longer file travel
-    once, to be hashed over all the lengths that its pairs ask for.  The narrow
-    pair table is checkpointed between the two steps, so nothing is hashed again
-    for the second.  Plain left joins, which adaptive execution splits where one
-    document stands in much of the pairs.
+    ``sha256`` are used if the tables carry them.  Pairs meet digests and lengths, not
+    files.  The digest of a prefix is made of the digests of its whole blocks and of the
+    few bytes beyond, so the longer file of a pair is cut into blocks, each hashed once,
+    and a length asked for meets only the block it ends in.  Lengths of one file, however
+    many, are spread over its blocks; none are collected.  Equal digests are SHA-256 over
+    SHA-256, as good as one.  The pair table is checkpointed between the steps.  Plain
+    left joins, which adaptive execution splits where one document stands in much of the
+    pairs.  A pair with a document that isn't there is ``unknown``.
     """
 
     def digests(docs: DataFrame, side: str) -> DataFrame:
         length = F.octet_length("content").cast("bigint")
         digest = F.sha2("content", 256)
+        listed = F.array_join(_block_digests(F.col("content"), block), "")
+        rest = F.substring(F.col("content"), length.cast("int") - (length % block).cast("int") + 1, F.lit(block))
         return docs.select(
             F.col("id").alias(f"{side}_id"),
             (F.col("length") if "length" in docs.columns else length).alias(f"{side}_len"),
             (F.col("sha256") if "sha256" in docs.columns else digest).alias(f"{side}_sha"),
+            _composed(F.sha2(listed.cast("binary"), 256), rest).alias(f"{side}_own"),
         )
 
     known = materialize(
@@ -97,24 +118,27 @@ def relate(pairs: DataFrame, originals: DataFrame, candidates: DataFrame) -> Dat
     )
 
     def prefixes(docs: DataFrame, long: str, short: str) -> DataFrame:
-        # distinct lengths of one file: no more than it has bytes
-        asked = (
-            known.where(F.col(f"{long}_len") > F.col(f"{short}_len"))
-            .groupBy(F.col(f"{long}_id").alias("id"))
-            .agg(F.collect_set(f"{short}_len").alias("lengths"))
+        asked = known.where(F.col(f"{long}_len") > F.col(f"{short}_len")).select(
+            F.col(f"{long}_id").alias("id"), F.col(f"{short}_len").alias("size")
+        ).distinct()
+        asked = asked.withColumn("k", F.floor(F.col("size") / block).cast("int"))
+        long_docs = docs.select("id", "content").join(asked.select("id").distinct(), "id", "left_semi")
+        chained = compute_once(long_docs, "chains", _chains(_block_digests(F.col("content"), block)))
+        blocks = chained.select("id", "content", F.posexplode("chains").alias("k", "chain")).select(
+            "id", "k", "chain", F.substring(F.col("content"), F.col("k") * block + 1, F.lit(block)).alias("bytes")
         )
-        kind = docs.schema["id"].dataType.simpleString()
-        rows = docs.join(asked, "id").select("id", "content", "lengths")
-        return rows.mapInArrow(_prefix_digests, f"id {kind}, size long, prefix string").toDF(
-            f"{long}_id", f"{short}_len", f"{long}_prefix"
+        rest = F.substring(F.col("bytes"), F.lit(1), (F.col("size") % block).cast("int"))
+        return asked.join(blocks, ["id", "k"]).select(
+            F.col("id").alias(f"{long}_id"), F.col("size").alias(f"{short}_len"),
+            _composed(F.col("chain"), rest).alias(f"{long}_prefix"),
         )
 
     known = known.join(prefixes(candidates, "candidate", "original"), ["candidate_id", "original_len"], "left")
     known = known.join(prefixes(originals, "original", "candidate"), ["original_id", "candidate_len"], "left")
     relation = (
         F.when(F.col("original_sha") == F.col("candidate_sha"), IDENTICAL)
-        .when(F.col("candidate_prefix") == F.col("original_sha"), EXTENDS)
-        .when(F.col("original_prefix") == F.col("candidate_sha"), TRUNCATES)
+        .when(F.col("candidate_prefix") == F.col("original_own"), EXTENDS)
+        .when(F.col("original_prefix") == F.col("candidate_own"), TRUNCATES)
         .when(F.col("original_sha").isNotNull() & F.col("candidate_sha").isNotNull(), REWRITTEN)
         .otherwise("unknown")
     )

@@ -135,13 +135,14 @@ def test_random_cases_against_brute_force(spark):
 # -- comparisons ------------------------------------------------------------
 
 
-def test_relations(spark):
-    """Same answers whether keys count as hot or not, by row and by table."""
+@pytest.mark.parametrize("block", [1, 2, 3, M.BLOCK])
+def test_relations(spark, block):
+    """Same answers whatever a block holds, by row and by table."""
     contents = {1: b"abc", 2: b"abcdef", 3: b"", 4: b"xbc", 5: b"abc", 6: b"\xff\xfe", 7: b"\xff\xfe\x00"}
     docs = spark.createDataFrame(list(contents.items()), "id int, content binary")
     ids = [(100 * o + c, o, c) for o in contents for c in contents] + [(9999, 1, 99)]
     pairs = spark.createDataFrame(ids, "pair_id int, original_id int, candidate_id int")
-    out = {r["pair_id"]: r["relationship"] for r in M.relate(pairs, docs, docs).collect()}
+    out = {r["pair_id"]: r["relationship"] for r in M.relate(pairs, docs, docs, block).collect()}
 
     def brute(o, c):
         if o == c:
@@ -261,15 +262,32 @@ def test_tenant_matches(spark):
 
 
 def test_relations_of_one_document_asked_at_many_lengths(spark):
-    long = bytes(i * 31 % 251 for i in range(3000))
-    docs = [("t", long)] + [(f"d{n}", long[:n] if n % 2 else long[: n - 1] + b"\xff") for n in range(1, 400)]
-    pairs = [(n, "t", f"d{n}") for n in range(1, 400)]
-    out = M.relate(
-        spark.createDataFrame(pairs, "pair_id int, original_id string, candidate_id string"),
-        *[spark.createDataFrame(docs, "id string, content binary")] * 2,
-    )
-    want = {n: M.TRUNCATES if n % 2 else M.REWRITTEN for n, *_ in pairs}
-    assert {r["pair_id"]: r["relationship"] for r in out.collect()} == want
+    """No list of lengths is made, and the pairs of the document are many tasks' work."""
+    n = 3000
+    long = bytes(i * 31 % 251 for i in range(2 * n))
+    docs = [("t", long)] + [(f"d{i}", long[:i] if i % 2 else long[: i - 1] + b"\xff") for i in range(1, n)]
+    pairs = [(i, "t", f"d{i}") for i in range(1, n)]
+    conf = {
+        "spark.sql.shuffle.partitions": "16", "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = M.relate(
+            spark.createDataFrame(pairs, "pair_id int, original_id string, candidate_id string"),
+            *[spark.createDataFrame(docs, "id string, content binary")] * 2, 128,
+        )
+        rows = out.withColumn("p", F.spark_partition_id()).collect()
+        plan = out._jdf.queryExecution().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert {r["pair_id"]: r["relationship"] for r in rows} == {i: M.TRUNCATES if i % 2 else M.REWRITTEN for i, *_ in pairs}
+    sizes = [sum(r["p"] == p for r in rows) for p in {r["p"] for r in rows}]
+    assert len(sizes) >= 8 and max(sizes) <= 2 * len(rows) / len(sizes)
+    assert "collect_set" not in plan and "collect_list" not in plan
 
 
 @pytest.mark.parametrize("partitions", [16, 40])
