@@ -9,11 +9,14 @@ the shuffle, so no task ever holds a whole group.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperward.functions import reports as R
 from paperward.operators.redact import redact_reports
+from paperward.sources.intake import check_manifest
 
 # Case limits, finding codes, and the closing lines.
 MIN_DOCUMENTS, MAX_DOCUMENTS = 2, 10
@@ -266,3 +269,15 @@ def inspect_cases(documents: DataFrame, reports: DataFrame) -> DataFrame:
     cases = validate(assemble(documents)).transform(with_findings)
     lines = report_lines(documents, redact_reports(reports))
     return case_text(cases, lines)
+
+
+def inspect_case_files(files: DataFrame, reports: DataFrame, roots: Sequence[str] = ()) -> DataFrame:
+    """The answers about cases whose documents are still files of a manifest.
+
+    ``files (case_id, doc_idx, path, exists, is_file, length)``, with the further columns
+    of :func:`assemble` where known.  A file that the intake rules refuse refuses its
+    case, with the number of the document and the intake's message.
+    """
+    checked = check_manifest(files, roots)
+    documents = checked.withColumns({"bytes": F.col("length"), "load_error": F.col("message")})
+    return inspect_cases(documents, reports)

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType
 
+from paperward.operators.redact import redact_compare
 from paperward.plans.shape import compute_once, materialize
 
 # Executors get the helper with the job; they need not have this package.
@@ -145,6 +146,23 @@ def relate(pairs: DataFrame, originals: DataFrame, candidates: DataFrame, block:
     return known.select(*pairs.columns, relation.alias("relationship"))
 
 
+def compare_answers(
+    answers: DataFrame, body: str = "body", original: str = "original_name", candidate: str = "candidate_name"
+) -> DataFrame:
+    """The answer about each pair: its redacted compare body, ``relationship`` and ``line``.
+
+    The relation is the body's own if it is a string, else ``unknown``; a body that
+    can't be read is withheld and its relation unknown.  Both are taken from the redacted
+    body, so an instruction in its place doesn't get out either.
+    """
+    safe = redact_compare(answers, body)
+    doc = F.try_parse_json(F.col(body))
+    told = F.try_variant_get(doc, "$.relationship", "variant")
+    text = F.when(F.schema_of_variant(told) == "STRING", told.try_cast("string"))
+    safe = compute_once(safe, "relationship", F.coalesce(text, F.lit("unknown")))
+    return safe.withColumn("line", relation_line(F.col(original), F.col(candidate), F.col("relationship")))
+
+
 def field_diff(original: DataFrame, candidate: DataFrame) -> DataFrame:
     """Field-by-field diff of ``(pair_id, field, value)`` tables."""
     joined = original.withColumnRenamed("value", "original").withColumn(

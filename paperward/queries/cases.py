@@ -266,6 +266,41 @@ def case_answer(spark, folder):
     return K.inspect_cases(docs, _reports(docs)).drop("findings")
 
 
+_FILES = """files AS (SELECT doc_id // 3 AS case_id, doc_id % 3 AS doc_idx, doc_id,
+        CASE WHEN doc_id % 40 = 9 THEN 'rel/' WHEN doc_id % 30 = 11 THEN '/out/' ELSE '/in/' END || doc_id || '.pdf' AS path,
+        doc_id % 20 = 7 AS missing, doc_id % 20 = 13 AS folder,
+        CASE WHEN doc_id % 50 = 31 THEN 11534336 WHEN doc_id % 50 = 41 THEN 0 ELSE n_chars END AS length FROM documents),
+    told AS (SELECT *, CASE WHEN path NOT LIKE '/%' THEN 'path must be absolute, got "' || path || '"'
+        WHEN missing THEN 'no file at ' || path WHEN folder THEN path || ' is not a file'
+        WHEN length = 0 THEN path || ' is empty'
+        WHEN path LIKE '/out/%' THEN path || ' is outside the directories this server is allowed to read. Move the file into an allowed directory or send it by url.'
+        WHEN length > 10485760 THEN path || ' is 11.0 MB, over the 10 MB limit.' END AS error FROM files)"""
+
+
+@query(f"""WITH {_FILES},
+    per_case AS (SELECT case_id, count(*) AS n, min(CASE WHEN error IS NOT NULL THEN doc_idx END) AS failed,
+        min_by(error, doc_idx) FILTER (error IS NOT NULL) AS error,
+        string_agg('[' || doc_idx || '] ' || doc_id || '.pdf: not analysed (unsupported)', chr(10) ORDER BY doc_idx) AS body
+        FROM told GROUP BY case_id)
+    SELECT case_id, n NOT BETWEEN 2 AND 10 OR error IS NOT NULL AS refused, CASE
+        WHEN n NOT BETWEEN 2 AND 10 THEN 'a case takes 2 to 10 documents (paths and urls together); got ' || n || '. For one document, use inspect_document.'
+        WHEN error IS NOT NULL THEN 'document ' || failed || ': ' || error
+        ELSE body || chr(10) || 'Across the case: no inconsistencies between the documents. That is not proof they are independent or authentic.'
+        END AS text FROM per_case
+""")
+def case_from_files(spark, folder):
+    """Cases of three files each; some files are refused by the intake rules."""
+    key = F.col("doc_id")
+    lead = F.when(key % 40 == 9, "rel/").when(key % 30 == 11, "/out/").otherwise("/in/")
+    files = read_table(spark, folder, "documents").select(
+        F.floor(key / 3).alias("case_id"), (key % 3).alias("doc_idx"), F.concat(lead, key, F.lit(".pdf")).alias("path"),
+        (key % 20 != 7).alias("exists"), (key % 20 != 13).alias("is_file"),
+        F.when(key % 50 == 31, 11 << 20).when(key % 50 == 41, 0).otherwise(F.col("n_chars")).cast("bigint").alias("length"),
+    )
+    reports = files.select("case_id", "doc_idx", F.lit('{"error":"unsupported"}').alias("body"))
+    return K.inspect_case_files(files, reports, ["/in"]).drop("findings")
+
+
 @query("""
     WITH lists AS (SELECT doc_id, list_transform(range(doc_id % 4), lambda i: '/in/' || doc_id || '/' || i) AS paths,
         list_transform(range(doc_id % 3), lambda i: 'https://x.example/' || lang || i) AS urls FROM documents),

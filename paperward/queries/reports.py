@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paperward.functions import reports as R
+from paperward.operators import compare as M
 from paperward.operators import redact as X
 from paperward.operators import reports as O
 from paperward.plans.shape import materialize
 from paperward.queries import planted as P
 from paperward.queries import sqltext as S
 from paperward.queries.registry import registry
+from paperward.sources.tables import read_table
 
 QUERIES, ORACLES, query = registry()
 
@@ -483,6 +485,41 @@ _LEAVES = [
 ]
 
 
+# Relation in the body by ``doc_id % 8``, and what the answer says after both names.
+_TOLD = [
+    ('"identical"', "identical — the files are byte-identical — this is the only result that is a proof"),
+    ('"candidate-extends-original"', "candidate-extends-original — the candidate contains the original verbatim and appends revisions to it"),
+    ('"candidate-truncates-original"', "candidate-truncates-original — the candidate is a prefix of the original"),
+    ('"rewritten"', "rewritten — both files were written whole, so only a structural diff is possible"),
+    ('"merged"', "merged"),
+    ("7", "unknown"),
+    (f'"{_EARLIER}"', "[redacted]"),
+    ("null", "unknown"),
+]
+_TOLD_SQL = ", ".join(f"({i}, {S.lit(line)})" for i, (_, line) in enumerate(_TOLD))
+
+
+@query(f"""WITH told(i, said) AS (VALUES {_TOLD_SQL})
+    SELECT doc_id, split_part(said, ' — ', 1) AS relationship, lang || '.pdf vs ' || doc_id || '.pdf: ' || said AS line,
+           source AS original, CASE WHEN doc_id % 3 = 1 THEN '[redacted]' ELSE text END AS candidate, false AS leaked
+    FROM documents JOIN told ON i = doc_id % 8
+""")
+def compare_answer(spark, folder):
+    """Whole answers about pairs: body, relation and line, some with the relation told twice."""
+    told = P.pick(F.col("doc_id"), [raw for raw, _ in _TOLD])
+    # the relation that counts comes last, after one that may be there already
+    body = F.concat(F.substring("body", F.lit(1), F.length("body") - 1), F.lit(',"relationship":'), told, F.lit("}"))
+    docs = read_table(spark, folder, "documents").select(
+        "doc_id", F.concat("lang", F.lit(".pdf")).alias("original_name"), F.concat("doc_id", F.lit(".pdf")).alias("candidate_name")
+    )
+    rows = docs.join(compare_bodies(spark, folder).withColumn("body", body), "doc_id")
+    field = "$.metadata.fields[0]"
+    at = lambda path: F.try_variant_get(F.try_parse_json("body"), path, "string")
+    return M.compare_answers(rows).select(
+        "doc_id", "relationship", "line", at(f"{field}.original").alias("original"), at(f"{field}.candidate").alias("candidate"), _LEAKED
+    )
+
+
 # Levels of the one value of every other report without signals.
 _DEEP = 40
 
