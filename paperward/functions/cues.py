@@ -96,17 +96,22 @@ def cue_hits(normalized: Column, groups=None) -> Column:
     return F.array_sort(F.array_distinct(F.transform(found, lambda c: c["category"])))
 
 
-def imperative_address(normalized: Column) -> Column:
-    """Some clause opens with a listed verb, and a second person is named.
-
-    The verb test rejects nearly all text, so it runs first.
-    """
+def imperative_patterns() -> tuple[str, str]:
+    """Patterns of a clause that opens with a listed verb, and of a second person."""
     verbs = "|".join(dict.fromkeys(L.IMPERATIVE_VERBS))
     breaks = L.CLAUSE_BREAKS.replace("\n", r"\n")
     lead = L.CLAUSE_LEAD.replace("[", r"\[")
     opens = rf"(?:^|[{breaks}])[{lead}]*(?:{verbs})(?![a-z])"
     # spelled out, because \b counts non-ASCII letters as word characters
-    person = rf"(?<![A-Za-z0-9_])(?:{'|'.join(L.SECOND_PERSON)})(?![A-Za-z0-9_])"
+    return opens, rf"(?<![A-Za-z0-9_])(?:{'|'.join(L.SECOND_PERSON)})(?![A-Za-z0-9_])"
+
+
+def imperative_address(normalized: Column) -> Column:
+    """Some clause opens with a listed verb, and a second person is named.
+
+    The verb test rejects nearly all text, so it runs first.
+    """
+    opens, person = imperative_patterns()
     return normalized.rlike(opens) & normalized.rlike(person)
 
 

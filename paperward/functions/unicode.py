@@ -174,6 +174,11 @@ def unicode_forms(texts: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["nfkc", "plain"])
 
 
+@F.pandas_udf(StringType())
+def plain_forms(texts: pd.Series) -> pd.Series:
+    return texts.map(plain_form, na_action="ignore")
+
+
 @F.pandas_udf(StringType())
 def accentless(texts: pd.Series) -> pd.Series:
     return texts.map(strip_accents_of, na_action="ignore")

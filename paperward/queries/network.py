@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paperward.functions import net as N
+from paperward.functions import sql as names
 from paperward.operators import network as K
 from paperward.operators import ranges as G
 from paperward.queries import planted as P
@@ -233,6 +234,16 @@ def ip_block(spark, folder):
     return K.screen_addresses(_addresses(spark, folder)).select("event_id", "ip", "blocked")
 
 
+@query(f"WITH {_ADDRESSES_SQL} SELECT blocked, count(*) AS n, count(DISTINCT ip) AS ips FROM ips GROUP BY blocked")
+def sql_blocked_ip(spark, folder):
+    """The rule called by name from SQL text."""
+    names.register(spark)
+    return spark.sql(
+        "SELECT is_blocked_ip(ip) AS blocked, count(*) AS n, count(DISTINCT ip) AS ips FROM {ips} GROUP BY ALL",
+        ips=_addresses(spark, folder),
+    )
+
+
 _BARE = "regexp_replace(ip, '%.*$', '')"
 _ALLOWED_SQL = f"({', '.join(map(S.lit, ALLOWED))})"
 

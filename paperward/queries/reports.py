@@ -265,7 +265,7 @@ def inspect_answer(spark, folder):
     )
     return full.select(
         "doc_id", flag.alias("redacted"),
-        F.contains("line", F.lit("PROMPT-INJECTION MARKERS")).alias("announced"), _LEAKED,
+        F.contains("line", F.lit("PROMPT-INJECTION MARKERS")).alias("announced"), _leaked(),
     ).join(quick, "doc_id")
 
 
@@ -378,7 +378,9 @@ def with_repeated_keys(reports):
     return reports.withColumn("body", body)
 
 
-_LEAKED = F.contains(F.col("body"), F.lit("EARLIER")).alias("leaked")
+def _leaked():
+    return F.contains(F.col("body"), F.lit("EARLIER")).alias("leaked")
+
 
 _EVIDENCE_SQL = """SELECT doc_id,
     CASE WHEN doc_id % 6 = 2 THEN {payload} END AS payload,
@@ -411,7 +413,7 @@ def redact_recovered(spark, folder):
 @query(f"SELECT *, false AS leaked FROM ({_EVIDENCE_SQL.format(**{**_RAW, **_FIRST, **_SECOND})})")
 def redact_report(spark, folder):
     bodies = with_repeated_keys(report_bodies(spark, folder))
-    safe = X.redact_reports(bodies).select("doc_id", "body", _LEAKED)
+    safe = X.redact_reports(bodies).select("doc_id", "body", _leaked())
     return _evidence(safe, "leaked")
 
 
@@ -460,7 +462,7 @@ def redact_compare(spark, folder):
         at("$.metadata.fields[0].candidate").alias("candidate"),
         at("$.candidate.producer").alias("producer"),
         at("$.payloadRedacted").alias("redacted"),
-        _LEAKED,
+        _leaked(),
     )
 
 
@@ -516,7 +518,7 @@ def compare_answer(spark, folder):
     field = "$.metadata.fields[0]"
     at = lambda path: F.try_variant_get(F.try_parse_json("body"), path, "string")
     return M.compare_answers(rows).select(
-        "doc_id", "relationship", "line", at(f"{field}.original").alias("original"), at(f"{field}.candidate").alias("candidate"), _LEAKED
+        "doc_id", "relationship", "line", at(f"{field}.original").alias("original"), at(f"{field}.candidate").alias("candidate"), _leaked()
     )
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from paperward.functions import cues as C
+from paperward.functions import sql as names
 from paperward.functions import text as T
 from paperward.operators import classify as K
 from paperward.operators import rates as A
@@ -294,3 +295,32 @@ def injection_rates_rollup(spark, folder):
 def injection_categories(spark, folder):
     matched = K.with_match(P.planted_documents(spark, folder), "value")
     return A.category_counts(matched, "source")
+
+
+# -- the same rules called by name from SQL text ------------------------------
+
+
+@query(f"""
+    WITH src AS (SELECT doc_id, {_DOC} AS v FROM documents)
+    SELECT doc_id, {S.normalized('v')} AS normalized FROM src
+""")
+def sql_normalize_text(spark, folder):
+    names.register(spark)
+    return spark.sql(
+        "SELECT doc_id, normalize_text(value) AS normalized FROM {docs}", docs=P.planted_documents(spark, folder)
+    )
+
+
+@query(f"""
+    WITH {S.classified('documents', 'doc_id', _DOC)}
+    SELECT lang, confidence, categories, count(*) AS n
+    FROM matched JOIN documents USING (doc_id) WHERE confidence IS NOT NULL GROUP BY ALL
+""")
+def sql_classify_injection(spark, folder):
+    names.register(spark)
+    return spark.sql(
+        """SELECT lang, m.confidence, array_join(m.categories, ',') AS categories, count(*) AS n
+        FROM (SELECT lang, classify_injection(value) AS m FROM {docs})
+        WHERE m.confidence IS NOT NULL GROUP BY ALL""",
+        docs=P.planted_documents(spark, folder),
+    )

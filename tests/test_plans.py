@@ -95,3 +95,11 @@ def test_queries_and_checks_pair_up():
 def test_entry(spark):
     out = entry.entry(spark)
     assert out.columns[:2] == ["lexicon_version", "lang"] and out.count() == 4
+
+
+def test_sql_names_are_native(spark):
+    """Arrow is for the Unicode tail alone; addresses need none."""
+    plan = physical(entry.queries()["sql_classify_injection"](spark, FOLDER))
+    arrow = [line for line in plan.splitlines() if "EvalPython" in line]
+    assert arrow and all("ArrowEvalPython [paperward_plain_form(" in line for line in arrow)
+    assert "EvalPython" not in physical(entry.queries()["sql_blocked_ip"](spark, FOLDER))
