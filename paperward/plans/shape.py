@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,11 +13,17 @@ from pyspark.sql import functions as F
 def shared_folder(spark: SparkSession) -> str:
     """Folder all executors see, as ``spark.checkpoint.dir`` names it.
 
-    Only a session that names none, as in tests on one machine, gets a folder of its own.
+    Only a session on one machine that names none, as in tests, gets a folder of its own,
+    which goes when Python ends.  On a cluster a missing setting is an error: a local folder
+    of the driver is not where executors could write.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         folder = tempfile.mkdtemp(prefix="paperward-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 

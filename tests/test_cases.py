@@ -11,7 +11,7 @@ from paperward.operators import compare as M
 from paperward.operators import metering as B
 from paperward.operators import reports as O
 from paperward.operators.rates import category_counts, injection_rates, injection_rates_rollup
-from paperward.plans.shape import materialize
+from paperward.plans.shape import materialize, shared_folder
 
 DOC = (
     "case_id int, doc_idx int, name string, bytes bigint, sha256 string,"
@@ -335,6 +335,23 @@ def test_materialize_uses_the_shared_folder(spark):
     assert spark.sparkContext.getCheckpointDir().split(":")[-1].startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_a_cluster_needs_a_shared_folder():
+    """A stand-in for a session: no cluster is started for this."""
+
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Session:
+        conf = Conf()
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Session)
+
+
 def test_rates(spark):
     df = spark.createDataFrame(
         [("en", (["a", "b"], "confident", ["x"])), ("en", None), ("en", (["a"], "tentative", [])), ("de", None)],
