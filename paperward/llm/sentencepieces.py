@@ -11,9 +11,9 @@ are read field by field.  From them a tokenizer of the other library is rebuilt:
 
 No piece of a model that is split at spaces reaches over a space into the next word, so
 a text is cut before its spaces and each distinct part is encoded once: in batches, with
-the library's threads.  Each of these parts is encoded by the sentencepiece library as
-well, and ids that differ are replaced by its ids and counted; where runs of equal
-scores are merged in another order, the two libraries may differ.
+the library's threads.  The rebuilt tokenizer's ids are the answer.  Each distinct part is
+encoded by the sentencepiece library as well, and parts whose ids differ are counted for
+each text; no id is taken from there.
 
 Decoding lays the bytes of the pieces end to end, a space for each marker.
 """
@@ -167,15 +167,14 @@ class Codec:
         self.bytes, self.offsets = self.model.piece_bytes()
         self.differ: set[bytes] = set()
 
-    def _both(self, tokenizer, texts: list[str], prefixed: bool) -> list[list[int]]:
-        """Ids of the rebuilt tokenizer, put right where the other library's differ."""
+    def _checked(self, tokenizer, texts: list[str], prefixed: bool) -> list[list[int]]:
+        """Ids of the rebuilt tokenizer; parts for which the other library's differ are noted."""
         found = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
         # The library puts its own space in front, so a part goes in without the one it has.
         right = self.other.encode([t[1:] if prefixed else t for t in texts], num_threads=1)
         for i, (a, b) in enumerate(zip(found, right)):
             # One space is the prefix of an empty text, of which nothing is encoded.
             if a != b and not (prefixed and texts[i] == " "):
-                found[i] = b
                 self.differ.add(texts[i].encode())
         return found
 
@@ -184,7 +183,7 @@ class Codec:
         texts = [s.decode() for s in spans]
         out: list[list[int]] = [[]] * len(texts)
         opened = [i for i, t in enumerate(texts) if t.startswith(" ")]
-        for i, ids in zip(opened, self._both(self.part, [texts[i] for i in opened], True)):
+        for i, ids in zip(opened, self._checked(self.part, [texts[i] for i in opened], True)):
             out[i] = ids
         rest = [i for i, t in enumerate(texts) if not t.startswith(" ")]
         # After a line end no space may be put in front, which the other library always
@@ -193,10 +192,9 @@ class Codec:
         found = [e.ids for e in self.part.encode_batch([texts[i] for i in rest], add_special_tokens=False)]
         right = self.other.encode(["\n" + texts[i] for i in rest], num_threads=1)
         for i, a, b in zip(rest, found, right):
-            b = b[len(lead) :]
-            if a != b:
+            if a != b[len(lead) :]:
                 self.differ.add(spans[i])
-            out[i] = b
+            out[i] = a
         return flat(out)
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -232,7 +230,7 @@ class Codec:
                 if a and t:
                     before = len(self.differ)
                     self.differ.discard(t)
-                    split[i] = np.array(self._both(self.whole, [t.decode()], False)[0], np.int32)
+                    split[i] = np.array(self._checked(self.whole, [t.decode()], False)[0], np.int32)
                     differ[i] = t in self.differ
                     self.differ.discard(t)
             ids = np.concatenate(split)
@@ -250,13 +248,13 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
 
     Gives doc_id, n_bytes, n_tokens, n_bytes_fallback (ids of single bytes), ids_crc32
     (unsigned, ids as little-endian unsigned 32-bit numbers), ids, ``round_trip`` (the
-    ids decode to the text again) and ``n_corrected`` (parts for which the rebuilt
-    tokenizer and the sentencepiece library differ; the latter's ids are given).  A null
+    ids decode to the text again) and ``n_unlike`` (parts for which the sentencepiece
+    library gives other ids than the rebuilt tokenizer, whose ids these are).  A null
     or empty text has no ids.  Null and repeated ids stay as they are; other columns are
     left out; no rows give no rows.
     """
     tune(docs.sparkSession)
-    names = ["doc_id", "n_bytes", "n_tokens", "n_byte_tokens", "ids_crc32", "ids", "round_trip", "n_corrected"]
+    names = ["doc_id", "n_bytes", "n_tokens", "n_byte_tokens", "ids_crc32", "ids", "round_trip", "n_unlike"]
 
     def run(batches):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "true")
@@ -286,5 +284,5 @@ def encode_documents(docs: DataFrame, path: str) -> DataFrame:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8().alias("text"))
     return rows.mapInArrow(
         lean(run), "doc_id long, n_bytes long, n_tokens long, n_byte_tokens long, ids_crc32 long, ids array<int>,"
-        " round_trip boolean, n_corrected long",
+        " round_trip boolean, n_unlike long",
     )

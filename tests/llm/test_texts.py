@@ -357,7 +357,7 @@ def test_sentencepieces(spark):
         assert r["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())
         assert r["n_byte_tokens"] == sum(other.is_byte(i) for i in ids)
         assert r["round_trip"] == ("▁" not in (t or ""))
-    assert sum(r["n_corrected"] for r in got) == 0
+    assert sum(r["n_unlike"] for r in got) == 0
     assert sentencepieces.encode_documents(frame(spark, []), PIECES).count() == 0
 
 
