@@ -18,8 +18,8 @@ chi-square law is rejected.
   form of the estimator, whose steps lower the determinant of the regularised covariance;
   as the share is cut at a step of distance, not at a row, a determinant may also rise a
   little, and then the model before it stays.
-* A step is one pass with sums per group and step of distance, which are combined before
-  the shuffle; models are attached by a salted join, so a large group is many tasks' work.
+* A step is two passes where the rows stand, one that counts steps of distance and one
+  that sums; only counts and sums are shuffled, combined before.
 * A group of fewer than ``LEAST`` rows is judged with the other small groups of its
   language, and if they are too few, with all such; fewer than that have no verdict.
 """
@@ -57,6 +57,8 @@ STEPS = 12
 #: A determinant stands still when its logarithm falls by less.
 STILL = 1e-6
 STARTS = 3
+#: Models that are broadcast at most: 8 MB.
+MODELS = 20_000
 CUT = 0.9999
 LEAST = 50
 
@@ -219,9 +221,20 @@ def _aggregates(p: int) -> list[Column]:
     return [F.count("*").alias("n"), *[F.expr(f"sum({v}) AS {k}") for k, v in _sums(p).items()]]
 
 
+def _with_model(rows: DataFrame, model: DataFrame, keys: list[str]) -> DataFrame:
+    """Each row with the model of its group.
+
+    A model has some 400 bytes, so up to ``MODELS`` of them are broadcast; more are
+    attached by a salted join, so that a large group is many tasks' work.
+    """
+    if model.count() <= MODELS:
+        return rows.join(F.broadcast(model.drop("size")), keys)
+    return attach(rows, model, keys, "size", ["x"])
+
+
 def _other_starts(rows: DataFrame, quartiles: DataFrame, p: int) -> DataFrame:
     """Sums of all rows, and of the half with the most words."""
-    met = attach(rows, quartiles.drop("start"), ["est"], "size", ["x"]).where("m IS NOT NULL")
+    met = _with_model(rows, quartiles.drop("start"), ["est"])
     longer = F.expr(f"x[0] >= m[0] * {GRID}D")
     start = F.explode(F.when(longer, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("start")
     sums = met.select("est", "x", start).groupBy("est", "start").agg(*_aggregates(p))
@@ -229,20 +242,18 @@ def _other_starts(rows: DataFrame, quartiles: DataFrame, p: int) -> DataFrame:
 
 
 def _nearest_sums(rows: DataFrame, model: DataFrame, support: float, p: int) -> DataFrame:
-    """Sums over the rows within the smallest step of distance that holds ``support`` of their group.
-
-    Sums are taken per step of distance; the steps of a group, a few thousand at most, are
-    then cut and added up.
-    """
+    """Sums over the rows within the smallest step of distance that holds ``support`` of their group."""
     far = F.floor(F.log2(distance() + 1) * 64)
     rows = rows.select("est", "x", F.explode(F.array(*map(F.lit, range(STARTS)))).alias("start"))
-    rows = attach(rows, model, ["est", "start"], "size", ["x"]).withColumn("far", far)
-    steps = rows.groupBy("est", "start", "far").agg(*_aggregates(p))
-    group = Window.partitionBy("est", "start")
-    before = F.sum("n").over(group.orderBy("far").rowsBetween(Window.unboundedPreceding, -1))
-    steps = steps.withColumns({"_before": F.coalesce(before, F.lit(0)), "size": F.sum("n").over(group)})
-    inside = steps.where(F.col("_before") < F.col("size") * support)
-    return inside.groupBy("est", "start").agg(F.max("size").alias("size"), *[F.sum(c).alias(c) for c in ("n", *_sums(p))])
+    steps = _with_model(rows, model, ["est", "start"]).groupBy("est", "start", far.alias("far")).agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.partitionBy("est", "start").orderBy("far"))
+    total = F.sum("n").over(Window.partitionBy("est", "start"))
+    edge = steps.select("est", "start", "far", (upto >= total * support).alias("in")).where("in")
+    edge = edge.groupBy("est", "start").agg(F.min("far").alias("edge"))
+    model = materialize(model.join(edge, ["est", "start"]))
+    inside = _with_model(rows, model, ["est", "start"]).where(far <= F.col("edge"))
+    sums = inside.groupBy("est", "start").agg(*_aggregates(p))
+    return sums.join(model.select("est", "start", "size"), ["est", "start"])
 
 
 def search(rows: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
