@@ -221,37 +221,37 @@ def _aggregates(p: int) -> list[Column]:
     return [F.count("*").alias("n"), *[F.expr(f"sum({v}) AS {k}") for k, v in _sums(p).items()]]
 
 
-def _with_model(rows: DataFrame, model: DataFrame, keys: list[str]) -> DataFrame:
+def _with_model(rows: DataFrame, model: DataFrame, keys: list[str], few: bool) -> DataFrame:
     """Each row with the model of its group.
 
-    A model has some 400 bytes, so up to ``MODELS`` of them are broadcast; more are
-    attached by a salted join, so that a large group is many tasks' work.
+    A model has some 400 bytes, so up to ``MODELS`` of them, ``few``, are broadcast; more
+    are attached by a salted join, so that a large group is many tasks' work.
     """
-    if model.count() <= MODELS:
+    if few:
         return rows.join(F.broadcast(model.drop("size")), keys)
     return attach(rows, model, keys, "size", ["x"])
 
 
-def _other_starts(rows: DataFrame, quartiles: DataFrame, p: int) -> DataFrame:
+def _other_starts(rows: DataFrame, quartiles: DataFrame, p: int, few: bool) -> DataFrame:
     """Sums of all rows, and of the half with the most words."""
-    met = _with_model(rows, quartiles.drop("start"), ["est"])
+    met = _with_model(rows, quartiles.drop("start"), ["est"], few)
     longer = F.expr(f"x[0] >= m[0] * {GRID}D")
     start = F.explode(F.when(longer, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("start")
     sums = met.select("est", "x", start).groupBy("est", "start").agg(*_aggregates(p))
     return sums.join(quartiles.select("est", "size"), "est")
 
 
-def _nearest_sums(rows: DataFrame, model: DataFrame, support: float, p: int) -> DataFrame:
+def _nearest_sums(rows: DataFrame, model: DataFrame, support: float, p: int, few: bool) -> DataFrame:
     """Sums over the rows within the smallest step of distance that holds ``support`` of their group."""
     far = F.floor(F.log2(distance() + 1) * 64)
     rows = rows.select("est", "x", F.explode(F.array(*map(F.lit, range(STARTS)))).alias("start"))
-    steps = _with_model(rows, model, ["est", "start"]).groupBy("est", "start", far.alias("far")).agg(F.count("*").alias("n"))
+    steps = _with_model(rows, model, ["est", "start"], few).groupBy("est", "start", far.alias("far")).agg(F.count("*").alias("n"))
     upto = F.sum("n").over(Window.partitionBy("est", "start").orderBy("far"))
     total = F.sum("n").over(Window.partitionBy("est", "start"))
     edge = steps.select("est", "start", "far", (upto >= total * support).alias("in")).where("in")
     edge = edge.groupBy("est", "start").agg(F.min("far").alias("edge"))
     model = materialize(model.join(edge, ["est", "start"]))
-    inside = _with_model(rows, model, ["est", "start"]).where(far <= F.col("edge"))
+    inside = _with_model(rows, model, ["est", "start"], few).where(far <= F.col("edge"))
     sums = inside.groupBy("est", "start").agg(*_aggregates(p))
     return sums.join(model.select("est", "start", "size"), ["est", "start"])
 
@@ -261,11 +261,12 @@ def search(rows: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> Dat
     p = len(STATISTICS)
     consistent = support / chi_square(chi_square_point(support, p), p + 2)
     quartiles = materialize(_quartiles(rows, p))
-    model = quartiles.unionByName(_model(_other_starts(rows, quartiles, p), 1.0, p))
+    few = quartiles.count() * STARTS <= MODELS
+    model = quartiles.unionByName(_model(_other_starts(rows, quartiles, p, few), 1.0, p))
     model = materialize(model)
-    best = materialize(_model(_nearest_sums(rows, model, support, p), consistent, p))
+    best = materialize(_model(_nearest_sums(rows, model, support, p, few), consistent, p))
     for _ in range(steps - 1):
-        model = _model(_nearest_sums(rows, best, support, p), consistent, p)
+        model = _model(_nearest_sums(rows, best, support, p, few), consistent, p)
         old = best.select("est", "start", F.col("m").alias("_m"), F.col("q").alias("_q"), F.col("logdet").alias("_logdet"))
         falls = F.col("logdet") < F.col("_logdet") - STILL
         both = materialize(model.join(old, ["est", "start"]).withColumn("_falls", falls))
@@ -332,8 +333,8 @@ def quality_rules(docs: DataFrame, cut: float = CUT) -> DataFrame:
 def keep_good(docs: DataFrame, cut: float = CUT) -> DataFrame:
     """The rows of ``docs`` that are kept, with all their columns.
 
-    Counting twice moves less than writing the texts again would.
+    Rows are written with their counts, so that nothing is counted twice.
     """
-    models = materialize(estimates(materialize(with_counts(docs.select("text", "lang", "source")).select("lang", "source", "x"))))
     whole = docs.select(F.struct("*").alias("_doc"), "text", "lang", "source")
-    return judge(with_counts(whole), models, cut).where("kept").select("_doc.*")
+    counted = materialize(with_counts(whole).select("_doc", "lang", "source", "x", "base_failed"))
+    return judge(counted, materialize(estimates(counted)), cut).where("kept").select("_doc.*")
