@@ -3,8 +3,7 @@
 Each text gives counts (words, their characters, symbols, repeated lines and word runs)
 and from them a vector of transformed statistics.  For every language and source the
 minimum covariance determinant tells where the vectors of most texts lie.  The search has
-three starts: medians and quartiles, mean and covariance of all rows, and those of the
-longer half of the texts.  From each, a step takes the ``SUPPORT`` share of rows that are
+two starts: medians and quartiles, and mean and covariance of all rows.  From each, a step takes the ``SUPPORT`` share of rows that are
 nearest by Mahalanobis distance and their mean and covariance anew, until no determinant
 falls any more or ``STEPS`` steps are done; of all models of a group the one with the
 smallest determinant is taken.  A text whose distance passes the ``CUT`` quantile of the
@@ -18,8 +17,8 @@ chi-square law is rejected.
   form of the estimator, whose steps lower the determinant of the regularised covariance;
   as the share is cut at a step of distance, not at a row, a determinant may also rise a
   little, and then the model before it stays.
-* A step is two passes where the rows stand, one that counts steps of distance and one
-  that sums; only counts and sums are shuffled, combined before.
+* A step is one pass where the rows stand; only sums per group and step of distance are
+  shuffled, combined before.
 * A group of fewer than ``LEAST`` rows is judged with the other small groups of its
   language, and if they are too few, with all such; fewer than that have no verdict.
 """
@@ -53,10 +52,10 @@ TOLERANCE = {
 STATISTICS = tuple(TOLERANCE)
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 SUPPORT = 0.75
-STEPS = 12
+STEPS = 8
 #: A determinant stands still when its logarithm falls by less.
-STILL = 1e-6
-STARTS = 3
+STILL = 1e-3
+STARTS = 2
 #: Models that are broadcast at most: 8 MB.
 MODELS = 20_000
 CUT = 0.9999
@@ -232,28 +231,21 @@ def _with_model(rows: DataFrame, model: DataFrame, keys: list[str], few: bool) -
     return attach(rows, model, keys, "size", ["x"])
 
 
-def _other_starts(rows: DataFrame, quartiles: DataFrame, p: int, few: bool) -> DataFrame:
-    """Sums of all rows, and of the half with the most words."""
-    met = _with_model(rows, quartiles.drop("start"), ["est"], few)
-    longer = F.expr(f"x[0] >= m[0] * {GRID}D")
-    start = F.explode(F.when(longer, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("start")
-    sums = met.select("est", "x", start).groupBy("est", "start").agg(*_aggregates(p))
-    return sums.join(quartiles.select("est", "size"), "est")
-
-
 def _nearest_sums(rows: DataFrame, model: DataFrame, support: float, p: int, few: bool) -> DataFrame:
-    """Sums over the rows within the smallest step of distance that holds ``support`` of their group."""
+    """Sums over the rows within the smallest step of distance that holds ``support`` of their group.
+
+    Sums are taken per step of distance; the steps of a group, a few thousand at most, are
+    then cut and added up.
+    """
     far = F.floor(F.log2(distance() + 1) * 64)
     rows = rows.select("est", "x", F.explode(F.array(*map(F.lit, range(STARTS)))).alias("start"))
-    steps = _with_model(rows, model, ["est", "start"], few).groupBy("est", "start", far.alias("far")).agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(Window.partitionBy("est", "start").orderBy("far"))
-    total = F.sum("n").over(Window.partitionBy("est", "start"))
-    edge = steps.select("est", "start", "far", (upto >= total * support).alias("in")).where("in")
-    edge = edge.groupBy("est", "start").agg(F.min("far").alias("edge"))
-    model = materialize(model.join(edge, ["est", "start"]))
-    inside = _with_model(rows, model, ["est", "start"], few).where(far <= F.col("edge"))
-    sums = inside.groupBy("est", "start").agg(*_aggregates(p))
-    return sums.join(model.select("est", "start", "size"), ["est", "start"])
+    rows = _with_model(rows, model, ["est", "start"], few).withColumn("far", far)
+    steps = rows.groupBy("est", "start", "far").agg(*_aggregates(p))
+    group = Window.partitionBy("est", "start")
+    before = F.sum("n").over(group.orderBy("far").rowsBetween(Window.unboundedPreceding, -1))
+    steps = steps.withColumns({"_before": F.coalesce(before, F.lit(0)), "size": F.sum("n").over(group)})
+    inside = steps.where(F.col("_before") < F.col("size") * support)
+    return inside.groupBy("est", "start").agg(F.max("size").alias("size"), *[F.sum(c).alias(c) for c in ("n", *_sums(p))])
 
 
 def search(rows: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> DataFrame:
@@ -262,7 +254,8 @@ def search(rows: DataFrame, support: float = SUPPORT, steps: int = STEPS) -> Dat
     consistent = support / chi_square(chi_square_point(support, p), p + 2)
     quartiles = materialize(_quartiles(rows, p))
     few = quartiles.count() * STARTS <= MODELS
-    model = quartiles.unionByName(_model(_other_starts(rows, quartiles, p, few), 1.0, p))
+    whole = rows.groupBy("est").agg(*_aggregates(p)).withColumns({"start": F.lit(1), "size": F.col("n")})
+    model = quartiles.unionByName(_model(whole, 1.0, p))
     model = materialize(model)
     best = materialize(_model(_nearest_sums(rows, model, support, p, few), consistent, p))
     for _ in range(steps - 1):

@@ -89,12 +89,12 @@ def plain_search(rows, p):
 
     m = np.array([point(c, 0.5) for c in x.T])
     sd = np.array([(point(c, 0.75) - point(c, 0.25)) / 1.349 for c in x.T])
-    starts = [(m, np.diag(sd**2) + floor), moments(x, 1.0), moments(x[x[:, 0] >= m[0]], 1.0)]
+    starts = [(m, np.diag(sd**2) + floor), moments(x, 1.0)]
     inside = quality.chi_square_point(quality.SUPPORT, p)
     scale = quality.SUPPORT / quality.chi_square(inside, p + 2)
     for m, cov in starts:
         best = None
-        for _ in range(50):
+        for _ in range(quality.STEPS):
             d = np.einsum("ni,ij,nj->n", x - m, np.linalg.inv(cov), x - m)
             far = np.floor(np.log2(d + 1) * 64)
             m, cov = moments(x[far <= point(far, quality.SUPPORT)], scale)
