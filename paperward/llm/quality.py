@@ -3,7 +3,8 @@
 Each text gives counts (words, their characters, symbols, repeated lines and word runs)
 and from them a vector of transformed statistics.  For every language and source the
 minimum covariance determinant tells where the vectors of most texts lie.  The search has
-two starts: medians and quartiles, and mean and covariance of all rows.  From each, a step takes the ``SUPPORT`` share of rows that are
+two starts: medians and quartiles, and mean and covariance of all rows.  From each, a step
+takes the ``SUPPORT`` share of rows that are
 nearest by Mahalanobis distance and their mean and covariance anew, until no determinant
 falls any more or ``STEPS`` steps are done; of all models of a group the one with the
 smallest determinant is taken.  A text whose distance passes the ``CUT`` quantile of the
