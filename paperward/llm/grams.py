@@ -73,9 +73,11 @@ def is_in(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
 
 
 def pack(prints: np.ndarray, width: int) -> bytes:
-    """The low ``width`` (5, 7 or 8) bytes of each fingerprint, byte planes apart."""
+    """The low ``width`` (4, 5, 7 or 8) bytes of each fingerprint, byte planes apart."""
     if width == 8:
         return prints.tobytes()
+    if width == 4:
+        return prints.astype(np.uint32).tobytes()
     parts = [prints.astype(np.uint32).tobytes()]
     if width == 7:
         parts.append((prints >> np.uint64(32)).astype(np.uint16).tobytes())
@@ -86,6 +88,8 @@ def pack(prints: np.ndarray, width: int) -> bytes:
 def unpack(data: bytes, width: int) -> np.ndarray:
     if width == 8:
         return np.frombuffer(data, np.uint64)
+    if width == 4:
+        return np.frombuffer(data, np.uint32).astype(np.uint64)
     n = len(data) // width
     out = np.frombuffer(data, np.uint32, n).astype(np.uint64)
     if width == 7:
@@ -94,9 +98,12 @@ def unpack(data: bytes, width: int) -> np.ndarray:
 
 
 def blobs(groups: np.ndarray, owners: np.ndarray, prints: np.ndarray, width: int) -> pa.RecordBatch:
-    """Rows of ``BLOBS``; runs of one owner must stand together."""
+    """Rows of ``BLOBS``; runs of one owner must stand together.
+
+    ``prints`` may have several rows of fingerprints, which are packed one after the other.
+    """
     order = np.argsort(groups.astype(np.uint16) if groups.max(initial=0) < 1 << 16 else groups, kind="stable")
-    groups, owners, prints = groups[order], owners[order], prints[order]
+    groups, owners, prints = groups[order], owners[order], prints[..., order]
     cuts = np.flatnonzero(np.concatenate(([True], groups[1:] != groups[:-1]))) if len(groups) else []
     columns: list[list] = [[], [], [], []]
     for s, e in zip(cuts, [*cuts[1:], len(groups)]):
@@ -105,7 +112,7 @@ def blobs(groups: np.ndarray, owners: np.ndarray, prints: np.ndarray, width: int
         columns[0].append(int(groups[s]))
         columns[1].append(mine[at].astype(np.int64).tobytes())
         columns[2].append(np.diff(np.append(at, e - s)).astype(np.uint32).tobytes())
-        columns[3].append(pack(prints[s:e], width))
+        columns[3].append(pack(prints[..., s:e].ravel(), width))
     kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
     return pa.RecordBatch.from_arrays(
         [pa.array(c, k) for c, k in zip(columns, kinds)], ["grp", "owners", "counts", "prints"]

@@ -100,7 +100,7 @@ def test_block_links_is_a_forest_of_all_links():
     assert [got.root(i) for i in range(40)] == [want.root(i) for i in range(40)]
 
 
-@pytest.mark.parametrize("settings", [{}, {"group_runs": 50}, {"hot": 3, "group_runs": 500}])
+@pytest.mark.parametrize("settings", [{}, {"group_runs": 50}, {"group_runs": 500}])
 def test_substrings(spark, settings):
     rows = corpus(7)
     got = substrings.cut_repeats(frame(spark, rows), **settings).collect()
@@ -125,16 +125,69 @@ def test_substrings_edges(spark):
     ]
 
 
-def test_a_text_sends_each_window_once():
+def test_a_chunk_sends_each_first_range_once():
     texts = [b"a " * 5_000, b"b c " * 300 + b"a " * 20, b"short", b"a " * 13]
     batch = pa.RecordBatch.from_arrays([pa.array([7, 8, 9, 7]), pa.array(texts, pa.binary())], ["doc_id", "text"])
-    none = np.empty(0, np.uint64)
-    sent = [out.to_pylist() for out in substrings._suffixes(13, 1, none)([batch])]
-    assert len(sent) == 1 and len(sent[0]) == 1
-    owners, prints = runs_of_group({c: [sent[0][0][c]] for c in ("owners", "counts", "prints")}, 7)
-    # Of the second text: two turns of b and c, twelve windows over the seam, one of a alone.
-    assert owners.tolist() == [7] + [8] * 15 + [7]
-    assert len(set(prints.tolist())) == 15
+    none = np.zeros((2, 1 << 17), np.uint8)
+    sent = [out.to_pylist() for out in substrings._first_ranges(13, 1, none)([batch])]
+    assert len(sent) == 1 and [r["grp"] for r in sent[0]] == [0, 1]
+    owners, prints = runs_of_group({c: [sent[0][0][c]] for c in ("owners", "counts", "prints")}, 4)
+    # Of the second text: two turns of b and c, eight ranges of nine words over the seam; a alone is the first's.
+    assert owners.tolist() == [7] + [8] * 10
+    assert len(set(prints.tolist())) == 11
+    owners, prints = runs_of_group({c: [sent[0][1][c]] for c in ("owners", "counts", "prints")}, 4)
+    assert owners.tolist() == [7, 8] and len(set(prints.tolist())) == 1
+
+
+@pytest.mark.parametrize("k, size", [(1, 10), (4, 10), (4, 37), (13, 100), (13, 1), (13, 10_000)])
+def test_slices_hold_every_window_once(k, size):
+    rng = random.Random(k * size)
+    text = b"".join(rng.choice([b"a", b"bb", b"long-word-" * 5]) + rng.choice([b" ", b"\n ", b"\t"]) for _ in range(200))
+    found = []
+    for piece in substrings.slices(text, k, size):
+        words = piece.split()
+        found += [words[i : i + k] for i in range(len(words) - k + 1)]
+    words = text.split()
+    assert found == [words[i : i + k] for i in range(len(words) - k + 1)]
+
+
+def test_deep_nodes_against_brute_force():
+    rng = np.random.default_rng(2)
+    rows = rng.integers(0, 3, (5, 300)).astype(np.uint64)
+    order, depth = substrings.suffix_order(rows)
+    starts, ends = substrings.deep_nodes(depth, 5)
+    got = sorted(tuple(sorted(order[s:e].tolist())) for s, e in zip(starts, ends))
+    same = {}
+    for i, column in enumerate(map(tuple, rows.T.tolist())):
+        same.setdefault(column, []).append(i)
+    assert got == sorted(tuple(v) for v in same.values() if len(v) > 1)
+    assert [len(x) for x in substrings.deep_nodes(np.zeros(0, np.int8), 5)] == [0, 0]
+
+
+def test_one_prefix_in_every_document(spark, monkeypatch):
+    """A prefix that all documents share is made longer, so no group gets all of it."""
+    rng = random.Random(8)
+    opening = " ".join(f"common{i}" for i in range(6))
+    rows = [(i, " ".join([opening, *words(rng, 30)] * 3)) for i in range(400)]
+    rows += [(i, rows[i - 400][1] + " end") for i in range(400, 420)]
+    got = substrings.cut_repeats(frame(spark, rows), group_runs=400).collect()
+    assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got} == brute.cut(rows)
+    laid = substrings.Words([t.encode() for _, t in rows])
+    at, _ = substrings.suffixes(laid, 13)
+    frequent = substrings.frequent_prefixes(frame(spark, rows), 13, 64, 400)
+    sizes = [np.bincount(substrings.groups_of(laid, at, 13, 64, f)).max() for f in (np.zeros_like(frequent), frequent)]
+    assert sizes[1] < sizes[0] / 2
+
+
+def test_long_texts_are_cut_in_slices(spark):
+    rng = random.Random(4)
+    text = " ".join(f"w{rng.randrange(10**6)}" for _ in range(700_000))
+    middle = " ".join(text.split()[300_000:660_000])
+    rows = [(1, text), (2, "x " + middle + " y " + "z" * 5_000_000), (3, "z" * 5_000_000 + " q")]
+    got = substrings.cut_repeats(frame(spark, rows)).select("doc_id", "n_words", "n_removed", "spans").orderBy("doc_id")
+    assert [tuple(r) for r in got.collect()] == [
+        (1, 700_000, 0, []), (2, 360_003, 360_000, [[1, 360_001]]), (3, 2, 0, [])
+    ]
 
 
 def vectors(n=150, dim=16):
