@@ -97,10 +97,23 @@ def unpack(data: bytes, width: int) -> np.ndarray:
     return out | np.frombuffer(data, np.uint8, n, (width - 1) * n).astype(np.uint64) << np.uint64(8 * width - 8)
 
 
-def blobs(groups: np.ndarray, owners: np.ndarray, prints: np.ndarray, width: int) -> pa.RecordBatch:
+def thinned(values: np.ndarray, steps: bool) -> bytes:
+    """Numbers (or the steps between them) as byte planes, most of which are zero and compress away."""
+    values = np.diff(values, prepend=values.dtype.type(0)) if steps else values
+    return values.view(np.uint8).reshape(len(values), -1).T.tobytes()
+
+
+def thickened(data: bytes, kind, steps: bool) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    values = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(size, -1).T).view(kind).ravel()
+    return np.cumsum(values, dtype=kind) if steps else values
+
+
+def blobs(groups: np.ndarray, owners: np.ndarray, prints: np.ndarray, width: int, thin: bool = False) -> pa.RecordBatch:
     """Rows of ``BLOBS``; runs of one owner must stand together.
 
     ``prints`` may have several rows of fingerprints, which are packed one after the other.
+    If ``thin``, owners and counts are written to be compressed.
     """
     order = np.argsort(groups.astype(np.uint16) if groups.max(initial=0) < 1 << 16 else groups, kind="stable")
     groups, owners, prints = groups[order], owners[order], prints[..., order]
@@ -110,8 +123,9 @@ def blobs(groups: np.ndarray, owners: np.ndarray, prints: np.ndarray, width: int
         mine = owners[s:e]
         at = np.flatnonzero(np.concatenate(([True], mine[1:] != mine[:-1])))
         columns[0].append(int(groups[s]))
-        columns[1].append(mine[at].astype(np.int64).tobytes())
-        columns[2].append(np.diff(np.append(at, e - s)).astype(np.uint32).tobytes())
+        whose, counts = mine[at].astype(np.int64), np.diff(np.append(at, e - s)).astype(np.uint32)
+        columns[1].append(thinned(whose, True) if thin else whose.tobytes())
+        columns[2].append(thinned(counts, False) if thin else counts.tobytes())
         columns[3].append(pack(prints[..., s:e].ravel(), width))
     kinds = [pa.int32(), pa.binary(), pa.binary(), pa.binary()]
     return pa.RecordBatch.from_arrays(
@@ -119,8 +133,15 @@ def blobs(groups: np.ndarray, owners: np.ndarray, prints: np.ndarray, width: int
     )
 
 
-def runs_of_group(rows, width: int) -> tuple[np.ndarray, np.ndarray]:
+def owners_of_group(rows, thin: bool = False) -> np.ndarray:
+    """Owner of every run in the blobs of one group."""
+    if thin:
+        held = [(thickened(o, np.int64, True), thickened(c, np.uint32, False)) for o, c in zip(rows["owners"], rows["counts"])]
+    else:
+        held = [(np.frombuffer(o, np.int64), np.frombuffer(c, np.uint32)) for o, c in zip(rows["owners"], rows["counts"])]
+    return np.concatenate([np.repeat(o, c) for o, c in held])
+
+
+def runs_of_group(rows, width: int, thin: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """Owner and fingerprint of every run in the blobs of one group."""
-    owners = [np.repeat(np.frombuffer(o, np.int64), np.frombuffer(c, np.uint32)) for o, c in zip(rows["owners"], rows["counts"])]
-    prints = [unpack(p, width) for p in rows["prints"]]
-    return np.concatenate(owners), np.concatenate(prints)
+    return owners_of_group(rows, thin), np.concatenate([unpack(p, width) for p in rows["prints"]])

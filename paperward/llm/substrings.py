@@ -10,7 +10,7 @@ that begin alike always meet in one group.
 The trees are built by ranges of symbols, and only suffixes that are not yet told apart
 send the next one:
 
-1. The first range, all words of a window but the last four, goes to the group as one
+1. The first range, all words of a window but the last three, goes to the group as one
    symbol.  A suffix that shares it with no other document is a leaf below no deep node.
 2. The others send their window's symbols.  The group sorts its suffixes by them, takes
    the depth to which neighbours in that order agree, and reads the deep internal nodes
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperward.llm.arrays import CHUNK, U64, Words, chunks, mix
-from paperward.llm.grams import BLOBS, GROUP_RUNS, blobs, group_count, is_in, runs_of_group, unpack
+from paperward.llm.grams import BLOBS, GROUP_RUNS, blobs, group_count, is_in, owners_of_group, runs_of_group, unpack
 from paperward.llm.jaccard import _ragged
 from paperward.llm.shared import lean, lean_group, tune, utf8
 
@@ -45,7 +45,7 @@ WINDOW = 13
 #: Bytes of a prefix, and of one that replaces a frequent prefix.
 PREFIX_BYTES = (24, 48)
 #: Words of a window that follow its first range.
-LAST = 4
+LAST = 3
 #: Prefixes share the slots of a bit table by their first bits.
 SLOT_BITS = 20
 #: Text from which frequent prefixes are told; only the balance of groups rests on it.
@@ -210,7 +210,7 @@ def _first_ranges(k: int, groups: int, frequent: np.ndarray):
                 group[: len(first)] = groups_of(words, at[first], k, groups, frequent)
                 order = np.argsort(owners[place], kind="stable")
                 place = place[order]
-                yield blobs(group[order], owners[place], prints[place], _FIRST_WIDTH)
+                yield blobs(group[order], owners[place], prints[place], _FIRST_WIDTH, True)
 
     return run
 
@@ -231,7 +231,7 @@ def _not_told_apart(groups: int):
     def run(table: pa.Table) -> pa.Table:
         """Of a group, the suffixes whose first range another document has."""
         held = {c: table.column(c).to_pylist() for c in ("owners", "counts", "prints")}
-        owners, prints = runs_of_group(held, _FIRST_WIDTH)
+        owners, prints = runs_of_group(held, _FIRST_WIDTH, True)
         prints = prints.astype(np.uint32)
         if table.column("grp")[0].as_py() < groups:
             order = np.argsort(prints)
@@ -270,9 +270,9 @@ def _windows(k: int, groups: int, frequent: np.ndarray):
                 place = place[np.argsort(owners[place], kind="stable")]
                 other = other[np.argsort(owners[other], kind="stable")]
                 group = groups_of(words, at[place], k, groups, frequent)
-                yield blobs(group, owners[place], found[:, place], _WIDTH)
+                yield blobs(group, owners[place], found[:, place], _WIDTH, True)
                 group = np.full(len(other), groups + int(rows[0] + (owners[0] if len(owners) else 0)) % groups)
-                yield blobs(group, owners[other], name[other], 8)
+                yield blobs(group, owners[other], name[other], 8, True)
 
     return run
 
@@ -304,9 +304,8 @@ def _repeats(k: int, groups: int):
 
     def run(table: pa.Table) -> pa.Table:
         """Of a group, (doc_id, names) of the windows that a smaller document has."""
-        counts = [np.frombuffer(c, np.uint32) for c in table.column("counts").to_pylist()]
-        owners = [np.repeat(np.frombuffer(o, np.int64), c) for o, c in zip(table.column("owners").to_pylist(), counts)]
-        owners, prints = np.concatenate(owners), table.column("prints").to_pylist()
+        owners = owners_of_group({c: table.column(c).to_pylist() for c in ("owners", "counts")}, True)
+        prints = table.column("prints").to_pylist()
         if table.column("grp")[0].as_py() >= groups:
             return _replies(owners, np.frombuffer(b"".join(prints), U64), "marks")
         rows = np.concatenate([unpack(p, _WIDTH).reshape(height, -1) for p in prints], axis=1)

@@ -131,11 +131,11 @@ def test_a_chunk_sends_each_first_range_once():
     none = np.zeros((2, 1 << 17), np.uint8)
     sent = [out.to_pylist() for out in substrings._first_ranges(13, 1, none)([batch])]
     assert len(sent) == 1 and [r["grp"] for r in sent[0]] == [0, 1]
-    owners, prints = runs_of_group({c: [sent[0][0][c]] for c in ("owners", "counts", "prints")}, 4)
-    # Of the second text: two turns of b and c, eight ranges of nine words over the seam; a alone is the first's.
-    assert owners.tolist() == [7] + [8] * 10
-    assert len(set(prints.tolist())) == 11
-    owners, prints = runs_of_group({c: [sent[0][1][c]] for c in ("owners", "counts", "prints")}, 4)
+    owners, prints = runs_of_group({c: [sent[0][0][c]] for c in ("owners", "counts", "prints")}, 4, True)
+    # Of the second text: two turns of b and c, nine ranges of ten words over the seam; a alone is the first's.
+    assert owners.tolist() == [7] + [8] * 11
+    assert len(set(prints.tolist())) == 12
+    owners, prints = runs_of_group({c: [sent[0][1][c]] for c in ("owners", "counts", "prints")}, 4, True)
     assert owners.tolist() == [7, 8] and len(set(prints.tolist())) == 1
 
 
