@@ -50,9 +50,10 @@ LAST = 3
 SLOT_BITS = 20
 #: Text from which frequent prefixes are told; only the balance of groups rests on it.
 SAMPLE_BYTES = 64 << 20
-_FIRST_WIDTH, _WIDTH = 4, 5
+_FIRST_WIDTH, _WIDTH, _NAME_WIDTH = 4, 5, 7
 _SYMBOL = U64((1 << 8 * _WIDTH) - 1)
 _FIRST = U64((1 << 8 * _FIRST_WIDTH) - 1)
+_NAME = U64((1 << 8 * _NAME_WIDTH) - 1)
 _FOLD = U64(0xC2B2AE3D27D4EB4F)
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
 
@@ -112,11 +113,11 @@ def symbols(words: Words, at: np.ndarray, k: int) -> np.ndarray:
 
 
 def names(rows: np.ndarray) -> np.ndarray:
-    """One 64-bit name for the symbols of each window."""
+    """One 56-bit name for the symbols of each window; it is only looked up in one document."""
     total = rows[0]
     for row in rows[1:]:
         total = mix(total * _FOLD + row)
-    return total
+    return total & _NAME
 
 
 def prefix_hashes(words: Words, at: np.ndarray, most: int, size: int) -> np.ndarray:
@@ -215,24 +216,32 @@ def _first_ranges(k: int, groups: int, frequent: np.ndarray):
     return run
 
 
-def _replies(owners: np.ndarray, prints: np.ndarray, name: str) -> pa.Table:
-    """(doc_id, its distinct prints)."""
+def _replies(owners: np.ndarray, prints: np.ndarray, name: str, width: int) -> pa.Table:
+    """(doc_id, its distinct prints of ``width`` bytes)."""
     order = np.lexsort((prints, owners))
     owners, prints = owners[order], prints[order]
     fresh = np.ones(len(owners), bool)
     fresh[1:] = (owners[1:] != owners[:-1]) | (prints[1:] != prints[:-1])
     owners, prints = owners[fresh], prints[fresh]
     at = np.flatnonzero(np.concatenate(([True], owners[1:] != owners[:-1]))) if len(owners) else np.empty(0, int)
-    found = _ragged(prints, np.append(at, len(owners)))
+    narrow = np.ascontiguousarray(prints.view(np.uint8).reshape(-1, 8)[:, :width]).view(f"V{width}").ravel()
+    found = _ragged(narrow, np.append(at, len(owners)))
     return pa.Table.from_arrays([pa.array(owners[at], pa.int64()), found], ["doc_id", name])
 
 
+def told(replies: list[bytes], width: int) -> np.ndarray:
+    """The distinct prints of a document's replies, in order."""
+    narrow = np.frombuffer(b"".join(replies), np.uint8).reshape(-1, width)
+    wide = np.zeros((len(narrow), 8), np.uint8)
+    wide[:, :width] = narrow
+    return np.unique(wide.view(U64).ravel())
+
+
 def _not_told_apart(groups: int):
     def run(table: pa.Table) -> pa.Table:
         """Of a group, the suffixes whose first range another document has."""
         held = {c: table.column(c).to_pylist() for c in ("owners", "counts", "prints")}
         owners, prints = runs_of_group(held, _FIRST_WIDTH, True)
-        prints = prints.astype(np.uint32)
         if table.column("grp")[0].as_py() < groups:
             order = np.argsort(prints)
             owners, prints = owners[order], prints[order]
@@ -240,7 +249,7 @@ def _not_told_apart(groups: int):
             several = np.minimum.reduceat(owners, nodes) != np.maximum.reduceat(owners, nodes)
             shared = np.repeat(several, np.diff(np.append(nodes, len(owners))))
             owners, prints = owners[shared], prints[shared]
-        return _replies(owners, prints, "shared")
+        return _replies(owners, prints, "shared", _FIRST_WIDTH)
 
     return run
 
@@ -261,8 +270,7 @@ def _windows(k: int, groups: int, frequent: np.ndarray):
                 edge = np.searchsorted(text, np.arange(len(rows) + 1))
                 for row, s, e in zip(rows, edge, edge[1:]):
                     if s < e and shared[row]:
-                        told = np.unique(np.frombuffer(b"".join(shared[row]), np.uint32)).astype(U64)
-                        keep[s:e] = is_in(first[s:e], told)
+                        keep[s:e] = is_in(first[s:e], told(shared[row], _FIRST_WIDTH))
                 at, owners = at[keep], ids[rows[text[keep]]].astype(np.int64)
                 found = symbols(words, at, k)
                 name = names(found)
@@ -272,7 +280,7 @@ def _windows(k: int, groups: int, frequent: np.ndarray):
                 group = groups_of(words, at[place], k, groups, frequent)
                 yield blobs(group, owners[place], found[:, place], _WIDTH, True)
                 group = np.full(len(other), groups + int(rows[0] + (owners[0] if len(owners) else 0)) % groups)
-                yield blobs(group, owners[other], name[other], 8, True)
+                yield blobs(group, owners[other], name[other], _NAME_WIDTH, True)
 
     return run
 
@@ -307,7 +315,7 @@ def _repeats(k: int, groups: int):
         owners = owners_of_group({c: table.column(c).to_pylist() for c in ("owners", "counts")}, True)
         prints = table.column("prints").to_pylist()
         if table.column("grp")[0].as_py() >= groups:
-            return _replies(owners, np.frombuffer(b"".join(prints), U64), "marks")
+            return _replies(owners, np.concatenate([unpack(p, _NAME_WIDTH) for p in prints]), "marks", _NAME_WIDTH)
         rows = np.concatenate([unpack(p, _WIDTH).reshape(height, -1) for p in prints], axis=1)
         del prints, table
         order, depth = suffix_order(rows)
@@ -318,7 +326,7 @@ def _repeats(k: int, groups: int):
         below = owners[leaves]
         if len(starts):
             leaves = leaves[below > np.repeat(np.minimum.reduceat(below, first), sizes)]
-        return _replies(owners[leaves], names(rows[:, leaves]), "marks")
+        return _replies(owners[leaves], names(rows[:, leaves]), "marks", _NAME_WIDTH)
 
     return run
 
@@ -363,7 +371,7 @@ def _cut(k: int, whole: bool):
                     if not marks[row]:
                         continue
                     s, e = edge[i], edge[i + 1]
-                    found = at[s:e][is_in(name[s:e], np.unique(np.frombuffer(b"".join(marks[row]), U64)))]
+                    found = at[s:e][is_in(name[s:e], told(marks[row], _NAME_WIDTH))]
                     before = begun.get(row, 0)
                     starts.setdefault(row, []).append(found - words.first[i] + before)
                     begun[row] = before + int(words.counts[i]) - k + 1
