@@ -10,10 +10,14 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def stream_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """The same table as a file stream."""
+    """The same table as a file stream, be it one file or a folder of them.
+
+    A stream takes a single file only by a pattern, so the last letter is one; a folder
+    that it matches is read with all that is below it.
+    """
     schema = read_table(spark, folder, name).schema
     return (
         spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{name}.parquet")
-        .parquet(folder)
+        .option("basePath", folder)
+        .parquet(f"{folder}/{name}.parque[t]")
     )
