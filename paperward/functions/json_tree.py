@@ -10,7 +10,8 @@ import json
 import sys
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructType
@@ -158,6 +159,23 @@ _READ = (
     .add("body", StringType())
     .add("found", ArrayType(StructType().add("value", StringType()).add("plain", StringType())))
 )
+_FOUND = pa.list_(pa.field("element", pa.struct([("value", pa.string()), ("plain", pa.string())])))
+_READ_ARROW = pa.struct([("body", pa.string()), ("found", _FOUND)])
+
+# A worker has trees and strings of so many bytes of text at once, or of one longer text.
+SLICE_BYTES = 1 << 20
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Start and length of each slice of an Arrow batch, whose own size is Spark's choice."""
+    start = held = 0
+    for i, size in enumerate(pc.binary_length(texts).to_pylist()):
+        if i > start and held + (size or 0) > SLICE_BYTES:
+            yield start, i - start
+            start, held = i, 0
+        held += size or 0
+    if start < len(texts):
+        yield start, len(texts) - start
 
 
 def _read(text: str, elide: bool, find) -> dict:
@@ -177,10 +195,12 @@ def _read(text: str, elide: bool, find) -> dict:
 
 
 def _reader(elide: bool, find):
-    @F.pandas_udf(_READ)
-    def read(bodies: pd.Series) -> pd.DataFrame:
-        rows = [None if b is None else _read(b, elide, find) for b in bodies]
-        return pd.DataFrame({k: [r and r[k] for r in rows] for k in ("body", "found")}, dtype=object)
+    @F.arrow_udf(_READ)
+    def read(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for bodies in batches:
+            for part in _slices(bodies):
+                texts = bodies.slice(*part).to_pylist()
+                yield pa.array([None if b is None else _read(b, elide, find) for b in texts], _READ_ARROW)
 
     return read
 
@@ -196,9 +216,12 @@ def _rewrite(text: str, hits, find, flag: bool) -> str:
 
 
 def _writer(find, flag: bool):
-    @F.pandas_udf(StringType())
-    def write(bodies: pd.Series, hits: pd.Series) -> pd.Series:
-        return pd.Series([None if b is None else _rewrite(b, h, find, flag) for b, h in zip(bodies, hits)])
+    @F.arrow_udf(StringType())
+    def write(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for bodies, hits in batches:
+            for part in _slices(bodies):
+                rows = zip(bodies.slice(*part).to_pylist(), hits.slice(*part).to_pylist())
+                yield pa.array([None if b is None else _rewrite(b, h, find, flag) for b, h in rows], pa.string())
 
     return write
 

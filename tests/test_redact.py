@@ -2,7 +2,9 @@
 
 import json
 import random
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -372,3 +374,37 @@ def test_earlier_values_of_repeated_keys_never_get_out(spark, op, body):
 def test_a_body_is_parsed_in_one_node_and_written_in_another(spark):
     df = X.redact_reports(_bodies(spark, ["{}"]))
     assert df._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 2
+
+
+def _held(function, *columns):
+    """Rows that a function of whole Arrow batches gives, and the most bytes of Python meanwhile."""
+    batch = tuple(pa.array(c) for c in columns)
+    tracemalloc.start()
+    lengths = [len(out) for out in function.func(iter([batch if len(batch) > 1 else batch[0]]))]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return sum(lengths), most
+
+
+@pytest.mark.parametrize("read, write", [
+    (J.read_report, J.write_recovered), (J.read_recovered, J.write_recovered),
+    (J.read_compare, J.write_compare), (J.read_untrusted, None),
+])
+def test_memory_is_that_of_a_slice(read, write):
+    text = "word " * 20_000
+    evidence = {J.UNTRUSTED_FLAG: True, "payload": text, "recovered": [text]}
+    body = json.dumps({"signals": [{"id": "a", "evidence": evidence}]})
+    few, many = 20, 200
+    for function, *columns in [(read, [body, None])] + ([(write, [body, None], [[True], None])] if write else []):
+        n, least = _held(function, *[c * (few // 2) for c in columns])
+        more, most = _held(function, *[c * (many // 2) for c in columns])
+        assert (n, more) == (few, many)
+        assert most < 1.5 * least, (most, least)
+
+
+def test_slices_take_every_row_once():
+    texts = [None, "", "a" * 700_000, None, "b" * 700_000, "c" * 3_000_000, "é" * 600_000, None, "d"]
+    cut = list(J._slices(pa.array(texts)))
+    assert [t for start, n in cut for t in texts[start : start + n]] == texts
+    assert [start for start, _ in cut] == [0, 4, 5, 6, 7]
+    assert list(J._slices(pa.array([], pa.string()))) == []
